@@ -46,7 +46,8 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("user_id") < 30, F.lit(0)).otherwise(F.col("user_id")).cast("long").alias("rows_updated"),
         F.when(F.col("event_type") == "click", whole).otherwise(F.lit(0)).cast("long").alias("rows_expired"),
         (F.col("user_id") * 100).alias("target_count"), (F.col("user_id") * 100 + whole).alias("source_count"),
-        F.concat(F.col("event_type"), F.lit("/"), F.col("user_id").cast("string")).alias("export_path"),
+        F.concat_ws("/", "event_type", F.col("user_id").cast("string"), F.to_date("ts").cast("string"))
+        .alias("export_path"),
         F.when((mode != "EXPORT") & (status == "SUCCESS"), "YES").otherwise("NO").alias("ingestion_completed"),
         F.when(status == "SUCCESS", F.concat(F.lit("merge "), F.col("props"))).alias("merge_statement"))
 
@@ -65,7 +66,7 @@ LEDGER = """ledger AS (
     CASE WHEN user_id < 30 THEN 0 ELSE user_id END AS rows_updated,
     CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS rows_expired,
     user_id * 100 AS target_count, user_id * 100 + CAST(floor(value) AS BIGINT) AS source_count,
-    event_type || '/' || CAST(user_id AS VARCHAR) AS export_path,
+    event_type || '/' || CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS export_path,
     CASE WHEN value >= 20 AND value >= 5 AND value <= 150 THEN 'YES' ELSE 'NO' END AS ingestion_completed,
     CASE WHEN value >= 5 AND value <= 150 THEN 'merge ' || props END AS merge_statement
   FROM events)"""

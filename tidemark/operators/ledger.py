@@ -6,7 +6,7 @@ The state of a job in a batch is, per column, the last value that was set.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -149,9 +149,11 @@ class Ledger:
         self.spark, self.path = spark, path.rstrip("/")
 
     def append(self, rows: DataFrame) -> None:
-        missing = {f.name: F.lit(None).cast(f.dataType) for f in EVENT_SCHEMA if f.name not in rows.columns}
-        (rows.withColumns(missing).select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA])
-         .write.mode("append").parquet(self.path))
+        # A folder of its own per append: jobs that end at the same time do not share a committer.
+        # Columns an event does not set are left out of its file; the reader fills them with NULL.
+        known = [f for f in EVENT_SCHEMA if f.name in rows.columns]
+        (rows.select(*[F.col(f.name).cast(f.dataType) for f in known])
+         .write.parquet(f"{self.path}/{uuid.uuid4().hex}"))
 
     def event(self, batch_id: int, job_id: int, seq: int, **values) -> None:
         """Append one event of one job; long texts are cut to the log's length."""
@@ -161,21 +163,31 @@ class Ledger:
         fields = [EVENT_SCHEMA["batch_id"], EVENT_SCHEMA["job_id"], EVENT_SCHEMA["seq"]]
         fields += [EVENT_SCHEMA[n] for n in values]
         row = self.spark.createDataFrame([(batch_id, job_id, seq, *values.values())], T.StructType(fields))
-        self.append(row.coalesce(1))
+        row.coalesce(1).write.parquet(f"{self.path}/{uuid.uuid4().hex}")
 
     def events(self) -> DataFrame:
         if not fs.exists(self.spark, self.path):
             return self.spark.createDataFrame([], EVENT_SCHEMA)
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
 
     def state(self) -> DataFrame:
         return cascade(fold(self.events()))
 
+    def compact(self) -> None:
+        """Write all events again as few files, then drop the old folders. Run while no job runs."""
+        old = fs.children(self.spark, self.path)
+        self.append(self.events().coalesce(1))
+        for name in old:
+            fs.remove(self.spark, f"{self.path}/{name}")
+
     def next_batch_id(self) -> int:
         return next_batch_id(self.events()).first()["batch_id"]
 
     def watermark(self, job: dict) -> dict | None:
         """The last window of one source table, or None before its first extract."""
-        found = watermarks(self.state()).where(reduce(
-            lambda a, b: a & b, [F.col(k) == job[k] for k in _table_key()])).first()
+        needed = [*_table_key(), "execution_mode", "final_status", "window_start", "window_end", "max_id"]
+        state = fold(self.events().select("batch_id", "job_id", "seq", *needed))
+        for name in _table_key():
+            state = state.where(F.col(name) == job[name])
+        found = watermarks(state).first()
         return found.asDict() if found else None

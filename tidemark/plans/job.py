@@ -167,7 +167,8 @@ def _load(run: _Run, batches: list[int]) -> None:
         total = LoadCounts(*[a + b for a, b in zip(total, run.step("merge", apply))])
     log = f"{kind}: {total.rows_inserted} inserted, {total.rows_updated} updated, {total.rows_expired} expired"
     known = {"rows_extracted": read.rows_loaded} if "rows_extracted" not in run.known else {}
-    run.note(create_table_status=SUCCESS, create_stage_status=SUCCESS, copy_status=SUCCESS,
+    run.known.update(
+             create_table_status=SUCCESS, create_stage_status=SUCCESS, copy_status=SUCCESS,
              copy_log=f"{read.rows_loaded} rows loaded, {read.rows_rejected} rejected", merge_status=SUCCESS,
              merge_log=log, merge_statement=f"{kind} {target.root} by {', '.join(keys) or 'no key'}",
              rows_rejected=read.rows_rejected, rows_inserted=total.rows_inserted,
@@ -204,8 +205,9 @@ def run_table(place: Place, job: dict, mode: str, batch_id: int, now: datetime |
     duration = int(time.monotonic() - run.clock)
     if status == SUCCESS and not job.get("custom_sql"):
         run.known["source_count"] = place.read(job).count()
-    end = {k: run.known[k] for k in run.known if k.endswith(("_status", "_log", "source_count"))}
-    run.note(**end, final_status=status, job_duration=duration,
+    written = {"source_db", "source_schema", "source_table", "target_db", "target_schema", "target_table", "custom_sql",
+               "load_type", "stage_path", "execution_mode", "job_start_time"}
+    run.note(**{k: v for k, v in run.known.items() if k not in written}, final_status=status, job_duration=duration,
              job_end_time=datetime.now(timezone.utc).replace(tzinfo=None),
              ingestion_completed="YES" if status == SUCCESS and mode != "EXPORT" else "NO")
     known = run.known

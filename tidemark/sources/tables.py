@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import encrypt, numbered_text, trim_strings
@@ -43,7 +43,8 @@ def run_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame], start
     """A user query over named tables (``{orders}``), with the window as ``:extract_start_dttm``
     and ``:extract_end_dttm``."""
     edges = (str(start or FIRST_START), str(end))
-    used = {k: np.datetime64(v) for k, v in zip(WINDOW_PARAMETERS, edges) if f":{k}" in sql}
+    used = {k: F.expr(f"timestamp_ntz'{datetime.fromisoformat(v)}'")
+            for k, v in zip(WINDOW_PARAMETERS, edges) if f":{k}" in sql}
     return spark.sql(sql, args=used or None, **{n: t for n, t in tables.items() if "{" + n + "}" in sql})
 
 
