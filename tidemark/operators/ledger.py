@@ -160,10 +160,10 @@ class Ledger:
         for name, text in values.items():
             if isinstance(text, str):
                 values[name] = text[:STATEMENT_LENGTH if name == "merge_statement" else LOG_LENGTH]
-        fields = [EVENT_SCHEMA["batch_id"], EVENT_SCHEMA["job_id"], EVENT_SCHEMA["seq"]]
-        fields += [EVENT_SCHEMA[n] for n in values]
-        row = self.spark.createDataFrame([(batch_id, job_id, seq, *values.values())], T.StructType(fields))
-        row.coalesce(1).write.parquet(f"{self.path}/{uuid.uuid4().hex}")
+        values = {"batch_id": batch_id, "job_id": job_id, "seq": seq, **values}
+        row = self.spark.range(1, numPartitions=1).select(*[
+            F.lit(v).cast(EVENT_SCHEMA[n].dataType).alias(n) for n, v in values.items()])
+        row.write.parquet(f"{self.path}/{uuid.uuid4().hex}")
 
     def events(self) -> DataFrame:
         if not fs.exists(self.spark, self.path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; everything else is left to the cluster.
 SETTINGS = {
@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.scheduler.mode": "FAIR",
+    # Split writes keep a few files open per task and need no sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,3 +51,19 @@ def shared_folder(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh path for one run below the shared folder."""
     return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a query; no data is read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, split_bytes: int = 4 << 20, least: int = 1 << 20) -> DataFrame:
+    """Spread an input that is too small to be split for all cores; leave any other as it is.
+
+    Only inputs of less than ``split_bytes`` per core are shuffled, so what moves stays small.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    parts = min(cores, size // least + 1)
+    return df.repartition(parts) if parts > 1 and size < split_bytes * cores else df

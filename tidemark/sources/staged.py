@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark import fs
 from tidemark.functions.columns import as_text
 from tidemark.functions.types import from_text
+from tidemark.session import spread_small
 
 # Texts that mean NULL in a staged file.
 NULL_MARKERS = ["NULL", ""]
@@ -52,8 +53,7 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
     taken from the very rows that were written.
     """
     seen = Observation()
-    if files:
-        rows = rows.repartition(files)
+    rows = rows.repartition(files) if files else spread_small(rows)
     top = F.max(F.col(highest).try_cast("long")) if highest else F.max(F.lit(None).cast("long"))
     # Observed last, in the tasks that write, so a repeated task is not counted twice.
     (as_text(rows).observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top"))
@@ -103,17 +103,24 @@ def _reason(field: T.StructField, typed: Column, text: Column) -> list[Column]:
 
 
 def check_rows(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Typed columns plus ``_reason`` (NULL for a good row) and ``_raw`` (rejected rows only)."""
+    """Typed columns plus ``_reason`` (NULL for a good row) and ``_raw`` (rejected rows only).
+
+    Three projections one on the other: the text without NULL markers, its typed values beside
+    it, and the checks on both. Each value is so parsed once, however often the checks use it.
+    """
     extra = [c for c in text.columns if c not in schema.names and c != "_bad"]
-    clean = text.select(*[_without_markers(f.name).alias(f.name) for f in schema], "_bad", *extra)
-    typed = {f.name: from_text(F.col(f"`{f.name}`"), f.dataType) for f in schema}
+    clean = text.select(*[_without_markers(f.name).alias(f"_text_{i}") for i, f in enumerate(schema)], "_bad", *extra)
+    parsed = [(f, f"_text_{i}") if isinstance(f.dataType, T.StringType) else (f, f"_typed_{i}")
+              for i, f in enumerate(schema)]
+    typed = clean.withColumns({name: from_text(F.col(f"_text_{i}"), f.dataType)
+                               for i, (f, name) in enumerate(parsed) if name.startswith("_typed_")})
     reasons = [F.when(F.col("_bad").isNotNull(), F.lit("field count"))]
-    for field in schema:
-        reasons += _reason(field, typed[field.name], F.col(f"`{field.name}`"))
-    reason = F.coalesce(*reasons)
-    raw = F.coalesce("_bad", F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema])))
-    return clean.select(*[typed[f.name].alias(f.name) for f in schema], reason.alias("_reason"),
-                        F.when(reason.isNotNull(), raw).alias("_raw"), *extra)
+    for i, (field, name) in enumerate(parsed):
+        reasons += _reason(field, F.col(name), F.col(f"_text_{i}"))
+    raw = F.coalesce("_bad", F.to_json(F.struct(*[F.col(f"_text_{i}").alias(f.name) for i, f in enumerate(schema)])))
+    marked = typed.withColumn("_reason", F.coalesce(*reasons, F.lit(None).cast("string")))
+    return marked.select(*[F.col(name).alias(f.name) for f, name in parsed], "_reason",
+                         F.when(F.col("_reason").isNotNull(), raw).alias("_raw"), *extra)
 
 
 def good_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
