@@ -87,3 +87,13 @@ def reconcile_counts(spark, sf):
     source = reports.counted({"orders": orders, "part": part, "customer": table(spark, sf, "customer")})
     target = reports.counted({"orders": merge.scd1(orders, orders_delta(spark, sf), ["o_orderkey"]), "part": part})
     return reports.reconcile(source, target)
+
+
+@check("SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")
+def newest_rows(spark, sf):
+    return reports.newest_rows(table(spark, sf, "orders"), "o_orderdate", "o_orderkey")
+
+
+@check("SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
+def lookup_rows(spark, sf):
+    return reports.lookup(table(spark, sf, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY"])

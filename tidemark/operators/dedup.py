@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.types import resolve
 
 
 def latest_first(df: DataFrame, keys: list[str], newest: list[str]) -> list[Column]:
-    """Newest rows first, then by every other column so that the choice is repeatable."""
+    """Newest rows first, then by every other column that has an order, so that the choice is repeatable."""
     newest = resolve(newest, df.columns)
-    rest = [c for c in df.columns if c not in newest and c not in keys]
+    rest = [f.name for f in df.schema if f.name not in newest and f.name not in keys
+            and not isinstance(f.dataType, (T.VariantType, T.MapType))]
     return [F.col(c).desc_nulls_last() for c in newest] + [F.col(c).asc_nulls_first() for c in rest]
 
 

@@ -34,24 +34,22 @@ class HistoryParts(NamedTuple):
     inserted: DataFrame
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size of some rows, from one pass over them."""
-    fixed, sized = 16, []
+def row_bytes(df: DataFrame) -> Column:
+    """Upper estimate of a row's size in memory."""
+    fixed, sized = 16, F.lit(0).cast("long")
     for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            sized.append(F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0)))
-        fixed += max(8, 0 if isinstance(field.dataType, T.VariantType) else 16)
-    total = F.count(F.lit(1)) * fixed
-    for part in sized:
-        total = total + part
-    return df.agg(total.alias("n")).first()["n"]
+        kind = field.dataType
+        if isinstance(kind, T.VariantType):
+            sized = sized + F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
+        elif isinstance(kind, (T.StringType, T.BinaryType)):
+            sized = sized + F.coalesce(F.octet_length(field.name), F.lit(0))
+        fixed += 24
+    return sized + F.lit(fixed)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure rows and say whether they may be broadcast."""
-    if any(isinstance(f.dataType, T.VariantType) for f in df.schema):
-        return False
-    return measured_bytes(df) <= limit
+    """Measure rows in one pass and say whether they may be broadcast."""
+    return (df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0) <= limit
 
 
 def _sized(df: DataFrame, small: bool) -> DataFrame:
@@ -67,9 +65,20 @@ def _on(keys: list[str]) -> Column:
     return all_of([F.col(k) == F.col(_SRC + k) for k in keys])
 
 
+def anti_join(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is not among the found ones.
+
+    Rows with a NULL in their key match nothing. They go around the join, in which all of
+    them would meet in one task.
+    """
+    whole = all_of([F.col(k).isNotNull() for k in keys])
+    rest = rows.where(whole).join(found, keys, "left_anti").select(*rows.columns)
+    return rest.unionByName(rows.where(~whole))
+
+
 def matched_keys(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool) -> DataFrame:
     """The distinct target keys that can match a work row."""
-    found = target.select(*keys)
+    found = target.select(*keys).dropna()
     if small_work:
         found = found.join(F.broadcast(work.select(*keys)), keys, "left_semi")
     return found.distinct()
@@ -134,7 +143,7 @@ def unmatched(target: DataFrame, work: DataFrame, keys: list[str], small_work: b
     """Work rows whose key is not in the target."""
     keys, _ = split_keys(target.columns, keys)
     work = align(work, target)
-    return work.join(matched_keys(target, work, keys, small_work), keys, "left_anti").select(*work.columns)
+    return anti_join(work, matched_keys(target, work, keys, small_work), keys)
 
 
 def scd1(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool = False,
@@ -184,7 +193,7 @@ def flag_changes(current: DataFrame, work: DataFrame, keys: list[str], run_ts,
 
 def without_current(work: DataFrame, still_current: DataFrame, keys: list[str]) -> DataFrame:
     """Work rows that no current row stands for. The keys are made distinct before the join."""
-    return work.join(still_current.select(*keys).distinct(), keys, "left_anti").select(*work.columns)
+    return anti_join(work, still_current.select(*keys).dropna().distinct(), keys)
 
 
 def scd2_parts(target: DataFrame, work: DataFrame, keys: list[str], run_ts,

@@ -16,13 +16,16 @@ import json
 import uuid
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tidemark import fs
 from tidemark.functions.types import data_columns, has_history, resolve
 from tidemark.operators import merge
 
-_MANIFEST = "kind string, slice int, folder string, schema string, keys string, slices int, applied string"
+_MANIFEST = pa.schema([("kind", pa.string()), ("slice", pa.int32()), ("folder", pa.string()), ("schema", pa.string()),
+                       ("keys", pa.string()), ("slices", pa.int32()), ("applied", pa.string())])
 
 
 class Segment(NamedTuple):
@@ -60,7 +63,8 @@ class Target:
         if not versions:
             raise FileNotFoundError(f"no target at {self.root}")
         version = versions[-1] if version is None else version
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest/v={version}").collect()
+        rows = self.spark.read.schema(
+            from_arrow_schema(_MANIFEST)).parquet(f"{self.root}/_manifest/v={version}").collect()
         head = rows[0]
         return {
             "version": version,
@@ -80,7 +84,8 @@ class Target:
         common = (json.dumps(state["schema"].jsonValue()), json.dumps(state["keys"]), state["slices"],
                   json.dumps(applied))
         rows = [(*s, *common) for s in segments] or [(None, None, None, *common)]
-        (self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        table = pa.Table.from_pylist([dict(zip(_MANIFEST.names, r)) for r in rows], _MANIFEST)
+        (self.spark.createDataFrame(table).coalesce(1)
          .write.mode("errorifexists").parquet(folder))
         return version
 
@@ -161,6 +166,12 @@ class Target:
             return {0}
         return {r[0] for r in rows.select(self._slice_of(state)).distinct().collect()}
 
+    def _measure(self, state: dict, work: DataFrame) -> tuple[set[int], bool]:
+        """In one pass over the work rows: the slices they touch, and may they be broadcast?"""
+        seen = work.select(self._slice_of(state).alias("s"), merge.row_bytes(work).alias("b")).agg(
+            F.collect_set("s").alias("slices"), F.sum("b").alias("size")).first()
+        return set(seen["slices"]), (seen["size"] or 0) <= merge.BROADCAST_BYTES
+
     def _guard(self, state: dict, allow: bool, what: str) -> None:
         if has_history(state["schema"].names) and not allow:
             raise merge.HistoryLossError(f"{what} would lose the history of {self.root}; "
@@ -233,9 +244,9 @@ class Target:
         state = self._load()
         self._guard(state, allow_history_loss, "an upsert")
         keys = self._keys(state, keys)
-        touched = self._touched(state, work)
+        touched, small = self._measure(state, work)
         stale = [s for s in state["segments"] if s.kind == "live" and s.slice in touched]
-        before, small = self._read(state, stale), merge.fits_broadcast(work)
+        before = self._read(state, stale)
         new = merge.unmatched(before, work, keys, small)
         added = self._write(state, self._complete(state, new))
         # Only non-key columns can change, so a table of keys alone is left as it is.
@@ -261,16 +272,15 @@ class Target:
         if not has_history(state["schema"].names):
             return self.upsert(work, keys, token=token)
         keys = self._keys(state, keys)
-        touched = self._touched(state, work)
+        touched, small = self._measure(state, work)
         stale = [s for s in state["segments"] if s.kind == "live" and s.slice in touched]
-        small = merge.fits_broadcast(work)
         flagged = merge.flag_changes(self._read(state, stale), work, keys, run_ts, compare, null_safe,
                                      small).drop("_hit", "_expired")
         kept = self._write(state, flagged, F.when(F.col("is_current"), "live").otherwise("closed")) if stale else []
         live = [s for s in kept if s.kind == "live"]
         closed = [s for s in kept if s.kind == "closed"]
         still = merge.matched_keys(self._read(state, live), work, keys, small)
-        new = merge.align(work, flagged).join(still, keys, "left_anti")
+        new = merge.anti_join(merge.align(work, flagged), still, keys)
         added = self._write(state, merge.new_versions(new, run_ts))
         self._commit(state, [s for s in state["segments"] if s not in stale] + kept + added, token)
         return LoadCounts(rows_inserted=self._count(state, added), rows_expired=self._count(state, closed))

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark import fs
 from tidemark.functions.predicates import FIRST_START, name_list
 from tidemark.functions.types import column_metadata, target_schema
 from tidemark.operators.dedup import dedup
@@ -112,7 +113,7 @@ def _export(run: _Run) -> None:
              max_id=top if top is not None else (mark or {}).get("max_id"))
 
 
-def _work_rows(place: Place, job: dict, target: Target, batches: list[int]) -> tuple[DataFrame, staged.StageCounts]:
+def _work_rows(place: Place, job: dict, target: Target, batches: list[int], folder: str) -> tuple[DataFrame, staged.StageCounts]:
     """Staged batches as a typed work table with ``batch_id``; rejects are kept beside the target."""
     schema = T.StructType([f for f in target.schema if f.name.lower() not in
                            ("is_current", "eff_start_date", "eff_end_date")])
@@ -120,18 +121,23 @@ def _work_rows(place: Place, job: dict, target: Target, batches: list[int]) -> t
     text = staged.read_text(place.spark, folders, schema, job.get("delimiter"),
                             base=staged.table_folder(place.stage, job))
     checked = staged.check_rows(text, schema).withColumn("batch_id", F.col("batch_id").cast("long"))
-    folder = workspace(place.spark, f"work-{job['target_table']}")
-    work, bad, counts = staged.materialise(checked, schema, folder)
+    work, bad, counts = staged.materialise(checked, schema, f"{folder}/work")
     if counts.rows_rejected:
         bad.write.mode("append").parquet(f"{target.root}/_rejects")
     return work.drop("_file"), counts
 
 
-def _unique(place: Place, job: dict, work: DataFrame, keys: list[str], fold: bool) -> DataFrame:
-    """Work rows one per key, written so that the loads below scan them and not the whole chain."""
+def _ready(place: Place, job: dict, work: DataFrame, keys: list[str], kind: str, folder: str) -> DataFrame:
+    """Work rows one per key. Loads that read them more than once get them written."""
+    if not keys or kind == "append":
+        return work.drop("batch_id")
     newest = [c for c in name_list(job.get("cdc_columns")) if c.lower() in [w.lower() for w in work.columns]]
-    rows = fold_batches(work, keys, "batch_id", newest) if fold else dedup(work.drop("batch_id"), keys, newest)
-    folder = workspace(place.spark, f"unique-{job['target_table']}")
+    if kind == "scd1":
+        rows = fold_batches(work, keys, "batch_id", newest)
+    else:
+        rows = dedup(work.drop("batch_id"), keys, newest)
+    if kind not in ("scd1", "scd2"):
+        return rows
     rows.write.parquet(folder)
     return place.spark.read.schema(rows.schema).parquet(folder)
 
@@ -156,15 +162,16 @@ def _load(run: _Run, batches: list[int]) -> None:
         groups = [[b] for b in batches]
     total, read = LoadCounts(), staged.StageCounts(0, 0, 0)
     for group in groups:
-        work, counts = run.step("copy", lambda g=group: _work_rows(place, job, target, g))
+        folder = workspace(place.spark, f"load-{job['target_table']}")
+        work, counts = run.step("copy", lambda g=group, f=folder: _work_rows(place, job, target, g, f))
         read = staged.StageCounts(*[a + b for a, b in zip(read, counts)])
 
-        def apply(rows=work, group=group):
-            ready = (_unique(place, job, rows, keys, fold=kind == "scd1") if keys and kind != "append"
-                     else rows.drop("batch_id"))
+        def apply(rows=work, group=group, folder=folder):
+            ready = _ready(place, job, rows, keys, kind, f"{folder}/unique")
             return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, run.start,
                                job.get("filter_condition"), allow, (STAGE_TOKEN, group[-1]))
         total = LoadCounts(*[a + b for a, b in zip(total, run.step("merge", apply))])
+        fs.remove(place.spark, folder)  # the rows are in the target now
     log = f"{kind}: {total.rows_inserted} inserted, {total.rows_updated} updated, {total.rows_expired} expired"
     known = {"rows_extracted": read.rows_loaded} if "rows_extracted" not in run.known else {}
     run.known.update(

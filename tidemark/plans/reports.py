@@ -157,6 +157,16 @@ def recent_changes(tables: dict[str, tuple[DataFrame, str]], since) -> DataFrame
         "row_count", "n_changed")
 
 
+def newest_rows(df: DataFrame, change_column: str, key: str, n: int = 10) -> DataFrame:
+    """The rows changed last: a sort that keeps n rows per task."""
+    return df.orderBy(F.desc(change_column), key).limit(n)
+
+
+def lookup(df: DataFrame, column: str, values: list) -> DataFrame:
+    """The rows with one of some values, to verify a load."""
+    return df.where(F.col(column).isin(values))
+
+
 def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
     """Labelled counts of both sides joined by table, with the difference and a match flag."""
     left = source.withColumnRenamed("row_count", "source_count")

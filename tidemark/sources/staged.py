@@ -20,7 +20,7 @@ from tidemark.session import spread_small
 NULL_MARKERS = ["NULL", ""]
 DELIMITER = "|"
 # One gzip file is one task, so files are cut by rows and not left to grow.
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 1_000_000
 
 
 class StageCounts(NamedTuple):
