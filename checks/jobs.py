@@ -59,7 +59,7 @@ _REPLAYED = f"""WITH {_BATCHED}, {_one(1)}, {_one(2)}, {_one(3)},
 def replay_backlog_scd2(spark, sf):
     """Every batch makes versions; all are found in one pass."""
     batches = _batched(spark, sf)
-    times = spark.createDataFrame([(n, at) for n, _, _, at in _BATCHES], "batch_id int, run_ts string")
+    times = {n: at for n, _, _, at in _BATCHES}
     empty = with_history(batches.select(*_LINE), _BATCHES[0][3]).limit(0)
     return replay.replay_scd2(empty, batches, _KEYS, times, newest=["l_shipdate"])
 

@@ -127,9 +127,9 @@ def stage_counts(spark, sf):
     """Counts of the work table, written in one pass over the staged text."""
     checked, schema = _broken(spark, sf)
     work, bad, _ = staged.materialise(checked, schema, workspace(spark, "work"))
-    loaded = work.agg(F.count(F.lit(1)).alias("rows_loaded"))
-    return loaded.crossJoin(bad.agg(F.count(F.lit(1)).alias("rows_rejected"))).select(
-        (F.col("rows_loaded") + F.col("rows_rejected")).alias("rows_read"), "rows_loaded", "rows_rejected")
+    both = work.select(F.lit(True).alias("ok")).unionByName(bad.select(F.lit(False).alias("ok")))
+    return both.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if("ok").alias("rows_loaded"),
+                    F.count_if(~F.col("ok")).alias("rows_rejected"))
 
 
 def _job(name):

@@ -81,7 +81,9 @@ def test_history_backlog_makes_a_version_per_batch(spark, place):
         jobs.run_table(place, job, "EXPORT", batch, datetime(2024, 1, day, 12))
     done = jobs.run_table(place, job, "LOAD", 10003, datetime(2024, 2, 1))
     assert (done["status"], done["rows_inserted"], done["rows_expired"]) == ("SUCCESS", 3, 2)
-    assert place.target(job).count() == 1 and place.target(job).read().count() == 3
+    rows = place.target(job).read().orderBy("eff_start_date").collect()
+    assert [(r["v"], r["is_current"]) for r in rows] == [("a", False), ("b", False), ("c", True)]
+    assert rows[0]["eff_end_date"] == rows[1]["eff_start_date"] > rows[0]["eff_start_date"]
 
 
 def test_failed_load_can_be_run_again(spark, place, monkeypatch):

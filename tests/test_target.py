@@ -97,3 +97,12 @@ def test_slices_need_their_own_key(spark):
     target = _target(spark)
     with pytest.raises(ValueError):
         target.upsert(spark.range(1).withColumn("v", F.lit(1)), keys=["v"])
+
+
+def test_compact_keeps_the_rows(spark):
+    target = _target(spark, slices=1)
+    for n in range(3):
+        target.append(spark.range(n + 1).withColumn("v", F.lit(n)))
+    before = target.read()
+    target.compact(most=2)
+    assert len(_folders(target)) == 1 and target.read().exceptAll(before).isEmpty() and target.count() == 106

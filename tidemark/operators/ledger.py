@@ -111,7 +111,7 @@ def create_batch(jobs: DataFrame, state: DataFrame, mode: str | None = None) ->
     rows = jobs.where("enabled = 'Y'")
     if mode:
         rows = rows.withColumn("execution_mode", F.lit(mode.upper()))
-    rows = rows.withColumn("stage_path", F.col("cloud_path")).crossJoin(next_batch_id(state))
+    rows = rows.withColumns({"stage_path": F.col("cloud_path"), "batch_id": next_batch_id(state).scalar()})
     blank = {f.name: F.lit(None).cast(f.dataType) for f in STATE_SCHEMA if f.name not in rows.columns}
     return skip_marks(rows.withColumns(blank)).select(*STATE_SCHEMA.names)
 
@@ -176,7 +176,7 @@ class Ledger:
     def compact(self) -> None:
         """Write all events again as few files, then drop the old folders. Run while no job runs."""
         old = fs.children(self.spark, self.path)
-        self.append(self.events().coalesce(1))
+        self.append(self.events().hint("rebalance"))
         for name in old:
             fs.remove(self.spark, f"{self.path}/{name}")
 

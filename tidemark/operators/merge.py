@@ -160,14 +160,25 @@ def scd1(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool =
     return kept.unionByName(unmatched(target, work, keys, small_work), allowMissingColumns=True)
 
 
+def _totals(inserted: DataFrame, updated: DataFrame | None = None, flagged: DataFrame | None = None) -> DataFrame:
+    """One row of counts from the parts of a load, added up in a single aggregate."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    parts = inserted.select(one.alias("i"), none.alias("u"), none.alias("e"))
+    if updated is not None:
+        parts = parts.unionByName(updated.select(none.alias("i"), one.alias("u"), none.alias("e")))
+    if flagged is not None:
+        parts = parts.unionByName(flagged.select(none.alias("i"), none.alias("u"),
+                                                 F.col("_expired").cast("long").alias("e")))
+    return parts.agg(*[F.coalesce(F.sum(c), none).alias(f"rows_{name}")
+                       for c, name in (("i", "inserted"), ("u", "updated"), ("e", "expired"))])
+
+
 def scd1_counts(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool = False) -> DataFrame:
     """One row: rows_inserted, rows_updated, rows_expired."""
     keys, values = split_keys(target.columns, keys)
     updated = (target.select(*keys).join(_sized(work.select(*keys), small_work), keys, "left_semi")
-               if values else target.limit(0))
-    inserted = unmatched(target, work, keys, small_work).agg(F.count(F.lit(1)).alias("rows_inserted"))
-    return inserted.crossJoin(updated.agg(F.count(F.lit(1)).alias("rows_updated"))).select(
-        "rows_inserted", "rows_updated", F.lit(0).cast("long").alias("rows_expired"))
+               if values else None)
+    return _totals(unmatched(target, work, keys, small_work), updated)
 
 
 def flag_changes(current: DataFrame, work: DataFrame, keys: list[str], run_ts,
@@ -231,9 +242,7 @@ def scd2_counts(target: DataFrame, work: DataFrame, keys: list[str], run_ts,
     if not has_history(target.columns):
         return scd1_counts(target, work, keys, small_work)
     parts = scd2_parts(target, work, keys, run_ts, compare, null_safe, small_work)
-    expired = parts.flagged.agg(F.count_if("_expired").alias("rows_expired"))
-    return parts.inserted.agg(F.count(F.lit(1)).alias("rows_inserted")).crossJoin(expired).select(
-        "rows_inserted", F.lit(0).cast("long").alias("rows_updated"), "rows_expired")
+    return _totals(parts.inserted, flagged=parts.flagged)
 
 
 def load_kind(load_type: str | None, scd_type: int | None) -> str:

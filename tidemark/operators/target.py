@@ -132,8 +132,8 @@ class Target:
             self.read().createOrReplaceTempView(view)
             return
         columns = ", ".join(f"`{c}`" for c in state["schema"].names)
-        parts = [f"SELECT {columns} FROM parquet.`{self.root}/{s.folder}`" for s in state["segments"]]
-        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS " + " UNION ALL ".join(parts))
+        folders = ",".join(s.folder for s in state["segments"])
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{self.root}/{{{folders}}}`")
 
     # -- writing ----------------------------------------------------------------------
 
@@ -322,6 +322,19 @@ class Target:
         hit = F.expr(condition) if isinstance(condition, str) else condition
         self._rewrite(lambda rows: rows.where(hit), lambda rows: rows.where(~F.coalesce(hit, F.lit(False))))
 
+    def compact(self, most: int = 8) -> None:
+        """Write slices that have come to lie in more than ``most`` folders as one folder again."""
+        state = self._load()
+        places: dict[tuple[str, int], list[Segment]] = {}
+        for s in state["segments"]:
+            places.setdefault((s.kind, s.slice), []).append(s)
+        kept = [s for found in places.values() if len(found) <= most for s in found]
+        many = [s for s in state["segments"] if s not in set(kept)]
+        for kind in sorted({s.kind for s in many}):
+            kept += self._write(state, self._read(state, [s for s in many if s.kind == kind]), kind)
+        if many:
+            self._commit(state, kept)
+
     def truncate(self) -> None:
         self._commit(self._load(), [])
 

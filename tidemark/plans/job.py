@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -67,6 +67,10 @@ class _Run:
         self.clock = time.monotonic()
         self.known: dict = {}
 
+    def now(self) -> datetime:
+        """The run's start moved on by the time passed: later batches get later versions."""
+        return self.start + timedelta(seconds=time.monotonic() - self.clock)
+
     def note(self, **values) -> None:
         self.known.update(values)
         self.place.ledger.event(self.batch_id, self.job_id, time.time_ns() // 1000, **values)
@@ -168,7 +172,7 @@ def _load(run: _Run, batches: list[int]) -> None:
 
         def apply(rows=work, group=group, folder=folder):
             ready = _ready(place, job, rows, keys, kind, f"{folder}/unique")
-            return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, run.start,
+            return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, run.now(),
                                job.get("filter_condition"), allow, (STAGE_TOKEN, group[-1]))
         total = LoadCounts(*[a + b for a, b in zip(total, run.step("merge", apply))])
         fs.remove(place.spark, folder)  # the rows are in the target now

@@ -34,11 +34,11 @@ def _as_compared(rows: DataFrame, values: list[str]) -> Column:
     return F.struct(*parts) if parts else F.struct(F.lit(0).alias("none"))
 
 
-def replay_scd2(target: DataFrame, batches: DataFrame, keys: list[str], batch_times: DataFrame,
+def replay_scd2(target: DataFrame, batches: DataFrame, keys: list[str], batch_times: dict[int, str],
                 batch: str = "batch_id", newest: list[str] | None = None) -> DataFrame:
     """The history target after all batches, as if they had been loaded one after the other.
 
-    ``batch_times`` holds (batch, run_ts), one row per batch. The target may hold at most one
+    ``batch_times`` gives the run time of every batch. The target may hold at most one
     current row per key, as history loads leave it. After the first de-duplication a key has
     at most one row per batch, which bounds every window below by the number of batches.
     """
@@ -47,7 +47,10 @@ def replay_scd2(target: DataFrame, batches: DataFrame, keys: list[str], batch_ti
     one = dedup(batches, [batch, *keys], newest)
     work = align(one, target).columns
     staged = one.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in work], batch)
-    staged = staged.join(batch_times.select(batch, F.col("run_ts").cast("timestamp_ntz").alias("_start")), batch)
+    # A few literals, so looked up in the row; a join would gather each batch in one task.
+    kind = staged.schema[batch].dataType
+    times = F.create_map(*[c for n, at in batch_times.items() for c in (F.lit(n).cast(kind), F.lit(str(at)))])
+    staged = staged.withColumn("_start", times[F.col(batch)].cast("timestamp_ntz"))
 
     is_current = F.coalesce("is_current", F.lit(False))
     before = target.where(is_current).select(

@@ -82,7 +82,7 @@ def enabled_jobs(config: DataFrame, batch: DataFrame | None = None, mode: str |
             jobs = jobs.where(F.col(name) == wanted)
     if mode:
         jobs = jobs.withColumn("execution_mode", F.lit(mode.upper()))
-    return jobs.crossJoin(batch) if batch is not None else jobs
+    return jobs.withColumn("batch_id", batch.scalar()) if batch is not None else jobs
 
 
 def settings_view(config: DataFrame) -> DataFrame:
