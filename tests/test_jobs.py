@@ -100,6 +100,39 @@ def test_failed_load_can_be_run_again(spark, place, monkeypatch):
     assert done["status"] == "SUCCESS" and place.target(job).count() == 1
 
 
+def test_failed_append_is_not_loaded_twice(spark, place, monkeypatch):
+    job = _settings("app", scd_type=0)
+    SOURCE["app"] = _rows(spark, (1, "a", "2024-01-01"))
+    with monkeypatch.context() as m:
+        m.setattr(jobs.Target, "append", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("broke")))
+        assert jobs.run_table(place, job, "FULL", 10000, datetime(2024, 1, 2))["status"] == "FAILED"
+    SOURCE["app"] = _rows(spark, (1, "a", "2024-01-01"), (2, "b", "2024-01-03"))
+    done = jobs.run_table(place, job, "FULL", 10001, datetime(2024, 1, 4))
+    assert (done["status"], done["rows_inserted"], place.target(job).count()) == ("SUCCESS", 2, 2)
+    assert [r["final_status"] for r in place.ledger.state().orderBy("batch_id").collect()] == ["SUCCESS"] * 2
+
+
+def test_batch_of_a_dead_export_is_not_loaded(spark, place):
+    from tidemark import fs
+    job = _settings("dead")
+    folder = staged.batch_folder(place.stage, job, 10000)
+    staged.write_staged(_rows(spark, (1, "a", "2024-01-01")), folder)
+    fs.remove(spark, f"{folder}/_SUCCESS")
+    assert staged.pending_batches(spark, place.stage, job) == []
+
+
+def test_settings_table_runs_enabled_jobs(spark, place):
+    SOURCE["one"] = _rows(spark, (1, "a", "2024-01-01"))
+    SOURCE["two"] = _rows(spark, (1, "a", "2024-01-01"))
+    fields = config.CONFIG_SCHEMA
+    rows = [tuple({**_settings(n), "active": on}.get(f) for f in fields.names) for n, on in (("one", True), ("two", False))]
+    place.audit = f"{place.stage}/../audit"
+    out = jobs.run_config(place, spark.createDataFrame(rows, fields), now=datetime(2024, 1, 2)).collect()
+    assert [(r["table_name"], r["status"]) for r in out] == [("one", "SUCCESS")]
+    audit = spark.read.option("recursiveFileLookup", "true").parquet(place.audit).first()
+    assert audit["extract_end"] == datetime(2024, 1, 2) and audit["final_status"] == "SUCCESS"
+
+
 def test_nothing_to_load_fails(spark, place):
     SOURCE["none"] = _rows(spark, (1, "a", "2024-01-01"))
     result = jobs.run_table(place, _settings("none"), "LOAD", 10000)

@@ -57,9 +57,9 @@ def _table_key() -> list[str]:
     return ["source_db", "source_schema", "source_table"]
 
 
-def watermarks(state: DataFrame) -> DataFrame:
-    """Per source table: window and highest id of the last successful run that extracted."""
-    done = state.where((F.col("final_status") == SUCCESS) & F.col("execution_mode").isin(EXTRACTING_MODES))
+def watermarks(state: DataFrame, status: str = "final_status") -> DataFrame:
+    """Per source table: window and highest id of the last run that extracted with success."""
+    done = state.where((F.col(status) == SUCCESS) & F.col("execution_mode").isin(EXTRACTING_MODES))
     last = F.max_by(F.struct("batch_id", "window_start", "window_end", "max_id"), F.struct("batch_id", "job_id"))
     return done.groupBy(*_table_key()).agg(last.alias("w")).select(*_table_key(), "w.*")
 
@@ -173,6 +173,11 @@ class Ledger:
     def state(self) -> DataFrame:
         return cascade(fold(self.events()))
 
+    def write_audit(self, folder: str, batch_id: int, job_id: int) -> None:
+        """Append what the audit table keeps of one run."""
+        rows = audit_rows(self.state(), batch_id, job_id)
+        rows.write.parquet(f"{folder.rstrip('/')}/{uuid.uuid4().hex}")
+
     def compact(self) -> None:
         """Write all events again as few files, then drop the old folders. Run while no job runs."""
         old = fs.children(self.spark, self.path)
@@ -184,10 +189,14 @@ class Ledger:
         return next_batch_id(self.events()).first()["batch_id"]
 
     def watermark(self, job: dict) -> dict | None:
-        """The last window of one source table, or None before its first extract."""
-        needed = [*_table_key(), "execution_mode", "final_status", "window_start", "window_end", "max_id"]
+        """The last staged window of one source table, or None before its first extract.
+
+        A run whose load failed counts: its files wait in the stage and go in with the next load, so
+        extracting them again would load them twice.
+        """
+        needed = [*_table_key(), "execution_mode", "export_status", "window_start", "window_end", "max_id"]
         state = fold(self.events().select("batch_id", "job_id", "seq", *needed))
         for name in _table_key():
             state = state.where(F.col(name) == job[name])
-        found = watermarks(state).first()
+        found = watermarks(state, "export_status").first()
         return found.asDict() if found else None

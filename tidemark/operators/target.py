@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from tidemark import fs
-from tidemark.functions.types import data_columns, has_history, resolve
+from tidemark.functions.types import HISTORY_FIELDS, data_columns, has_history, resolve, with_history
 from tidemark.operators import merge
 
 _MANIFEST = pa.schema([("kind", pa.string()), ("slice", pa.int32()), ("folder", pa.string()), ("schema", pa.string()),
@@ -238,6 +238,15 @@ class Target:
         self._commit(state, written, token)
         return LoadCounts(rows_inserted=self._count(state, written))
 
+    def add_history(self, run_ts) -> None:
+        """Turn a plain target into a history one: every row is current since ``run_ts``."""
+        state = self._load()
+        if has_history(state["schema"].names):
+            return
+        rows = with_history(self._read(state, state["segments"]), run_ts)
+        state["schema"] = T.StructType(list(state["schema"]) + HISTORY_FIELDS)
+        self._commit(state, self._write(state, rows))
+
     def upsert(self, work: DataFrame, keys: list[str] | None = None, allow_history_loss: bool = False,
                token=None) -> LoadCounts:
         """SCD1 on the slices the work rows touch. ``work`` must be a written table."""

@@ -19,7 +19,7 @@ from tidemark.operators.merge import load_kind
 from tidemark.operators.target import LoadCounts, Target
 from tidemark.plans.replay import fold_batches
 from tidemark.session import workspace
-from tidemark.sources import staged, tables
+from tidemark.sources import config, staged, tables
 
 # Execution modes; INGEST is the older name of LOAD.
 MODES = ["FULL", "EXPORT", "LOAD"]
@@ -43,6 +43,7 @@ class Place:
     targets: str
     ledger: Ledger
     archive: str | None = None
+    audit: str | None = None
     custom_tables: dict[str, DataFrame] = field(default_factory=dict)
     encryption_key: bytes | None = None
 
@@ -187,7 +188,9 @@ def _load(run: _Run, batches: list[int]) -> None:
              target_count=target.count(), **known)
     for b in batches:
         if b != run.batch_id:
-            place.ledger.event(b, run.job_id, time.time_ns() // 1000, ingestion_completed="YES")
+            # Its run may have failed in a load step; its rows are in the target now.
+            place.ledger.event(b, run.job_id, time.time_ns() // 1000, ingestion_completed="YES", copy_status=SUCCESS,
+                               merge_status=SUCCESS, final_status=SUCCESS)
         if place.archive:
             # After the commit, so a load that failed can be run again.
             staged.archive(place.spark, place.stage, job, b, place.archive, run.start.strftime("%Y%m%d"))
@@ -220,7 +223,10 @@ def run_table(place: Place, job: dict, mode: str, batch_id: int, now: datetime |
                "load_type", "stage_path", "execution_mode", "job_start_time"}
     run.note(**{k: v for k, v in run.known.items() if k not in written}, final_status=status, job_duration=duration,
              job_end_time=datetime.now(timezone.utc).replace(tzinfo=None),
-             ingestion_completed="YES" if status == SUCCESS and mode != "EXPORT" else "NO")
+             ingestion_completed="YES" if status == SUCCESS and mode != "EXPORT" else "NO",
+             **({"audit_status": SUCCESS} if place.audit and status == SUCCESS else {}))
+    if place.audit:
+        place.ledger.write_audit(place.audit, batch_id, run.job_id)
     known = run.known
     return {"table_name": job["source_table"], "status": status, "duration": duration, "log": log,
             **{n: known.get(n) or 0 for n in ("source_count", "target_count", "rows_extracted", "rows_rejected",
@@ -246,3 +252,13 @@ def run_many(place: Place, jobs: list[dict], mode: str | None = None, batch_id:
         results = list(threads.map(inheritable_thread_target(spark)(one), enumerate(jobs, 1)))
     return spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA) for r in results],
                                  RESULT_SCHEMA).orderBy("table_name")
+
+
+def run_config(place: Place, settings: DataFrame, mode: str | None = None, at_once: int = 4,
+               now: datetime | None = None, **only: str | None) -> DataFrame:
+    """All enabled jobs of a settings table, or one table's (``source_db``, ``source_schema``,
+    ``source_table``), in one batch."""
+    enabled = config.with_job_ids(config.enabled_jobs(config.normalise(settings), None, mode, **only))
+    # One small row per table to replicate.
+    jobs = [row.asDict() for row in enabled.orderBy("source_db", "source_schema", "source_table").collect()]
+    return run_many(place, jobs, mode, None, at_once, now)

@@ -173,9 +173,10 @@ def staged_files(spark: SparkSession, folder: str) -> int:
 
 
 def pending_batches(spark: SparkSession, stage: str, job: dict) -> list[int]:
-    """Batches of a table that wait in the stage, oldest first."""
-    names = fs.children(spark, table_folder(stage, job))
-    return sorted(int(n[9:]) for n in names if n.startswith("batch_id=") and n[9:].isdigit())
+    """Batches of a table that wait in the stage, oldest first. A batch whose export died does not count."""
+    folder = table_folder(stage, job)
+    names = [n for n in fs.children(spark, folder) if n.startswith("batch_id=") and n[9:].isdigit()]
+    return sorted(int(n[9:]) for n in names if fs.exists(spark, f"{folder}/{n}/_SUCCESS"))
 
 
 def archive(spark: SparkSession, stage: str, job: dict, batch_id: int, archive_root: str, day: str) -> str:
