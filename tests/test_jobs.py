@@ -208,3 +208,19 @@ def test_stream_batch_runs_once(spark):
         writer = apply_stream(read_stream(spark, stage, schema), target, [], "incremental", 0)
         writer.option("checkpointLocation", workspace(spark, "cp")).trigger(availableNow=True).start().awaitTermination()
     assert target.count() == 4
+
+
+def test_stream_archives_files_of_earlier_batches(spark):
+    from tidemark.functions.types import column_metadata, target_schema
+    from tidemark.operators.target import Target
+    from tidemark.streaming.staged_stream import apply_stream, read_stream
+    rows = spark.range(3).withColumn("v", F.lit("x"))
+    schema = target_schema(column_metadata(rows))
+    stage, done, checkpoint = workspace(spark, "stage"), workspace(spark, "done"), workspace(spark, "cp")
+    target = Target(spark, workspace(spark, "t")).create(schema, ["id"])
+    for n in range(3):
+        staged.write_staged(rows.withColumn("v", F.lit(str(n))), f"{stage}/batch_id={n}")
+        stream = read_stream(spark, stage, schema, archive=done)
+        apply_stream(stream, target, ["id"], "incremental", 1).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start().awaitTermination()
+    assert [(r["id"], r["v"]) for r in target.read().orderBy("id").collect()] == [(0, "2"), (1, "2"), (2, "2")]

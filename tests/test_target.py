@@ -106,3 +106,17 @@ def test_compact_keeps_the_rows(spark):
     before = target.read()
     target.compact(most=2)
     assert len(_folders(target)) == 1 and target.read().exceptAll(before).isEmpty() and target.count() == 106
+
+
+def test_new_keys_rewrite_nothing(spark):
+    target = _target(spark)
+    before = _folders(target)
+    counts = target.upsert(spark.range(1000, 1050).withColumn("v", F.lit(1)))
+    assert (counts.rows_inserted, counts.rows_updated) == (50, 0)
+    assert before < _folders(target) and target.count() == 150
+
+
+def test_work_keys_of_another_type_find_their_slice(spark):
+    target = _target(spark, slices=8)
+    counts = target.upsert(spark.createDataFrame([(i, 1) for i in range(20)], "id int, v int"))
+    assert (counts.rows_inserted, counts.rows_updated) == (0, 20) and target.count() == 100

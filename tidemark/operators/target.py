@@ -140,7 +140,9 @@ class Target:
     def _slice_of(self, state: dict) -> Column:
         if state["slices"] <= 1:
             return F.lit(0)
-        return F.pmod(F.xxhash64(*state["keys"]), F.lit(state["slices"])).cast("int")
+        # The hash depends on the type, so work keys take the target's types first.
+        keys = [F.col(k).cast(state["schema"][k].dataType) for k in state["keys"]]
+        return F.pmod(F.xxhash64(*keys), F.lit(state["slices"])).cast("int")
 
     def _write(self, state: dict, rows: DataFrame, kind: Column | str = "live") -> list[Segment]:
         """Write rows to new folders by kind and slice and list what came out."""
@@ -172,6 +174,21 @@ class Target:
             F.collect_set("s").alias("slices"), F.sum("b").alias("size")).first()
         return set(seen["slices"]), (seen["size"] or 0) <= merge.BROADCAST_BYTES
 
+    def _matches(self, state: dict, work: DataFrame, keys: list[str]) -> tuple[list[Segment], bool, dict[int, int]]:
+        """Live segments of the touched slices, may the work rows be broadcast, and how many target rows
+        of each slice have a work row.
+
+        Reads the key columns only. Slices without a match need no rewrite: all they get is new rows.
+        """
+        touched, small = self._measure(state, work)
+        before = [s for s in state["segments"] if s.kind == "live" and s.slice in touched]
+        if not before:
+            return before, small, {}
+        found = self._read(state, before).select(*keys).join(
+            F.broadcast(work.select(*keys)) if small else work.select(*keys), keys, "left_semi")
+        rows = found.groupBy(self._slice_of(state).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()
+        return before, small, {r["s"]: r["n"] for r in rows}
+
     def _guard(self, state: dict, allow: bool, what: str) -> None:
         if has_history(state["schema"].names) and not allow:
             raise merge.HistoryLossError(f"{what} would lose the history of {self.root}; "
@@ -253,21 +270,19 @@ class Target:
         state = self._load()
         self._guard(state, allow_history_loss, "an upsert")
         keys = self._keys(state, keys)
-        touched, small = self._measure(state, work)
-        stale = [s for s in state["segments"] if s.kind == "live" and s.slice in touched]
-        before = self._read(state, stale)
-        new = merge.unmatched(before, work, keys, small)
+        before, small, hits = self._matches(state, work, keys)
+        stale = [s for s in before if s.slice in hits]
+        new = merge.unmatched(self._read(state, stale), work, keys, small)
         added = self._write(state, self._complete(state, new))
         # Only non-key columns can change, so a table of keys alone is left as it is.
-        if set(data_columns(state["schema"].names)) - set(keys):
-            changed = merge.upserted(before, work, keys, small).drop("_hit")
-            kept = self._write(state, changed) if stale else []
-            updated = before.select(*keys).join(
-                F.broadcast(work.select(*keys)) if small else work.select(*keys), keys, "left_semi").count()
+        if not set(data_columns(state["schema"].names)) - set(keys):
+            kept, hits = stale, {}
+        elif stale:
+            kept = self._write(state, merge.upserted(self._read(state, stale), work, keys, small).drop("_hit"))
         else:
-            kept, updated = stale, 0
+            kept = []
         self._commit(state, [s for s in state["segments"] if s not in stale] + kept + added, token)
-        return LoadCounts(rows_inserted=self._count(state, added), rows_updated=updated)
+        return LoadCounts(rows_inserted=self._count(state, added), rows_updated=sum(hits.values()))
 
     def track(self, work: DataFrame, run_ts, keys: list[str] | None = None,
               compare: list[str] | None = None, null_safe: bool = False, token=None) -> LoadCounts:
@@ -281,8 +296,8 @@ class Target:
         if not has_history(state["schema"].names):
             return self.upsert(work, keys, token=token)
         keys = self._keys(state, keys)
-        touched, small = self._measure(state, work)
-        stale = [s for s in state["segments"] if s.kind == "live" and s.slice in touched]
+        before, small, hits = self._matches(state, work, keys)
+        stale = [s for s in before if s.slice in hits]
         flagged = merge.flag_changes(self._read(state, stale), work, keys, run_ts, compare, null_safe,
                                      small).drop("_hit", "_expired")
         kept = self._write(state, flagged, F.when(F.col("is_current"), "live").otherwise("closed")) if stale else []

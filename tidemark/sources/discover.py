@@ -29,24 +29,23 @@ def key_candidates(df: DataFrame, pattern: str = KEY_PATTERN) -> list[str]:
 
 
 
-def key_profile(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per candidate: rows, non-null values, distinct values, and is it a key."""
-    counts = [F.count(F.lit(1)).alias("n_rows")]
-    for i, c in enumerate(columns):
-        counts += [F.count(c).alias(f"v{i}"), F.count_distinct(c).alias(f"d{i}")]
-    wide = df.agg(*counts)
-    entries = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col("n_rows"),
-                        F.col(f"v{i}").alias("n_values"), F.col(f"d{i}").alias("n_distinct"),
-                        ((F.col(f"d{i}") == F.col("n_rows")) & (F.col("n_rows") > 0)).alias("is_key"))
-               for i, c in enumerate(columns)]
-    return wide.select(F.inline(F.array(*entries)))
+def key_profile(name: str, df: DataFrame, column: str) -> DataFrame:
+    """One row: rows, non-null values, distinct values of a candidate, and is it a key.
+
+    One column per scan: a single distinct count is pre-aggregated before its shuffle, while
+    several in one aggregate would multiply the rows.
+    """
+    n_distinct = F.count_distinct(column)
+    n_rows = F.count(F.lit(1))
+    return df.agg(n_rows.alias("n_rows"), F.count(column).alias("n_values"), n_distinct.alias("n_distinct"),
+                  ((n_distinct == n_rows) & (n_rows > 0)).alias("is_key")).select(
+        F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "*")
 
 
 def profile_keys(tables: dict[str, DataFrame], pattern: str = KEY_PATTERN) -> DataFrame:
     """Key candidates of many tables, each counted exactly."""
-    parts = [key_profile(n, df, key_candidates(df, pattern)) for n, df in tables.items()
-             if key_candidates(df, pattern)]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [key_profile(n, df, c) for n, df in tables.items()
+                                          for c in key_candidates(df, pattern)])
 
 
 def is_composite_key(df: DataFrame, columns: list[str]) -> DataFrame:
