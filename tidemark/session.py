@@ -35,13 +35,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster.
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary
-    folder made and set.
+    Only a session whose driver and executors are one process (``local[n]``) may leave it unset: it
+    gets a folder of its own. On a cluster an unset folder is an error, because each
+    executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
