@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, sharding
+from tidemark.llm import bpe, exact_dedup, sharding, token_counts
 from tidemark.llm.common import table
 
+#: The vocabulary of the token operators, and the limit of the counts.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+LIMIT = 2048
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -30,3 +35,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.record_digest(sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), n_shards=16))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY, LIMIT)
+
+
+@query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, decoded_col="decoded")
+    return encoded.select("doc_id", *token_digests())
+
+
+def token_digests() -> list:
+    """Number of ids, and digests of the ids and of the decoded text, from what ``bpe.encode`` returns."""
+    return [F.size("token_ids").cast("long").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+            F.sha2(F.col("decoded"), 256).alias("decoded_sha256")]
