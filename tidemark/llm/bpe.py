@@ -139,7 +139,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
                     more.append(pa.array([" ".join(map(token, x)) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *(f.name for f in extra)])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
+    return arrow.mapped(docs, run, T.StructType([*docs.schema.fields, *extra]))
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
@@ -151,4 +151,5 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", decoded_co
             texts = pa.array([None if x is None else " ".join(map(token, x)) for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, decoded_col])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(decoded_col, T.StringType())]))
+    return arrow.mapped(encoded, run, T.StructType([*encoded.schema.fields,
+                                                       T.StructField(decoded_col, T.StringType())]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact_dedup, sharding, token_counts
+from tidemark.llm import bpe, exact_dedup, sharding, simhash, token_counts
 from tidemark.llm.common import table
 
 #: The vocabulary of the token operators, and the limit of the counts.
@@ -53,3 +53,8 @@ def token_digests() -> list:
     return [F.size("token_ids").cast("long").alias("n_tokens"),
             F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
             F.sha2(F.col("decoded"), 256).alias("decoded_sha256")]
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)

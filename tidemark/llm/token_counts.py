@@ -186,8 +186,7 @@ def token_counts(docs: DataFrame, path: str, budget: int = 2048, text_col: str =
                      pa.array([n > budget for n in totals], pa.bool_()), pa.array(fits, pa.int64())],
                     [*keep, *(f.name for f in fields)])
 
-    return (docs.select(*dict.fromkeys([*keep, text_col]))
-            .mapInArrow(run, T.StructType([*keep_fields, *fields])))
+    return arrow.mapped(docs.select(*dict.fromkeys([*keep, text_col])), run, T.StructType([*keep_fields, *fields]))
 
 
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "prefix_tokens") -> DataFrame:
@@ -202,5 +201,5 @@ def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", out_col: s
                     lists.append([counter.count_at(stored, i) for i in range(1, stored[3] + 1)])
                 yield pa.RecordBatch.from_arrays([*part.columns, arrow.ints(lists)], [*part.schema.names, out_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields,
+    return arrow.mapped(docs, run, T.StructType([*docs.schema.fields,
                                               T.StructField(out_col, T.ArrayType(T.IntegerType()))]))
