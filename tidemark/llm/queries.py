@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact_dedup, sharding, simhash, token_counts
+from tidemark.llm import bpe, exact_dedup, langid, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
 
 #: The vocabulary of the token operators, and the limit of the counts.
@@ -58,3 +58,17 @@ def token_digests() -> list:
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
+
+
+@query("op6_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "draws")
+
+
+@query("op10_langid")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.is_held_out()))
+    return langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
+        "doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score", "lang_spans")
