@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -43,8 +45,7 @@ def _piece(batch, text_col, start, end):
 
 def ints(lists: list[list[int]]) -> pa.Array:
     """A column of integer lists."""
-    import numpy as np
     offsets = np.zeros(len(lists) + 1, np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
-    flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

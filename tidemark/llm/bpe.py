@@ -16,22 +16,23 @@ inside a text become their ids, as the library does by default.
 from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm import arrow
-from tidemark.llm.vocabulary import Vocabulary, load
+from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
-#: Words a worker remembers before it starts anew.
-MEMORY = 300_000
+#: Words of a generation of a worker's memory.
+MEMORY = 400_000
 
 
 class PairIndex:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.rank = {(a << 32) | b: r for r, (a, b, _) in enumerate(vocabulary.merges)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.words = Memory(MEMORY, self.encode)
 
     def encode(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word."""
@@ -93,19 +94,14 @@ class PairIndex:
 
     def encode_texts(self, texts: list[str]) -> list[list[int]]:
         split = [list(self.v.pieces(t)) for t in texts]
-        words = {w for pieces in split for _, ws in pieces for w in ws}
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > MEMORY:
-            self.known, new = {}, list(words)
-        self.known.update(zip(new, self.encode(new)))
-        known, out = self.known.__getitem__, []
+        known = self.words.know({w for pieces in split for _, ws in pieces for w in ws}).__getitem__
+        out = []
         for pieces in split:
             ids: list[int] = []
             for special, ws in pieces:
                 if special is not None:
                     ids.append(special)
-                for x in map(known, ws):
-                    ids += x
+                ids.extend(chain.from_iterable(map(known, ws)))
             out.append(ids)
         return out
 

@@ -17,16 +17,17 @@ Defined results: a NULL or empty text has no tokens. Special strings inside a te
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm import arrow
-from tidemark.llm.vocabulary import Vocabulary, load
+from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
-#: Words and pairs of tokens a worker remembers before it starts anew.
-MEMORY = 300_000
+#: Words of a generation of a worker's memory, and pairs of tokens before it starts anew.
+MEMORY = 400_000
 PAIRS = 2_000_000
 
 
@@ -37,10 +38,10 @@ class PrefixCounter:
         self.inner = {t: i for t, i in v.ids.items() if not t.endswith(v.suffix)}
         self.final = {t[:-n]: i for t, i in v.ids.items() if t.endswith(v.suffix)}
         self.longest = max(map(len, [*self.inner, *self.final]))
-        self.rank = {(a, b): (r, c) for r, (a, b, c) in enumerate(v.merges)}
+        self.rank = {(a << 32) | b: r for r, (a, b, _) in enumerate(v.merges)}
         self.byte = {c: b for b, c in enumerate(v.letter)}
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words = Memory(MEMORY, self.tables)
 
     def _symbols(self, token: int) -> list[int]:
         text = self.v.tokens[token]
@@ -55,63 +56,75 @@ class PrefixCounter:
 
     def _merged(self, symbols: list[int]) -> list[int]:
         """A few symbols after all merges, lowest rank first."""
+        rank = self.rank
         while True:
-            found = min(((*self.rank[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in self.rank),
-                        key=lambda x: (x[0], x[2]), default=None)
-            if found is None:
+            best = at = None
+            for i in range(len(symbols) - 1):
+                r = rank.get((symbols[i] << 32) | symbols[i + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
                 return symbols
-            _, new, i = found
-            symbols = [*symbols[:i], new, *symbols[i + 2:]]
-
-    def compatible(self, left: int, right: int) -> bool:
-        """left -1: ``right`` stands alone."""
-        key = (left << 32) | right
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            if left < 0:
-                known = self._merged(self._symbols(right)) == [right]
-            else:
-                known = self._merged(self._symbols(left) + self._symbols(right)) == [left, right]
-            self.pairs[key] = known
-        return known
-
-    def table(self, word: str) -> tuple[int, ...]:
-        """The token count of each prefix of a word, from one character to all."""
-        if (known := self.words.get(word)) is not None:
-            return known
-        if len(self.words) > MEMORY:
-            self.words.clear()
+            symbols = [*symbols[:at], self.v.merges[best][2], *symbols[at + 2:]]
+
+    def _compatible(self, key: int) -> bool:
+        """Does a pair of tokens (left << 32 | right; left -1: none) encode to itself?"""
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        left, right = key >> 32, key & 0xFFFFFFFF
+        if left < 0:
+            fits = self._merged(self._symbols(right)) == [right]
+        else:
+            fits = self._merged(self._symbols(left) + self._symbols(right)) == [left, right]
+        self.pairs[key] = fits
+        return fits
+
+    def tables(self, words: list[str]) -> Iterator[tuple[int, ...] | bytes]:
+        """For each word, the token count of each of its prefixes, from one character to all."""
+        return map(self._table, words)
+
+    def _table(self, word: str) -> tuple[int, ...] | bytes:
         raw = word.encode()
-        letters = "".join([self.v.letter[b] for b in raw])
-        ends = list(accumulate(len(c.encode()) for c in word)) if len(raw) > len(word) else range(1, len(word) + 1)
-        last, count = [-1], [0]  # of each prefix as the start of a longer word
-
-        def step(tokens, i):
-            for j in range(max(0, i - self.longest), i):
-                token = tokens.get(letters[j:i])
-                if token is not None and self.compatible(last[j], token):
-                    return token, count[j] + 1
-            raise ValueError(f"no token ends at {i} of {word[:50]!r}")
-
-        for i in range(1, len(letters)):
-            token, n = step(self.inner, i)
-            last.append(token)
-            count.append(n)
-        out = tuple([step(self.final, i)[1] for i in ends])
-        self.words[word] = out
-        return out
-
-    def total(self, text: str) -> int:
-        table, n = self.table, 0
-        for special, words in self.v.pieces(text):
-            n += special is not None
-            n += sum([table(w)[-1] for w in words])
-        return n
-
-    def prefixes(self, text: str) -> tuple[list[int], list[int], list[tuple[int, ...]], int]:
+        letters, n = "".join([self.v.letter[b] for b in raw]), len(raw)
+        inner, final, pair, longest = self.inner.get, self.final.get, self.pairs.get, self.longest
+        last, count, ends = [-1], [0], [0]  # of each prefix as the start of a longer word; counts as a whole word
+        for i in range(1, n + 1):
+            grow, end = i < n, True
+            for j in range(i - longest if i > longest else 0, i):
+                text = letters[j:i]
+                if grow and (token := inner(text)) is not None:
+                    if (fits := pair(key := (last[j] << 32) | token)) is None:
+                        fits = self._compatible(key)
+                    if fits:
+                        now, grow = (token, count[j] + 1), False
+                        if not end:
+                            break
+                if end and (token := final(text)) is not None:
+                    if (fits := pair(key := (last[j] << 32) | token)) is None:
+                        fits = self._compatible(key)
+                    if fits:
+                        ends.append(count[j] + 1)
+                        end = False
+                        if not grow:
+                            break
+            if grow or end:
+                raise ValueError(f"no token ends at {i} of {word[:50]!r}")
+            if i < n:
+                last.append(now[0])
+                count.append(now[1])
+        if n > len(word):  # only whole characters end a prefix
+            ends = [ends[i] for i in accumulate((len(c.encode()) for c in word), initial=0)]
+        return bytes(ends[1:]) if n < 256 else tuple(ends[1:])
+
+    def totals(self, texts: list[str]) -> list[int]:
+        split = [list(self.v.pieces(t)) for t in texts]
+        known = self.words.know({w for pieces in split for _, ws in pieces for w in ws})
+        return [sum([1 if special is not None else sum([known[w][-1] for w in ws]) for special, ws in pieces])
+                for pieces in split]
+
+    def prefixes(self, text: str):
         """(where each word starts, tokens before it, its table, length of the normalised text)."""
+        known = self.words.know({w for _, ws in self.v.pieces(text) for w in ws})
         starts, counts, tables, at, n = [], [], [], 0, 0
         for i, part in enumerate(self.v.specials.split(text)):
             if i % 2:  # a special string counts when it is complete
@@ -124,7 +137,7 @@ class PrefixCounter:
             for m in self.v.pattern.finditer(part):
                 starts.append(at + m.start())
                 counts.append(n)
-                tables.append(self.table(m.group()))
+                tables.append(known[m.group()])
                 n += tables[-1][-1]
             at += len(part)
         return starts, counts, tables, at
@@ -177,7 +190,7 @@ def token_counts(docs: DataFrame, path: str, budget: int = 2048, text_col: str =
         counter = _counter(path)
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col):
-                totals = [counter.total(t) for t in texts]
+                totals = counter.totals(texts)
                 fits = [counter.longest_within(counter.prefixes(t), budget) if n > budget else None
                         for t, n in zip(texts, totals)]
                 kept = [part.column(part.schema.get_field_index(c)) for c in keep]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import regex
@@ -61,6 +62,26 @@ class Vocabulary:
                 yield None, self.pattern.findall(self.normal(part))
 
 
+class Memory:
+    """What a worker knows of words, in two generations: a word that is not met for one generation is forgotten."""
+
+    def __init__(self, most: int, make: Callable[[list[str]], Iterable]):
+        self.most, self.make = most, make
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def know(self, words: set[str]) -> dict:
+        """A dictionary that holds all these words."""
+        missing = words - self.young.keys()
+        if len(self.young) + len(missing) > self.most:
+            self.old, self.young, missing = self.young, {}, words
+        back = missing & self.old.keys()
+        self.young.update(zip(back, map(self.old.__getitem__, back)))
+        new = list(missing - back)
+        self.young.update(zip(new, self.make(new)))
+        return self.young
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Vocabulary:
     """One copy per Python worker."""
