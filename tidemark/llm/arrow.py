@@ -9,18 +9,23 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTF-8 bytes of text that are worked on at once; a longer text is worked on alone.
 PIECE_BYTES = 2 << 20
 
 
-def mapped(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` whose workers find this library also where only the driver's path names it."""
-    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers find this library also where only the driver's path names it."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     known = env.get("PYTHONPATH", "").split(":")
     if root not in known:
         env["PYTHONPATH"] = ":".join(filter(None, [*known, root]))
+
+
+def mapped(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with workers that find this library."""
+    reach_workers(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

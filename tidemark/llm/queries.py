@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact_dedup, langid, mixing, sharding, simhash, token_counts
+from tidemark.llm import ann, bpe, exact_dedup, langid, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
 
 #: The vocabulary of the token operators, and the limit of the counts.
@@ -72,3 +72,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~langid.is_held_out()))
     return langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
         "doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score", "lang_spans")
+
+
+@query("op4_ann")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
