@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, bpe, exact_dedup, langid, mixing, sharding, simhash, token_counts
+from tidemark.llm import ann, bpe, chat, exact_dedup, langid, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
 
 #: The vocabulary of the token operators, and the limit of the counts.
@@ -24,6 +24,16 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_chat")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(rows.unionByName(more)))
+
+
 @query("op3_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
