@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, bpe, chat, exact_dedup, langid, mixing, sharding, simhash, token_counts
+from tidemark.llm import ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
 
 #: The vocabulary of the token operators, and the limit of the counts.
@@ -24,6 +24,19 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def as_file(doc_id: str = "doc_id"):
+    """The path of a document: its source, and folders of a thousand and of fifty ids."""
+    def part(n):
+        return F.floor(F.col(doc_id) / n).cast("string")
+    return F.concat_ws("/", F.coalesce("source", F.lit("")), part(1000), part(50), F.col(doc_id).cast("string"))
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", as_file().alias("path"), "text")
+    return license_scan.scan(files).drop("text")
+
+
 @query("op2_chat")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
