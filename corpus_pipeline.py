@@ -15,8 +15,8 @@ LEAST_SCORE = 0.2
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that was learned; the columns are those of the input."""
     model = langid.fit(docs.filter(~langid.is_held_out()))
-    judged = langid.predict(docs, model)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    judged = langid.predict(docs.select(F.struct("*").alias("row"), "text"), model, keep=["row"])
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +31,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix draws them, shard by shard in shuffled order; one that is taken twice is there twice."""
-    rows = mixing.drawn(mixing.mix(docs))
-    return (rows.repartition(mixing.SHARDS, "shard").sortWithinPartitions("shard", "shard_order")
-            .select(*docs.columns))
+    mixed = mixing.mix(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"))
+    rows = mixing.drawn(mixed.select("row", "doc_id", "draws"))
+    return rows.repartition(mixing.SHARDS, "shard").sortWithinPartitions("shard", "shard_order").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ Decoding turns ids into the vocabulary's strings joined by one space, which is w
 without a decoder.
 
 Defined results: a NULL or empty text has no ids and decodes to the empty text. Strings of special tokens
-inside a text become their ids, as the library does by default.
+inside a text become their ids, as the library does by default. Input columns named like those that are added are
+replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm import arrow
+from tidemark.llm.common import without
 from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
 #: Words of a generation of a worker's memory.
@@ -120,9 +122,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     """All rows and columns, with the ids of the text and, if a name is given, what they decode to."""
     extra = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     extra += [T.StructField(decoded_col, T.StringType())] if decoded_col else []
-    clash = {c.lower() for c in docs.columns} & {f.name.lower() for f in extra}
-    if clash:
-        raise ValueError(f"the input already has a column {sorted(clash)}")
+    docs = without(docs, *(f.name for f in extra))
 
     def run(batches):
         encoder = _encoder(path)
@@ -140,6 +140,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
     """All rows and columns, with the text that the ids stand for (NULL for NULL ids)."""
+    encoded = without(encoded, decoded_col)
+
     def run(batches):
         token = load(path).tokens.__getitem__
         for batch in batches:

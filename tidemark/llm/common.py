@@ -31,6 +31,12 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The table without columns of these names (compared without case): an operator's own columns replace them."""
+    gone = {n.lower() for n in names}
+    return df.select(*[col(c) for c in df.columns if c.lower() not in gone])
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -12,7 +12,7 @@ share of all letters that its spans hold, each word weighted by its posterior.
 
 Defined results: NULL and texts without a letter are ``und`` with score 0 and no spans. Words in a script that no
 language uses say nothing; a text of such words alone gets the first learned language at a score of one share among
-all. Ties go to the language first in code-point order. Without labelled texts all is ``und``.
+all. Input columns named like those that are added are replaced. Ties go to the language first in code-point order. Without labelled texts all is ``und``.
 """
 
 from __future__ import annotations
@@ -248,12 +248,10 @@ def predict_texts(model: Model, memory: Memory, texts: list[str]) -> tuple[list[
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all by default), with lang_pred, score and lang_spans."""
-    keep = docs.columns if keep is None else keep
+    own = ("lang_pred", "score", "lang_spans")
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
              T.StructField("lang_spans", SPANS)]
-    clash = {c.lower() for c in keep} & {f.name for f in extra}
-    if clash:
-        raise ValueError(f"the input already has a column {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 

@@ -16,7 +16,7 @@ broadcasts are bounded.
 
 Defined results: a NULL text has no licence, a NULL path counts as the empty path. Rows that repeat a path are one file: it
 gets the best of their licences. Ties between templates go to the first of the list, between files of a directory to the
-smaller path. An empty table gives an empty result.
+smaller path. An empty table gives an empty result. Input columns named like those that are added are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import col, free_name, written
+from tidemark.llm.common import col, without, written
 
 #: Least cosine of a line or header, and of a whole file that counts as a licence file.
 LINE, WHOLE = 0.6, 0.5
@@ -162,13 +162,14 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
         "license-inherited")
     own = judged.select(F.col("path").alias("j_path"), "own", (F.col("by_text") | F.regexp_extract("path", "[^/]*$", 0)
                                                               .rlike(NAME)).alias("j_file"))
-    key = free_name(files, "_path")
-    keyed = files.withColumn(key, F.coalesce(col(path_col), F.lit("")))
-    with_own = keyed.join(own, F.col(key) == F.col("j_path"), "left")
-    out = with_own.join(inherited, directory(F.col(key)) == F.col("i_folder"), "left")
+    kept = without(files, "own_license", "own_score", "is_license_file", "inherited_from", "license").columns
+    packed = files.select(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)]).alias("row"),
+                          F.coalesce(col(path_col), F.lit("")).alias("key"))
+    with_own = packed.join(own, F.col("key") == F.col("j_path"), "left")
+    out = with_own.join(inherited, directory(F.col("key")) == F.col("i_folder"), "left")
     inherits = F.col("own").isNull() & F.col("i_license").isNotNull()
     return out.select(
-        *[col(c) for c in files.columns], F.col("own.license").alias("own_license"), F.col("own.score").alias("own_score"),
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)], F.col("own.license").alias("own_license"), F.col("own.score").alias("own_score"),
         F.coalesce("j_file", F.lit(False)).alias("is_license_file"), F.when(inherits, F.col("i_from")).alias("inherited_from"),
         F.coalesce("own.license", F.when(inherits, F.col("i_license"))).alias("license"))
 

@@ -18,7 +18,8 @@ disjoint from the others, and is shuffled locally by a seeded hash when written.
 The driver holds one row of integers per source, and nothing that follows the number of documents.
 
 Defined results: a NULL text has size 0. Documents that agree in id and text share a place and are taken or left
-together. Sources of size 0 have target 0. An empty table gives an empty result. Everything follows from the seed.
+together. Sources of size 0 have target 0. An empty table gives an empty result. Input columns named like those
+that are added are replaced. Everything follows from the seed.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.llm.common import col, free_name, text_of, written
+from tidemark.llm.common import col, free_name, text_of, without, written
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -173,9 +174,7 @@ def mix(docs: DataFrame, seed: int = 11, shards: int = SHARDS, source_col: str =
         text_col: str = "text", weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """All rows and columns with size, source_size, target and draws: an array of (epoch, shard), one for each time
     that the mix takes the document."""
-    for name in ("size", "source_size", "target", "draws"):
-        if name in {c.lower() for c in docs.columns}:
-            raise ValueError(f"the input already has a column {name}")
+    docs = without(docs, "size", "source_size", "target", "draws")
     made = plan(docs, seed, shards, source_col, id_col, text_col, weights)
     p = free_name(docs, "_plan")
     whole = made.select(F.struct("*").alias(p))
@@ -203,10 +202,12 @@ def mix(docs: DataFrame, seed: int = 11, shards: int = SHARDS, source_col: str =
 
 def drawn(mixed: DataFrame, seed: int = 11, id_col: str = "doc_id") -> DataFrame:
     """One row for each draw, with epoch, shard and the seeded order inside the shard."""
-    rest = [col(c) for c in mixed.columns if c != "draws"]
-    return (mixed.select(*rest, F.explode("draws").alias("draw"))
-            .select(*rest, "draw.epoch", "draw.shard",
-                    F.xxhash64(F.lit(seed), col(id_col), "draw.epoch").alias("shard_order")))
+    draw = free_name(mixed, "_draw")
+    each = mixed.withColumn(draw, F.explode("draws"))
+    rest = without(mixed, "draws", "epoch", "shard", "shard_order").columns
+    epoch = F.col(f"{draw}.epoch")
+    return each.select(*[col(c) for c in rest], epoch.alias("epoch"), F.col(f"{draw}.shard").alias("shard"),
+                       F.xxhash64(F.lit(seed), col(id_col), epoch).alias("shard_order"))
 
 
 def write_mix(rows: DataFrame, path: str, files_per_shard: int = 4) -> None:

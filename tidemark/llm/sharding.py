@@ -10,14 +10,14 @@ Each bucket is one partition chosen by a fixed number of partitions, and rows re
 a task that runs again after the loss of an executor makes the same permutation.
 
 Defined results: a NULL text has no bytes (size 1, CRC 0). An empty table gives an empty result. Rows that agree in
-every column are interchangeable, and meet in one bucket.
+every column are interchangeable, and meet in one bucket. Input columns named shard or slot are replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidemark.llm.common import col, free_name, text_of, written
+from tidemark.llm.common import col, free_name, text_of, without, written
 
 #: Bytes of text in a bucket, on average. A task holds a bucket about three times while it permutes it.
 BUCKET_BYTES = 32 << 20
@@ -28,9 +28,7 @@ RECORD_BYTES = 64
 def shuffle_into_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, id_col: str = "doc_id",
                         text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns of the input, with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0)."""
-    for name in ("shard", "slot"):
-        if name in {c.lower() for c in docs.columns}:
-            raise ValueError(f"the input already has a column {name}")
+    docs = without(docs, "shard", "slot")
     total = docs.agg(F.sum(F.coalesce(F.octet_length(col(text_col)), F.lit(0)) + RECORD_BYTES)).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
     bucket, order, rec, pos = (free_name(docs, x) for x in ("_bucket", "_order", "_rec", "_pos"))
