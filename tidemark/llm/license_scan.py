@@ -9,7 +9,7 @@ others to make less than the threshold of its length: by Cauchy-Schwarz no passa
 So the filter loses nothing, and almost all text stays out of the shuffles.
 
 A file's own licence is that of its best line or header. A file is a licence file if its name says so or if it is, as a
-whole, near a template; the best licence file of a directory names the directory's licence. A file without a licence of its
+whole and without a comment header, near a template; the best licence file of a directory names the directory's licence. A file without a licence of its
 own takes that of the nearest directory above it that has one, found by joining paths: each distinct directory is joined
 by its ancestors, never file by file. Built-in functions only; templates and vocabulary are fixed, so their
 broadcasts are bounded.
@@ -113,10 +113,12 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
 
     holds = _any_of(anchors)
     text = F.col("text")
+    header = F.regexp_extract(text, HEADER, 0)
+    # a file that starts with comments is source, and only its header speaks for the whole
     passages = F.concat(
         F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(F.lit("line").alias("kind"), i.alias("no"), x.alias("text"))),
-        F.array(F.struct(F.lit("line").alias("kind"), F.lit(-1).alias("no"), F.regexp_extract(text, HEADER, 0).alias("text")),
-                F.struct(F.lit("file").alias("kind"), F.lit(0).alias("no"), text.alias("text"))))
+        F.array(F.when(header == "", F.struct(F.lit("file").alias("kind"), F.lit(0).alias("no"), text.alias("text")))
+                .otherwise(F.struct(F.lit("line").alias("kind"), F.lit(-1).alias("no"), header.alias("text")))))
     found = (texts.filter(holds(text)).select("path", F.xxhash64("text").alias("of"), F.explode(passages).alias("p"))
              .select("path", "of", "p.kind", "p.no", "p.text").filter(holds(F.col("text"))))
     counted = (found.select("path", "of", "kind", "no", F.explode(terms(F.col("text"))).alias("term"))
