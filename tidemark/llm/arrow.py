@@ -23,6 +23,18 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, [*known, root]))
 
 
+_kept: dict = {}
+
+
+def kept(key, make: Callable):
+    """What an operator keeps in its Python worker from task to task. A worker that turns to another operator forgets
+    the last one's, so that a pipeline needs no more memory than its largest stage."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def mapped(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with workers that find this library."""
     reach_workers(df.sparkSession)

@@ -11,19 +11,21 @@ place in a text is the sum over the words before it plus the entry of the word i
 
 Places are characters of the normalised text (composed, lower case), which is what the vocabulary counts.
 
-Defined results: a NULL or empty text has no tokens. Special strings inside a text count one token each.
+Defined results: a NULL or empty text has no tokens. Special strings inside a text count one token each. Input
+columns named like those that are added are replaced.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from tidemark.llm import arrow
+from tidemark.llm.common import without
 from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
 #: Words of a generation of a worker's memory, and pairs of tokens before it starts anew.
@@ -116,11 +118,35 @@ class PrefixCounter:
             ends = [ends[i] for i in accumulate((len(c.encode()) for c in word), initial=0)]
         return bytes(ends[1:]) if n < 256 else tuple(ends[1:])
 
-    def totals(self, texts: list[str]) -> list[int]:
+    def measure(self, texts: list[str], budget: int) -> tuple[list[int], list[int | None]]:
+        """(tokens of each text, length of its longest prefix within the budget or None if all of it fits)."""
         split = [list(self.v.pieces(t)) for t in texts]
         known = self.words.know({w for pieces in split for _, ws in pieces for w in ws})
-        return [sum([1 if special is not None else sum([known[w][-1] for w in ws]) for special, ws in pieces])
-                for pieces in split]
+        totals, fits = [], []
+        for text, pieces in zip(texts, split):
+            n, fit = 0, None
+            for i, (special, words) in enumerate(pieces):
+                counts = [1] if special is not None else [known[w][-1] for w in words]
+                size = sum(counts)
+                if fit is None and n + size > budget:
+                    fit = self._cut(text, pieces, i, bisect_right(list(accumulate(counts)), budget - n), budget, known)
+                n += size
+            totals.append(n)
+            fits.append(fit)
+        return totals, fits
+
+    def _cut(self, text: str, pieces, piece: int, word: int, budget: int, known) -> int:
+        """Where the budget ends: in or before a word of a piece; its count is looked up in the word's table."""
+        parts = [p for i, p in enumerate(self.v.specials.split(text)) if p or i % 2]
+        at = sum(len(p if special is not None else self.v.normal(p)) for p, (special, _) in zip(parts, pieces[:piece]))
+        special, words = pieces[piece]
+        if special is not None:
+            return at + len(parts[piece]) - 1
+        before = sum(1 if s is not None else sum(known[w][-1] for w in ws) for s, ws in pieces[:piece]) + sum(known[w][-1] for w in words[:word])
+        start = next(islice(self.v.pattern.finditer(self.v.normal(parts[piece])), word, None)).start()
+        table = known[words[word]]
+        inside = next((i + 1 for i in range(len(table) - 1, -1, -1) if before + table[i] <= budget), 0)
+        return at + start + inside
 
     def prefixes(self, text: str):
         """(where each word starts, tokens before it, its table, length of the normalised text)."""
@@ -166,13 +192,8 @@ class PrefixCounter:
         return 0 if starts else size
 
 
-_counters: dict[str, PrefixCounter] = {}
-
-
 def _counter(path: str) -> PrefixCounter:
-    if path not in _counters:
-        _counters[path] = PrefixCounter(load(path))
-    return _counters[path]
+    return arrow.kept(("counts", path), lambda: PrefixCounter(load(path)))
 
 
 def token_counts(docs: DataFrame, path: str, budget: int = 2048, text_col: str = "text",
@@ -184,15 +205,14 @@ def token_counts(docs: DataFrame, path: str, budget: int = 2048, text_col: str =
     """
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
               T.StructField("over_limit", T.BooleanType()), T.StructField("fit_chars", T.LongType())]
+    keep = tuple(c for c in keep if c.lower() not in {f.name for f in fields})
     keep_fields = [docs.schema[c] for c in keep]
 
     def run(batches):
         counter = _counter(path)
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col):
-                totals = counter.totals(texts)
-                fits = [counter.longest_within(counter.prefixes(t), budget) if n > budget else None
-                        for t, n in zip(texts, totals)]
+                totals, fits = counter.measure(texts, budget)
                 kept = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(totals, pa.int64()),
@@ -204,6 +224,8 @@ def token_counts(docs: DataFrame, path: str, budget: int = 2048, text_col: str =
 
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "prefix_tokens") -> DataFrame:
     """All rows and columns, with the token count of every prefix of the normalised text (1, 2, ... characters)."""
+    docs = without(docs, out_col)
+
     def run(batches):
         counter = _counter(path)
         for batch in batches:
