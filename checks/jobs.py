@@ -1,5 +1,7 @@
 """Whole jobs: runs, replay of staged batches, the stream."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from checks.common import check, table
@@ -125,6 +127,101 @@ def multi_table_run(spark, sf):
                        "rows_rejected")
 
 
+def _place(spark, sf):
+    root = workspace(spark, "run")
+    return jobs.Place(spark, parquet_reader(spark, sf), f"{root}/stage", f"{root}/targets", Ledger(spark, f"{root}/ledger"),
+                      archive=f"{root}/archive")
+
+
+@check("SELECT * FROM orders")
+def late_batch_load(spark, sf):
+    """An export with a lower batch id than one that is loaded already still reaches the target."""
+    place = _place(spark, sf)
+    settings = _settings("orders", "incremental", 1, "o_orderkey", cdc_columns="o_orderdate")
+    for batch, mode, now in ((10002, "FULL", datetime(1998, 1, 1)), (10001, "EXPORT", datetime(2030, 1, 1)),
+                             (10003, "LOAD", datetime(2030, 1, 2))):
+        done = jobs.run_table(place, settings, mode, batch, now)
+        assert done["status"] == "SUCCESS", done
+    return place.target(settings).read()
+
+
+@check("SELECT *, 'SUCCESS FAILED SUCCESS FAILED SUCCESS' AS runs FROM orders")
+def rerun_batch(spark, sf):
+    """A batch id that has an export, waiting or loaded, is refused; no staged row is lost."""
+    place = _place(spark, sf)
+    settings = _settings("orders", "incremental", 1, "o_orderkey", cdc_columns="o_orderdate")
+    runs = []
+    for batch, mode, now in ((10000, "EXPORT", datetime(1998, 1, 1)), (10000, "EXPORT", datetime(1999, 1, 1)),
+                             (10001, "LOAD", datetime(1999, 1, 2)), (10000, "FULL", datetime(2000, 1, 1)),
+                             (10002, "FULL", datetime(2030, 1, 1))):
+        runs.append(jobs.run_table(place, settings, mode, batch, now)["status"])
+    return place.target(settings).read().withColumn("runs", F.lit(" ".join(runs)))
+
+
+@check("""WITH t AS (SELECT 'customer' AS source_table, count(*) AS n, count(*) AS k FROM customer
+            UNION ALL SELECT 'lineitem', count(*), count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem)
+          SELECT CAST(10000 AS BIGINT) AS batch_id, source_table, 'EXPORT' AS execution_mode, 'SUCCESS' AS final_status,
+            CASE source_table WHEN 'customer' THEN 'SUPERSEDED' ELSE 'YES' END AS ingestion_completed,
+            n AS rows_extracted, CAST(NULL AS BIGINT) AS rows_inserted FROM t
+          UNION ALL SELECT 10001, source_table, 'EXPORT', 'SUCCESS', 'YES', n, NULL FROM t WHERE source_table = 'customer'
+          UNION ALL SELECT 10002, source_table, 'LOAD', 'SUCCESS', 'YES', n, k FROM t""")
+def ledger_of_a_run(spark, sf):
+    """The ledger that exports and a load write: counts and marks of each table."""
+    place = _place(spark, sf)
+    both = [_settings("customer"), _settings("lineitem", "incremental", 1, "l_orderkey, l_linenumber", cdc_columns="l_shipdate")]
+    jobs.run_many(place, both, "EXPORT", 10000, now=datetime(2030, 1, 1))
+    jobs.run_many(place, both[:1], "EXPORT", 10001, now=datetime(2030, 1, 2))
+    jobs.run_many(place, both, "LOAD", 10002, now=datetime(2030, 1, 3))
+    return place.ledger.state().select("batch_id", "source_table", "execution_mode", "final_status", "ingestion_completed",
+                                       "rows_extracted", "rows_inserted")
+
+
+def _streamed(spark, sf, target, scd, run_at, files_per_trigger):
+    """Three batches of line items, all of them staged before the stream starts."""
+    batches, stage = _batched(spark, sf), workspace(spark, "stage")
+    schema = target_schema(column_metadata(batches.select(*_LINE, "l_shipdate")))
+    from tidemark.operators.dedup import dedup
+    for n, *_ in _BATCHES:
+        rows = dedup(batches.where(F.col("batch_id") == n).drop("batch_id"), _KEYS, ["l_shipdate"])
+        staged.write_staged(rows.select(*schema.names), f"{stage}/batch_id={n}", files=1)
+    text = read_stream(spark, stage, schema, files_per_trigger=files_per_trigger)
+    (apply_stream(text, target, _KEYS, "incremental", scd, ["l_shipdate"], run_at=run_at)
+     .option("checkpointLocation", workspace(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination())
+    return target.read().select(*[c for c in target.schema.names if c != "l_shipdate"])
+
+
+@check(f"""WITH {_BATCHED} SELECT {', '.join(_LINE)} FROM batched
+          QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY batch_id DESC) = 1""")
+def stream_orders_its_batches(spark, sf):
+    """Three exports in one trigger: the last batch of a key wins."""
+    lines = table(spark, sf, "lineitem").select(*_LINE, "l_shipdate")
+    target = Target(spark, workspace(spark, "lines")).create(target_schema(column_metadata(lines)), _KEYS)
+    return _streamed(spark, sf, target, 1, lambda b: datetime(2024, b, 1), 1000)
+
+
+_STREAMED = f"""WITH {_BATCHED}, s AS (SELECT *, CAST(NULL AS TIMESTAMP) AS none FROM batched),
+  v AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, batch_id, lead(batch_id) OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY batch_id) AS next FROM s)
+  SELECT {', '.join(_LINE)}, next IS NULL AS is_current, make_timestamp(2024, batch_id, 1, 0, 0, 0) AS eff_start_date,
+    CASE WHEN next IS NOT NULL THEN make_timestamp(2024, next, 1, 0, 0, 0) END AS eff_end_date FROM v"""
+
+
+@check(_STREAMED)
+def stream_apply_scd2(spark, sf):
+    """Three exports in one trigger make all their versions; ship dates differ between batches, so each is one."""
+    lines = table(spark, sf, "lineitem").select(*_LINE, "l_shipdate")
+    target = Target(spark, workspace(spark, "lines")).create(target_schema(column_metadata(lines), history=True), _KEYS)
+    return _streamed(spark, sf, target, 2, lambda b: datetime(2024, b, 1), 1000)
+
+
+@check(_STREAMED)
+def stream_apply_scd2_by_file(spark, sf):
+    """The same with one file a trigger."""
+    lines = table(spark, sf, "lineitem").select(*_LINE, "l_shipdate")
+    target = Target(spark, workspace(spark, "lines")).create(target_schema(column_metadata(lines), history=True), _KEYS)
+    return _streamed(spark, sf, target, 2, lambda b: datetime(2024, b, 1), 1)
+
+
 @check("SELECT * FROM orders")
 def export_then_load(spark, sf):
     """Exports that wait in the stage are applied in batch order by a later load."""
@@ -132,7 +229,6 @@ def export_then_load(spark, sf):
     place = jobs.Place(spark, parquet_reader(spark, sf), f"{root}/stage", f"{root}/targets",
                        Ledger(spark, f"{root}/ledger"), archive=f"{root}/archive")
     settings = _settings("orders", "incremental", 1, "o_orderkey", cdc_columns="o_orderdate")
-    from datetime import datetime
     # Windows that end in 1998 and 2030: the second export holds the rest of the orders.
     for batch, now in ((10000, datetime(1998, 1, 1)), (10001, datetime(2030, 1, 1))):
         done = jobs.run_table(place, settings, "EXPORT", batch, now)

@@ -147,28 +147,64 @@ def stage_inventory(spark, sf):
         F.count(F.lit(1)).alias("n_files"), (F.sum("length") > 0).alias("has_data"))
 
 
-@check("""SELECT CAST(7 AS BIGINT) AS batch_id, o_orderkey, o_totalprice FROM orders
-          UNION ALL SELECT 8, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+@check("""SELECT 'sales.a.orders' AS source, CAST(7 AS BIGINT) AS batch_id, o_orderkey, o_totalprice FROM orders
+          UNION ALL SELECT 'sales.a.orders', 8, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+          UNION ALL SELECT 'sales.b.orders', 7, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'""")
 def archive_by_batch(spark, sf):
-    """Loaded batches are moved to the dated archive, and can be read there."""
+    """Loaded batches are moved to the dated archive and can be read there; equal table names of two schemas lie apart."""
     stage, place = workspace(spark, "stage"), workspace(spark, "archive")
-    orders, job = table(spark, sf, "orders"), _job("ORDERS")
-    for batch, rows in ((7, orders), (8, orders.where("o_orderstatus = 'F'"))):
+    orders = table(spark, sf, "orders")
+    parts = (("a", 7, orders), ("a", 8, orders.where("o_orderstatus = 'F'")), ("b", 7, orders.where("o_orderstatus = 'O'")))
+    for schema_name, batch, rows in parts:
+        job = {**_job("ORDERS"), "source_db": "sales", "source_schema": schema_name, "source_table": "orders"}
         staged.write_staged(rows, staged.batch_folder(stage, job, batch))
         staged.archive(spark, stage, job, batch, place, "20240201")
-    assert staged.pending_batches(spark, stage, job) == []
+        assert staged.pending_batches(spark, stage, job) == []
     schema = target_schema(column_metadata(orders))
-    base = f"{place}/dt=20240201/ORDERS"
+    base = f"{place}/dt=20240201/ANALYTICS/PUBLIC/ORDERS"
     text = staged.read_text(spark, base, schema, base=base)
-    return staged.check_rows(text, schema).select(F.col("batch_id").cast("long"), "o_orderkey", "o_totalprice")
+    return staged.check_rows(text, schema).select("source", F.col("batch_id").cast("long"), "o_orderkey", "o_totalprice")
 
 
-@check("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY ALL")
+@check("""SELECT status, n, (SELECT CAST(ceil(count(*) / (count(*) // 10)) AS BIGINT) FROM orders) AS n_files
+          FROM (SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY ALL)""")
 def stage_small_files(spark, sf):
-    """Files cut by row count hold every row once."""
+    """Files cut by row count hold every row once, and there are as many as the cut asks for."""
     orders = table(spark, sf, "orders")
     folder = workspace(spark, "stage")
-    staged.write_staged(orders, folder, rows_per_file=max(1, orders.count() // 10))
+    staged.write_staged(orders, folder, files=1, rows_per_file=max(1, orders.count() // 10))
     schema = target_schema(column_metadata(orders))
     text = staged.read_text(spark, folder, schema)
-    return text.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    files = staged.inventory(spark, folder).count()
+    return text.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "n_files", F.lit(files).cast("long"))
+
+
+@check("""SELECT lang, count(*) AS n, true AS cut FROM documents GROUP BY ALL""")
+def stage_files_by_bytes(spark, sf):
+    """Files are cut by bytes of text: no row is lost, and there are several files of about the size asked for."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    folder = workspace(spark, "stage")
+    total = staged.as_text(docs).agg(F.sum(staged.text_bytes(staged.as_text(docs)))).first()[0]
+    staged.write_staged(docs, folder, files=1, file_bytes=total // 5)
+    schema = target_schema(column_metadata(docs))
+    files = staged.inventory(spark, folder).count()
+    return staged.read_text(spark, folder, schema).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "cut", F.lit(4 <= files <= 7))
+
+
+@check("""SELECT CASE WHEN page_id % 3 = 0 THEN 'bad value: body' ELSE 'good' END AS reason, count(*) AS n
+          FROM pages GROUP BY ALL""")
+def stage_rejects_xml(spark, sf):
+    """XML that is not well formed keeps its own row out; the others load."""
+    pages = table(spark, sf, "pages")
+    text = F.regexp_replace(F.coalesce("html", F.lit("")), r"[^\p{L}\p{N} ]", " ")
+    good = F.concat(F.lit("<page><url>"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[<>&]", " "), F.lit("</url><text>"),
+                    text, F.lit("</text></page>"))
+    bad = F.concat(F.lit("<page><url>"), text, F.lit("</text>"))
+    rows = pages.select("page_id", F.when(F.col("page_id") % 3 == 0, bad).otherwise(good).alias("body"))
+    folder = workspace(spark, "stage")
+    staged.write_staged(rows, folder)
+    schema = target_schema([ColumnMeta("page_id", "bigint"), ColumnMeta("body", "xml")])
+    checked = staged.check_rows(staged.read_text(spark, folder, schema), schema)
+    return checked.groupBy(F.coalesce("_reason", F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))

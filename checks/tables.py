@@ -41,19 +41,41 @@ def discover_watermarks(spark, sf):
     return discover.profile_watermarks({t: table(spark, sf, t) for t in TABLES})
 
 
+# Change times as a source would name them: events have a time of creation too, line items a time that says nothing.
+_RENAMED = {"orders": {"o_orderdate": "last_updated"}, "events": {"ts": "modified_at"}}
+
+
+def _first_key(t: str, columns: list[str]) -> str:
+    """The first single key column by name, as SQL."""
+    cases = " ".join(f"WHEN count(*) > 0 AND count(DISTINCT {c}) = count(*) THEN '{c}'" for c in sorted(columns))
+    return f"(SELECT CASE {cases} END FROM {t})"
+
+
+def _first_pair(t: str, pairs: list[tuple[str, str]]) -> str:
+    cases = " ".join(f"""WHEN count(*) > 0 AND count(*) = count(DISTINCT ({a}, {b})) AND count({a}) = count(*)
+      AND count({b}) = count(*) THEN '{a}, {b}'""" for a, b in sorted(pairs, key=lambda p: ", ".join(p)))
+    return f"(SELECT CASE {cases} END FROM {t})"
+
+
+_PAIRS = {"conversations": [("conv_id", "turn")],
+          "lineitem": [("l_orderkey", "l_partkey"), ("l_orderkey", "l_suppkey"), ("l_partkey", "l_suppkey"),
+                       ("l_orderkey", "l_linenumber"), ("l_partkey", "l_linenumber"), ("l_suppkey", "l_linenumber")]}
+
+
 @check("""SELECT table_name AS source_table, upper(table_name) AS target_table, primary_key, cdc_columns,
             CASE WHEN primary_key IS NOT NULL AND cdc_columns IS NOT NULL THEN 'incremental' ELSE 'full' END AS load_type
-          FROM (SELECT 'orders' AS table_name, CASE WHEN count(*) = count(DISTINCT o_orderkey) THEN 'o_orderkey' END
-                  AS primary_key, 'o_orderdate' AS cdc_columns FROM orders
-                UNION ALL SELECT 'lineitem', CASE WHEN count(*) = count(DISTINCT l_orderkey) THEN 'l_orderkey' END,
-                  'l_shipdate' FROM lineitem
-                UNION ALL SELECT 'part', CASE WHEN count(*) = count(DISTINCT p_partkey) THEN 'p_partkey' END, NULL
-                  FROM part)""")
+          FROM (""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, coalesce({_first_key(t, _KEYS[t])}, "
+    f"{_first_pair(t, _PAIRS[t]) if t in _PAIRS else 'NULL'}) AS primary_key, "
+    + {"orders": "'last_updated'", "events": "'modified_at'"}.get(t, "NULL") + " AS cdc_columns" for t in TABLES) + ")")
 def discover_suggested_jobs(spark, sf):
-    found = {t: table(spark, sf, t) for t in ("orders", "lineitem", "part")}
+    """Every table: a single key or a pair, and a watermark only where the name says change time."""
+    found = {t: table(spark, sf, t).withColumnsRenamed(_RENAMED.get(t, {})) for t in TABLES}
+    found["events"] = found["events"].withColumn("created_at", F.col("modified_at"))
     names = spark.createDataFrame([(t,) for t in found], "table_name string")
-    return discover.suggest_jobs(discover.profile_keys(found), discover.profile_watermarks(found), names,
-                                 "sales").drop("source_db")
+    pairs = {t: found[t] for t in _PAIRS}
+    return discover.suggest_jobs(discover.profile_keys(found), discover.profile_watermarks(found), names, "sales",
+                                 discover.profile_composite_keys(pairs)).drop("source_db")
 
 
 @check(f"""WITH {CONFIG} SELECT 'SALES' AS source_db, c_name AS source_table FROM customer

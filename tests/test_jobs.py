@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import fs
 from tidemark.operators import ledger as runs
 from tidemark.operators.ledger import Ledger
 from tidemark.plans import job as jobs
@@ -179,7 +180,7 @@ def test_empty_ledger(spark, place):
     place.ledger.event(10000, 1, 2, source_db="s")
     place.ledger.compact()
     state = place.ledger.state().first()
-    assert state["source_db"] == "s" and len(state["merge_log"]) == 4000
+    assert state["source_db"] == "s" and len(state["merge_log"]) == 5000  # values are kept whole
     assert place.ledger.next_batch_id() == 10001
 
 
@@ -203,11 +204,100 @@ def test_stream_batch_runs_once(spark):
     stage = workspace(spark, "stage")
     staged.write_staged(rows, f"{stage}/batch_id=1")
     target = Target(spark, workspace(spark, "t")).create(schema)
-    for _ in range(2):
-        # A lost checkpoint makes the stream read everything again under the same batch number.
+    checkpoint = workspace(spark, "cp")
+
+    def run(place):
         writer = apply_stream(read_stream(spark, stage, schema), target, [], "incremental", 0)
-        writer.option("checkpointLocation", workspace(spark, "cp")).trigger(availableNow=True).start().awaitTermination()
+        writer.option("checkpointLocation", place).trigger(availableNow=True).start().awaitTermination()
+
+    run(checkpoint)
+    fs.remove(spark, f"{checkpoint}/commits")  # as if the driver had died between the load and Spark's commit
+    run(checkpoint)
     assert target.count() == 4
+    run(workspace(spark, "cp"))  # a stream of its own reads everything and applies it
+    assert target.count() == 8
+
+
+def test_stream_history_is_the_same_however_files_are_cut(spark):
+    from tidemark.functions.types import column_metadata, target_schema
+    from tidemark.operators.target import Target
+    from tidemark.streaming.staged_stream import apply_stream, read_stream
+    schema = target_schema(column_metadata(spark.range(1).withColumn("v", F.lit("x"))))
+    history = target_schema(column_metadata(spark.range(1).withColumn("v", F.lit("x"))), history=True)
+    stage = workspace(spark, "stage")
+    for n in (1, 2, 10):
+        staged.write_staged(spark.range(5).withColumn("v", F.concat(F.lit(n), F.when(F.col("id") > 2, 0).otherwise(n))),
+                            f"{stage}/batch_id={n}", files=1)
+    got = []
+    for files in (1, 1000):
+        target = Target(spark, workspace(spark, "t")).create(history, ["id"])
+        apply_stream(read_stream(spark, stage, schema, files_per_trigger=files), target, ["id"], "incremental", 2,
+                     run_at=lambda b: datetime(2024, 1, b)).option("checkpointLocation", workspace(spark, "cp")).trigger(
+            availableNow=True).start().awaitTermination()
+        got.append(sorted(map(tuple, target.read().collect()), key=str))
+    assert got[0] == got[1] and len(got[0]) == 15 and sum(r[2] for r in got[0]) == 5
+
+
+def test_job_ids_follow_the_table(spark, place):
+    SOURCE["a"] = SOURCE["b"] = _rows(spark, (1, "a", "2024-01-01"))
+    jobs.run_many(place, [_settings("a"), _settings("b")], "EXPORT", 10000, now=datetime(2024, 1, 2))
+    jobs.run_many(place, [_settings("b")], "LOAD", 10001, now=datetime(2024, 1, 3))
+    state = {r["source_table"]: r for r in place.ledger.state().where("batch_id = 10000").collect()}
+    assert (state["a"]["ingestion_completed"], state["b"]["ingestion_completed"]) == ("NO", "YES")
+    assert len({r["job_id"] for r in place.ledger.state().where("source_table = 'b'").collect()}) == 1
+
+
+def test_two_sources_of_one_target(spark, place):
+    SOURCE["x"], SOURCE["y"] = _rows(spark, (1, "x", "2024-01-01")), _rows(spark, (2, "y", "2024-01-01"))
+    both = [_settings("x", target_table="BOTH", scd_type=0), _settings("y", target_table="BOTH", scd_type=0)]
+    for job in both:
+        assert jobs.run_table(place, job, "FULL", 10000, datetime(2024, 1, 2))["status"] == "SUCCESS"
+    assert sorted(r["v"] for r in place.target(both[0]).read().collect()) == ["x", "y"]
+
+
+def test_archive_errors_are_only_noted(spark, place):
+    SOURCE["arc"] = _rows(spark, (1, "a", "2024-01-01"))
+    blocked = workspace(spark, "file")
+    spark.range(1).coalesce(1).write.csv(blocked)
+    place.archive = f"{blocked}/" + next(n for n in fs.children(spark, blocked) if n.startswith("part"))
+    done = jobs.run_table(place, _settings("arc"), "FULL", 10000, datetime(2024, 1, 2))
+    assert done["status"] == "SUCCESS" and place.target(_settings("arc")).count() == 1
+    state = place.ledger.state().first()
+    assert state["final_status"] == "SUCCESS" and "not archived" in state["copy_log"]
+
+
+def test_full_backlog_is_marked_superseded(spark, place):
+    job = _settings("whole", load_type="full")
+    for batch in (10000, 10001):
+        SOURCE["whole"] = _rows(spark, (batch, "v", "2024-01-01"))
+        jobs.run_table(place, job, "EXPORT", batch, datetime(2024, 1, 2))
+    jobs.run_table(place, job, "LOAD", 10002, datetime(2024, 1, 3))
+    marks = {r["batch_id"]: r["ingestion_completed"] for r in place.ledger.state().collect()}
+    assert marks == {10000: "SUPERSEDED", 10001: "YES", 10002: "YES"}
+    assert [r["id"] for r in place.target(job).read().collect()] == [10001]
+    assert runs.pending_exports(place.ledger.state()).count() == 0
+
+
+def test_many_appends_keep_the_list_of_folders_short(spark, place):
+    job = _settings("grow", scd_type=0, slices=2)
+    for n in range(12):
+        SOURCE["grow"] = _rows(spark, *[(n * 10 + i, "v", f"2024-01-{n + 1:02d}") for i in range(10)])
+        jobs.run_table(place, job, "FULL", 10000 + n, datetime(2024, 1, n + 2))
+    target = place.target(job)
+    assert target.count() == 120 and len(target._load()["segments"]) <= 2 * 9
+    assert target.applied(staged.source_name(job)) == [[10000, 10011]]
+
+
+def test_encrypted_rows_stay_unchanged(spark, place):
+    job = _settings("enc", scd_type=2, encryption_columns="v", load_type="incremental", cdc_columns=None)
+    place.encryption_key = b"0123456789abcdef"
+    SOURCE["enc"] = _rows(spark, (1, "a", "2024-01-01"), (2, "b", "2024-01-01"))
+    counts = [jobs.run_table(place, job, "FULL", 10000 + n, datetime(2024, 1, 2 + n)) for n in range(2)]
+    assert [c["rows_inserted"] for c in counts] == [2, 0] and counts[1]["rows_expired"] == 0
+    from tidemark.functions.columns import decrypt, encrypt
+    sealed = encrypt(SOURCE["enc"], ["v"], place.encryption_key)
+    assert "0123456789" not in sealed._jdf.queryExecution().toString()
+    assert [r["v"] for r in decrypt(sealed, ["v"], place.encryption_key).orderBy("id").collect()] == ["a", "b"]
 
 
 def test_stream_archives_files_of_earlier_batches(spark):

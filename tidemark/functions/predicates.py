@@ -37,7 +37,7 @@ def time_window(columns: list[str], start, end) -> Column:
 
 
 def id_window(column: str, last_id: int | None) -> Column:
-    return F.col(column).cast("long") > F.lit(int(last_id or FIRST_ID))
+    return F.col(column).try_cast("long") > F.lit(int(last_id or FIRST_ID))
 
 
 def extract_condition(job: dict, watermark: dict | None, run_start) -> Column | None:
@@ -78,7 +78,3 @@ def row_differs(columns: list[str], left: T.StructType, right: T.StructType, pre
     return any_of([_differs(c, prefix + c, left[c].dataType == right[c].dataType, left[c].dataType)
                    for c in columns])
 
-
-def row_unchanged(columns: list[str], left: T.StructType, right: T.StructType, prefix: str,
-                  null_safe: bool = False) -> Column:
-    return ~row_differs(columns, left, right, prefix, null_safe)

@@ -111,7 +111,11 @@ def from_text(col: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BinaryType):
         return F.try_to_binary(col, F.lit("hex"))
     if isinstance(data_type, T.VariantType):
-        return F.from_xml(col, "variant")
+        # XML from the source, or JSON as this library stages it. The variant parser ends the job on text that is not
+        # well formed, so such text is found by the row parser first, which marks it.
+        bad = F.from_xml(col, T.StructType([T.StructField("_corrupt_record", T.StringType())]))["_corrupt_record"]
+        xml = F.when(bad.isNull(), F.from_xml(F.when(bad.isNull(), col), "variant"))
+        return F.when(F.ltrim(col).startswith("<"), xml).otherwise(F.try_parse_json(col))
     return col if isinstance(data_type, T.StringType) else col.try_cast(data_type)
 
 

@@ -18,10 +18,9 @@ LOAD_STEPS = ["create_table", "create_stage", "copy", "merge", "audit"]
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 SKIPPED = "SKIPPED"
+SUPERSEDED = "SUPERSEDED"
 FAILED_BEFORE = "FAILED IN PREVIOUS STEP"
 FIRST_BATCH = 10000
-LOG_LENGTH = 4000
-STATEMENT_LENGTH = 10000
 EXTRACTING_MODES = ["FULL", "EXPORT"]
 
 STEPS = EXTRACT_STEPS + LOAD_STEPS
@@ -129,8 +128,8 @@ def audit_rows(state: DataFrame, batch_id: int | None = None, job_id: int | None
 
 
 def ingested(state: DataFrame) -> DataFrame:
-    """Export paths that a later run has loaded."""
-    return (state.where((F.col("ingestion_completed") == "YES") & F.col("export_path").isNotNull())
+    """Export paths that a later run has loaded, or that a later full export has taken the place of."""
+    return (state.where(F.col("ingestion_completed").isin("YES", SUPERSEDED) & F.col("export_path").isNotNull())
             .select(*_table_key(), "export_path").distinct())
 
 
@@ -156,15 +155,17 @@ class Ledger:
          .write.parquet(f"{self.path}/{uuid.uuid4().hex}"))
 
     def event(self, batch_id: int, job_id: int, seq: int, **values) -> None:
-        """Append one event of one job; long texts are cut to the log's length."""
-        for name, text in values.items():
-            if isinstance(text, str):
-                values[name] = text[:STATEMENT_LENGTH if name == "merge_statement" else LOG_LENGTH]
+        """Append one event of one job. Texts are kept whole; reports cut what they show."""
         values = {"batch_id": batch_id, "job_id": job_id, "seq": seq, **values}
         row = self.spark.range(1, numPartitions=1).select(*[
             F.lit(v).cast(EVENT_SCHEMA[n].dataType).alias(n) for n, v in values.items()])
         row.write.parquet(f"{self.path}/{uuid.uuid4().hex}")
 
+    def exporters(self, paths: list[str]) -> dict[int, int]:
+        """The job that wrote each of these exports, by batch id."""
+        found = self.events().where(F.col("export_path").isin(paths)).select("batch_id", "job_id").distinct()
+        return {r["batch_id"]: r["job_id"] for r in found.collect()}  # one row per path
+
     def events(self) -> DataFrame:
         if not fs.exists(self.spark, self.path):
             return self.spark.createDataFrame([], EVENT_SCHEMA)

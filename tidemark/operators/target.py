@@ -5,15 +5,17 @@ listing the folders that make up the new version; a version exists once Spark's
 marker is in its manifest folder. Readers never see half a load, a load that dies leaves
 the target as it was, and a retry starts clean. Old versions stay until ``clean_up``.
 
-Rows are placed by slice (a hash of the key, ``slices`` in all) and by kind: closed
-history rows apart from current ones. A load rewrites only the slices its work rows
-touch, and never reads or rewrites closed history.
+Rows are placed by slice and by kind: closed history rows apart from current ones. A slice is a hash of the
+key (``slices`` in all) or, with a partition column, a month of that date and a hash within it; the partition
+column must be part of the key, so that a row's place never changes. A load rewrites only the slices its work
+rows touch, and never reads or rewrites closed history; changes of one month leave all other months alone.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -25,7 +27,21 @@ from tidemark.functions.types import HISTORY_FIELDS, data_columns, has_history,
 from tidemark.operators import merge
 
 _MANIFEST = pa.schema([("kind", pa.string()), ("slice", pa.int32()), ("folder", pa.string()), ("schema", pa.string()),
-                       ("keys", pa.string()), ("slices", pa.int32()), ("applied", pa.string())])
+                       ("keys", pa.string()), ("slices", pa.int32()), ("partition", pa.string()),
+                       ("applied", pa.string())])
+# A slice that lies in more folders than this is written as one folder again by ``compact``.
+MOST_FOLDERS = 8
+
+
+def add_to_ranges(ranges: list[list[int]], numbers: list[int]) -> list[list[int]]:
+    """A set of whole numbers as sorted closed ranges, with some more numbers."""
+    out: list[list[int]] = []
+    for low, high in sorted([*ranges, *[[n, n] for n in numbers]]):
+        if out and low <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return out
 
 
 class Segment(NamedTuple):
@@ -42,6 +58,14 @@ class LoadCounts(NamedTuple):
     rows_expired: int = 0
 
 
+class Token(NamedTuple):
+    """Batches of a source that a version takes in, and sources whose batches need not be known any more."""
+
+    source: str
+    batches: tuple[int, ...]
+    forget: tuple[str, ...] = ()
+
+
 class Target:
     """One target table. There may be one writer at a time, and any number of readers."""
 
@@ -50,56 +74,82 @@ class Target:
 
     # -- versions ---------------------------------------------------------------------
 
+    def _found(self) -> list[int]:
+        """Versions that were begun, oldest first."""
+        return sorted(int(n[2:]) for n in fs.children(self.spark, f"{self.root}/_manifest") if n.startswith("v="))
+
+    def _complete_version(self, version: int) -> bool:
+        return fs.exists(self.spark, f"{self.root}/_manifest/v={version}/_SUCCESS")
+
     def versions(self) -> list[int]:
-        folder = f"{self.root}/_manifest"
-        found = [int(n[2:]) for n in fs.children(self.spark, folder) if n.startswith("v=")]
-        return sorted(v for v in found if fs.exists(self.spark, f"{folder}/v={v}/_SUCCESS"))
+        return [v for v in self._found() if self._complete_version(v)]
+
+    def latest(self) -> int | None:
+        """The current version; looks at the newest first and stops."""
+        return next((v for v in reversed(self._found()) if self._complete_version(v)), None)
 
     def exists(self) -> bool:
-        return bool(self.versions())
+        return self.latest() is not None
 
     def _load(self, version: int | None = None) -> dict:
-        versions = self.versions()
-        if not versions:
+        version = self.latest() if version is None else version
+        if version is None:
             raise FileNotFoundError(f"no target at {self.root}")
-        version = versions[-1] if version is None else version
         rows = self.spark.read.schema(
             from_arrow_schema(_MANIFEST)).parquet(f"{self.root}/_manifest/v={version}").collect()
-        head = rows[0]
+        head = next(r for r in rows if r["schema"])  # one row carries what all have in common
         return {
             "version": version,
             "schema": T.StructType.fromJson(json.loads(head["schema"])),
             "keys": json.loads(head["keys"]),
             "slices": head["slices"],
+            "partition": head["partition"],
             "applied": json.loads(head["applied"]),
             "segments": [Segment(r["kind"], r["slice"], r["folder"]) for r in rows if r["folder"]],
         }
 
-    def _commit(self, state: dict, segments: list[Segment], token: tuple[str, int] | None = None) -> int:
+    def _commit(self, state: dict, segments: list[Segment], token: Token | None = None) -> int:
         version = state["version"] + 1
         folder = f"{self.root}/_manifest/v={version}"
         if fs.exists(self.spark, folder) and not fs.exists(self.spark, f"{folder}/_SUCCESS"):
             fs.remove(self.spark, folder)  # left by a writer that died here
-        applied = {**state["applied"], **({token[0]: token[1]} if token else {})}
+        applied = dict(state["applied"])
+        if token:
+            applied[token.source] = add_to_ranges(applied.get(token.source, []), list(token.batches))
+            for name in token.forget:
+                applied.pop(name, None)
         common = (json.dumps(state["schema"].jsonValue()), json.dumps(state["keys"]), state["slices"],
-                  json.dumps(applied))
-        rows = [(*s, *common) for s in segments] or [(None, None, None, *common)]
+                  state["partition"], json.dumps(applied))
+        rows = [(None, None, None, *common)] + [(*s, *[None] * len(common)) for s in segments]
         table = pa.Table.from_pylist([dict(zip(_MANIFEST.names, r)) for r in rows], _MANIFEST)
         (self.spark.createDataFrame(table).coalesce(1)
          .write.mode("errorifexists").parquet(folder))
         return version
 
-    def create(self, schema: T.StructType, keys: list[str] | None = None, slices: int = 1) -> Target:
-        """Make an empty target, unless it is there. The schema is fixed from then on."""
+    def create(self, schema: T.StructType, keys: list[str] | None = None, slices: int = 1,
+               partition: str | None = None) -> Target:
+        """Make an empty target, unless it is there. The schema is fixed from then on.
+
+        ``partition`` names a date or time column of the key: loads then rewrite only the months they touch.
+        """
         if not self.exists():
             keys = resolve(keys or [], schema.names)
+            if partition:
+                partition = resolve([partition], schema.names)[0]
+                if partition not in keys:
+                    raise ValueError(f"the partition column {partition} must be part of the key {keys}")
+                if not isinstance(schema[partition].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+                    raise ValueError(f"the partition column {partition} must be a date or a time")
             self._commit({"version": 0, "schema": schema, "keys": keys, "slices": slices if keys else 1,
-                          "applied": {}}, [])
+                          "partition": partition, "applied": {}}, [])
         return self
 
-    def applied(self, source: str) -> int | None:
-        """The last batch of a source that is part of the current version."""
-        return self._load()["applied"].get(source)
+    def applied(self, source: str) -> list[list[int]]:
+        """The batches of a source that are part of the current version, as closed ranges."""
+        return self._load()["applied"].get(source, [])
+
+    def is_applied(self, source: str, batch: int) -> bool:
+        return any(low <= batch <= high for low, high in self.applied(source))
 
     # -- reading ----------------------------------------------------------------------
 
@@ -129,7 +179,8 @@ class Target:
         """Point a catalog view at the current version."""
         state = self._load()
         if not state["segments"]:
-            self.read().createOrReplaceTempView(view)
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in state["schema"])
+            self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {nothing} WHERE false")
             return
         columns = ", ".join(f"`{c}`" for c in state["schema"].names)
         folders = ",".join(s.folder for s in state["segments"])
@@ -138,18 +189,23 @@ class Target:
     # -- writing ----------------------------------------------------------------------
 
     def _slice_of(self, state: dict) -> Column:
-        if state["slices"] <= 1:
-            return F.lit(0)
-        # The hash depends on the type, so work keys take the target's types first.
-        keys = [F.col(k).cast(state["schema"][k].dataType) for k in state["keys"]]
-        return F.pmod(F.xxhash64(*keys), F.lit(state["slices"])).cast("int")
+        place = F.lit(0)
+        if state["slices"] > 1:
+            # The hash depends on the type, so work keys take the target's types first.
+            keys = [F.col(k).cast(state["schema"][k].dataType) for k in state["keys"]]
+            place = F.pmod(F.xxhash64(*keys), F.lit(state["slices"])).cast("int")
+        if state["partition"]:
+            day = F.col(state["partition"]).cast(state["schema"][state["partition"]].dataType)
+            month = F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
+            place = month * state["slices"] + place
+        return place
 
     def _write(self, state: dict, rows: DataFrame, kind: Column | str = "live") -> list[Segment]:
         """Write rows to new folders by kind and slice and list what came out."""
         folder = f"data/{uuid.uuid4().hex[:16]}"
         kind = F.lit(kind) if isinstance(kind, str) else kind
         out = rows.withColumns({"_slice": self._slice_of(state), "_kind": kind})
-        if state["slices"] > 1:
+        if state["slices"] > 1 or state["partition"]:
             # Adaptive execution merges small slices and splits large ones.
             out = out.hint("rebalance", "_slice")
         out = out.select(*[F.col(f.name).cast(f.dataType) for f in state["schema"]], "_kind", "_slice")
@@ -163,8 +219,8 @@ class Target:
         return found
 
     def _touched(self, state: dict, rows: DataFrame) -> set[int]:
-        """Slices some rows fall into: at most ``slices`` numbers."""
-        if state["slices"] <= 1:
+        """Slices some rows fall into: at most ``slices`` numbers, a month."""
+        if state["slices"] <= 1 and not state["partition"]:
             return {0}
         return {r[0] for r in rows.select(self._slice_of(state)).distinct().collect()}
 
@@ -194,47 +250,48 @@ class Target:
             raise merge.HistoryLossError(f"{what} would lose the history of {self.root}; "
                                          "pass allow_history_loss")
 
-    def _complete(self, state: dict, work: DataFrame) -> DataFrame:
-        """Work rows in the target's columns, types and order; history columns as new versions."""
+    def _complete(self, state: dict, work: DataFrame, run_ts=None) -> DataFrame:
+        """Work rows in the target's columns, types and order; history columns as versions new at ``run_ts``
+        (now, in UTC, if the caller has no run)."""
         schema = state["schema"]
         names = resolve(data_columns(schema.names), work.columns)
         out = work.select(*[F.col(n).alias(c) for n, c in zip(names, data_columns(schema.names))])
         if has_history(schema.names):
-            out = out.withColumns({"is_current": F.lit(True), "eff_start_date": F.localtimestamp(),
-                                   "eff_end_date": F.lit(None)})
+            run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
+            out = merge.new_versions(out, run_ts)
         return out.select(*schema.names)
 
     def _count(self, state: dict, segments: list[Segment]) -> int:
         # Counted from the files that were written, which stays right when tasks are retried.
         return self._read(state, segments).count() if segments else 0
 
-    def replace(self, work: DataFrame, allow_history_loss: bool = False, token=None) -> LoadCounts:
+    def replace(self, work: DataFrame, allow_history_loss: bool = False, token=None, run_ts=None) -> LoadCounts:
         """Full replace: the new version holds the work rows only."""
         state = self._load()
         self._guard(state, allow_history_loss, "a full replace")
-        written = self._write(state, self._complete(state, work))
+        written = self._write(state, self._complete(state, work, run_ts))
         self._commit(state, written, token)
         return LoadCounts(rows_inserted=self._count(state, written))
 
-    def append(self, work: DataFrame, allow_history_loss: bool = False, token=None) -> LoadCounts:
+    def append(self, work: DataFrame, allow_history_loss: bool = False, token=None, run_ts=None) -> LoadCounts:
         """SCD0: the new version lists one more set of folders; nothing is read."""
         state = self._load()
         self._guard(state, allow_history_loss, "an append")
-        written = self._write(state, self._complete(state, work))
+        written = self._write(state, self._complete(state, work, run_ts))
         self._commit(state, state["segments"] + written, token)
         return LoadCounts(rows_inserted=self._count(state, written))
 
     def reload(self, work: DataFrame, condition: str | None, allow_history_loss: bool = False,
-               token=None) -> LoadCounts:
+               token=None, run_ts=None) -> LoadCounts:
         """Filtered reload: rewrite the slices with a row to drop, add the work rows as new folders."""
         if not condition:
-            return self.replace(work, allow_history_loss, token)
+            return self.replace(work, allow_history_loss, token, run_ts)
         state = self._load()
         self._guard(state, allow_history_loss, "a filtered reload")
         hit = self._touched(state, self._read(state, state["segments"]).where(condition))
         stale = [s for s in state["segments"] if s.slice in hit]
         kept = self._write(state, self._read(state, stale).where(~F.coalesce(F.expr(condition), F.lit(False))))
-        added = self._write(state, self._complete(state, work))
+        added = self._write(state, self._complete(state, work, run_ts))
         self._commit(state, [s for s in state["segments"] if s.slice not in hit] + kept + added, token)
         return LoadCounts(rows_inserted=self._count(state, added))
 
@@ -242,16 +299,14 @@ class Target:
         keys = resolve(keys or state["keys"], state["schema"].names)
         if not keys:
             raise ValueError(f"{self.root}: this load needs key columns")
-        if state["slices"] > 1 and keys != state["keys"]:
+        if (state["slices"] > 1 or state["partition"]) and keys != state["keys"]:
             raise ValueError(f"{self.root} is sliced by {state['keys']}, not by {keys}")
         return keys
 
     def seed(self, rows: DataFrame, token=None) -> LoadCounts:
         """First content of a target, history columns included where it has them."""
         state = self._load()
-        kind = (F.when(F.coalesce("is_current", F.lit(False)), "live").otherwise("closed")
-                if has_history(state["schema"].names) else "live")
-        written = self._write(state, rows, kind)
+        written = self._write(state, rows, self._kind_of(state))
         self._commit(state, written, token)
         return LoadCounts(rows_inserted=self._count(state, written))
 
@@ -314,14 +369,14 @@ class Target:
         """The load a job asks for."""
         kind = merge.load_kind(load_type, scd_type)
         if kind == "filter":
-            return self.reload(work, condition, allow_history_loss, token)
+            return self.reload(work, condition, allow_history_loss, token, run_ts)
         if kind == "append":
-            return self.append(work, allow_history_loss, token)
+            return self.append(work, allow_history_loss, token, run_ts)
         if kind == "scd1":
             return self.upsert(work, keys, allow_history_loss, token)
         if kind == "scd2":
             return self.track(work, run_ts, keys, token=token)
-        return self.replace(work, allow_history_loss, token)
+        return self.replace(work, allow_history_loss, token, run_ts)
 
     def _rewrite(self, rows_hit, change, token=None) -> None:
         """Rewrite the live slices that hold a row to change."""
@@ -330,11 +385,16 @@ class Target:
         stale = [s for s in state["segments"] if s.slice in hit]
         rest = [s for s in state["segments"] if s.slice not in hit]
         written: list[Segment] = []
+        # a change may open or close a row, so rows are placed by what they have become
         for kind in sorted({s.kind for s in stale}):
             rows = self._read(state, [s for s in stale if s.kind == kind])
-            written += self._write(state, change(rows), kind)
+            written += self._write(state, change(rows), self._kind_of(state) if has_history(rows.columns) else kind)
         self._commit(state, rest + written, token)
 
+    def _kind_of(self, state: dict) -> Column | str:
+        return (F.when(F.coalesce("is_current", F.lit(False)), "live").otherwise("closed")
+                if has_history(state["schema"].names) else "live")
+
     def update(self, condition: str | Column, values: dict[str, Column]) -> None:
         """Set columns on the rows where a condition is true."""
         hit = F.expr(condition) if isinstance(condition, str) else condition
@@ -346,7 +406,7 @@ class Target:
         hit = F.expr(condition) if isinstance(condition, str) else condition
         self._rewrite(lambda rows: rows.where(hit), lambda rows: rows.where(~F.coalesce(hit, F.lit(False))))
 
-    def compact(self, most: int = 8) -> None:
+    def compact(self, most: int = MOST_FOLDERS) -> None:
         """Write slices that have come to lie in more than ``most`` folders as one folder again."""
         state = self._load()
         places: dict[tuple[str, int], list[Segment]] = {}

@@ -14,16 +14,15 @@ from tidemark import fs
 from tidemark.functions.predicates import FIRST_START, name_list
 from tidemark.functions.types import column_metadata, target_schema
 from tidemark.operators.dedup import dedup
-from tidemark.operators.ledger import FAILED, SKIPPED, EXTRACT_STEPS, LOAD_STEPS, SUCCESS, Ledger
+from tidemark.operators.ledger import FAILED, SKIPPED, EXTRACT_STEPS, LOAD_STEPS, SUCCESS, SUPERSEDED, Ledger
 from tidemark.operators.merge import load_kind
-from tidemark.operators.target import LoadCounts, Target
+from tidemark.operators.target import LoadCounts, Target, Token
 from tidemark.plans.replay import fold_batches
 from tidemark.session import workspace
 from tidemark.sources import config, staged, tables
 
 # Execution modes; INGEST is the older name of LOAD.
 MODES = ["FULL", "EXPORT", "LOAD"]
-STAGE_TOKEN = "stage"
 
 RESULT_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("status", T.StringType()),
@@ -63,11 +62,16 @@ class _Run:
 
     def __init__(self, place: Place, job: dict, batch_id: int, now: datetime | None):
         self.place, self.job, self.batch_id = place, job, batch_id
-        self.job_id = int(job.get("job_id") or 1)
+        self.job_id = int(job.get("job_id") or job_ids(place.spark, [job])[0])
         self.start = now or datetime.now(timezone.utc).replace(tzinfo=None)
         self.clock = time.monotonic()
         self.known: dict = {}
 
+    @property
+    def token(self) -> str:
+        """The name under which the target keeps the applied batches of this job's source."""
+        return staged.source_name(self.job)
+
     def now(self) -> datetime:
         """The run's start moved on by the time passed: later batches get later versions."""
         return self.start + timedelta(seconds=time.monotonic() - self.clock)
@@ -101,11 +105,14 @@ def ensure_target(place: Place, job: dict) -> Target:
     if target.exists():
         return target
     return target.create(_source_schema(place, job), name_list(job.get("primary_key")),
-                         int(job.get("slices") or 1))
+                         int(job.get("slices") or 1), job.get("partition_column"))
 
 
 def _export(run: _Run) -> None:
     place, job = run.place, run.job
+    target = place.target(job)
+    if target.exists() and target.is_applied(run.token, run.batch_id):
+        raise ValueError(f"batch {run.batch_id} of {run.token} is in the target already")
     mark = place.ledger.watermark(job)
     by_id = (job.get("cdc_type") or "TIMESTAMP").upper() == "ID" and name_list(job.get("cdc_columns"))
     rows = tables.extract(place.spark, job, place.read, mark, run.start, place.custom_tables, place.encryption_key)
@@ -128,7 +135,9 @@ def _work_rows(place: Place, job: dict, target: Target, batches: list[int], fold
     checked = staged.check_rows(text, schema).withColumn("batch_id", F.col("batch_id").cast("long"))
     work, bad, counts = staged.materialise(checked, schema, f"{folder}/work")
     if counts.rows_rejected:
-        bad.write.mode("append").parquet(f"{target.root}/_rejects")
+        # A folder of the batches that are loaded together: a load that is run again writes it again.
+        place_of = f"{staged.source_name(job)}/load={'-'.join(map(str, batches))}"
+        bad.write.mode("overwrite").parquet(f"{target.root}/_rejects/{place_of}")
     return work.drop("_file"), counts
 
 
@@ -150,8 +159,8 @@ def _ready(place: Place, job: dict, work: DataFrame, keys: list[str], kind: str,
 def _load(run: _Run, batches: list[int]) -> None:
     place, job = run.place, run.job
     target = run.step("create_table", lambda: ensure_target(place, job))
-    done = target.applied(STAGE_TOKEN) or 0
-    batches = [b for b in batches if b > done]
+    waiting = [b for b in batches if target.is_applied(run.token, b)]
+    batches = [b for b in batches if b not in waiting]
     if not batches:
         raise StepError("copy", ValueError("no files in the stage, nothing to load"))
     kind = load_kind(job.get("load_type"), job.get("scd_type"))
@@ -159,6 +168,7 @@ def _load(run: _Run, batches: list[int]) -> None:
     allow = bool(job.get("allow_history_loss"))
     # An upsert takes the last batch of each key and a full replace the last batch, so their
     # batches go in together; history and filtered reloads depend on every batch in turn.
+    replaced = batches[:-1] if kind == "full" else []
     if kind == "full":
         groups = [batches[-1:]]
     elif kind in ("scd1", "append"):
@@ -174,9 +184,10 @@ def _load(run: _Run, batches: list[int]) -> None:
         def apply(rows=work, group=group, folder=folder):
             ready = _ready(place, job, rows, keys, kind, f"{folder}/unique")
             return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, run.now(),
-                               job.get("filter_condition"), allow, (STAGE_TOKEN, group[-1]))
+                               job.get("filter_condition"), allow, Token(run.token, tuple([*replaced, *group])))
         total = LoadCounts(*[a + b for a, b in zip(total, run.step("merge", apply))])
         fs.remove(place.spark, folder)  # the rows are in the target now
+    target.compact()  # appends add folders; the list of them stays bounded
     log = f"{kind}: {total.rows_inserted} inserted, {total.rows_updated} updated, {total.rows_expired} expired"
     known = {"rows_extracted": read.rows_loaded} if "rows_extracted" not in run.known else {}
     run.known.update(
@@ -186,14 +197,26 @@ def _load(run: _Run, batches: list[int]) -> None:
              rows_rejected=read.rows_rejected, rows_inserted=total.rows_inserted,
              rows_updated=total.rows_updated, rows_expired=total.rows_expired,
              target_count=target.count(), **known)
-    for b in batches:
-        if b != run.batch_id:
-            # Its run may have failed in a load step; its rows are in the target now.
-            place.ledger.event(b, run.job_id, time.time_ns() // 1000, ingestion_completed="YES", copy_status=SUCCESS,
-                               merge_status=SUCCESS, final_status=SUCCESS)
-        if place.archive:
-            # After the commit, so a load that failed can be run again.
-            staged.archive(place.spark, place.stage, job, b, place.archive, run.start.strftime("%Y%m%d"))
+    others = [b for b in batches if b != run.batch_id]
+    if others:
+        paths = {staged.batch_folder(place.stage, job, b): b for b in others}
+        by = place.ledger.exporters(list(paths))
+        for b in others:
+            at = time.time_ns() // 1000
+            if b in replaced:
+                place.ledger.event(b, by.get(b, run.job_id), at, ingestion_completed=SUPERSEDED, copy_status=SUPERSEDED,
+                                   copy_log=f"superseded by batch {batches[-1]}", merge_status=SUPERSEDED)
+            else:
+                # Its run may have failed in a load step; its rows are in the target now.
+                place.ledger.event(b, by.get(b, run.job_id), at, ingestion_completed="YES", copy_status=SUCCESS,
+                                   merge_status=SUCCESS, final_status=SUCCESS)
+    if place.archive:
+        # After the commit, so a load that failed can be run again. The rows are loaded: what goes wrong here is noted.
+        for b in [*waiting, *batches]:
+            try:
+                staged.archive(place.spark, place.stage, job, b, place.archive, run.start.strftime("%Y%m%d"))
+            except Exception as error:
+                run.known["copy_log"] += f"; batch {b} not archived: {error}"
 
 
 def run_table(place: Place, job: dict, mode: str, batch_id: int, now: datetime | None = None) -> dict:
@@ -213,12 +236,14 @@ def run_table(place: Place, job: dict, mode: str, batch_id: int, now: datetime |
             run.step("export", lambda: _export(run))
         if mode in ("FULL", "LOAD"):
             _load(run, staged.pending_batches(place.spark, place.stage, job))
+        if not job.get("custom_sql"):
+            run.known["source_count"] = place.read(job).count()
     except StepError as error:
         status, log = FAILED, str(error)
         run.known.update({f"{error.step}_status": FAILED, f"{error.step}_log": log})
+    except Exception as error:  # whatever else ends a run, the ledger says so
+        status, log = FAILED, str(error)
     duration = int(time.monotonic() - run.clock)
-    if status == SUCCESS and not job.get("custom_sql"):
-        run.known["source_count"] = place.read(job).count()
     written = {"source_db", "source_schema", "source_table", "target_db", "target_schema", "target_table", "custom_sql",
                "load_type", "stage_path", "execution_mode", "job_start_time"}
     run.note(**{k: v for k, v in run.known.items() if k not in written}, final_status=status, job_duration=duration,
@@ -233,23 +258,33 @@ def run_table(place: Place, job: dict, mode: str, batch_id: int, now: datetime |
                                               "rows_inserted", "rows_updated", "rows_expired")}}
 
 
+def job_ids(spark: SparkSession, jobs: list[dict]) -> list[int]:
+    """An id for each job that follows from its tables alone, whatever jobs run beside it."""
+    names = ["source_db", "source_schema", "source_table", "target_table"]
+    rows = [(i, *[job.get(n) for n in names]) for i, job in enumerate(jobs)]
+    schema = "place int, " + ", ".join(f"{n} string" for n in names)
+    found = config.with_job_ids(spark.createDataFrame(rows, schema)).orderBy("place").collect()  # one row per job
+    return [r["job_id"] for r in found]
+
+
 def run_many(place: Place, jobs: list[dict], mode: str | None = None, batch_id: int | None = None,
              at_once: int = 4, now: datetime | None = None) -> DataFrame:
     """Run jobs side by side in fair pools. One failure does not stop the others."""
     spark = place.spark
     batch_id = place.ledger.next_batch_id() if batch_id is None else batch_id
+    ids = job_ids(spark, jobs)
 
     def one(numbered: tuple[int, dict]) -> dict:
-        n, job = numbered
+        job_id, job = numbered
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", job["source_table"])
         try:
-            return run_table(place, {"job_id": n, **job}, mode or job.get("execution_mode") or "FULL", batch_id, now)
+            return run_table(place, {"job_id": job_id, **job}, mode or job.get("execution_mode") or "FULL", batch_id, now)
         except Exception as error:
             return {"table_name": job["source_table"], "status": FAILED, "duration": 0, "log": str(error),
                     **{f.name: 0 for f in RESULT_SCHEMA if isinstance(f.dataType, T.LongType)}}
 
     with ThreadPoolExecutor(at_once) as threads:
-        results = list(threads.map(inheritable_thread_target(spark)(one), enumerate(jobs, 1)))
+        results = list(threads.map(inheritable_thread_target(spark)(one), zip(ids, jobs)))
     return spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA) for r in results],
                                  RESULT_SCHEMA).orderBy("table_name")
 

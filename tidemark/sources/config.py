@@ -12,6 +12,9 @@ _TEXT_2 = ["execution_mode", "delimiter", "filter_condition", "trim", "encryptio
 CONFIG_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in _TEXT] + [T.StructField("scd_type", T.IntegerType())]
     + [T.StructField(n, T.StringType()) for n in _TEXT_2] + [T.StructField("active", T.BooleanType())])
+# Settings of this library's targets, which a settings table may leave out.
+TARGET_FIELDS = [T.StructField("slices", T.IntegerType()), T.StructField("partition_column", T.StringType()),
+                 T.StructField("allow_history_loss", T.BooleanType())]
 
 # Defaults of the job settings.
 DEFAULTS = {
@@ -31,7 +34,8 @@ _UPPER = ["load_type", "execution_mode", "cdc_type"]
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Job rows from a JSON settings file ``{"tables": [...]}``."""
-    wrapped = T.StructType([T.StructField("tables", T.ArrayType(CONFIG_SCHEMA))])
+    schema = T.StructType([*CONFIG_SCHEMA, *TARGET_FIELDS])
+    wrapped = T.StructType([T.StructField("tables", T.ArrayType(schema))])
     return (spark.read.schema(wrapped).option("multiLine", "true").json(path)
             .select(F.inline("tables")))
 
@@ -51,7 +55,8 @@ def normalise(config: DataFrame) -> DataFrame:
     The older mode name INGEST is read as LOAD.
     """
     names = [n for n in CONFIG_SCHEMA.names if n != "active"]
-    out = config.select(*[_filled(n) for n in names],
+    own = [F.col(f.name) for f in TARGET_FIELDS if f.name in config.columns]
+    out = config.select(*[_filled(n) for n in names], *own,
                         F.when(F.coalesce("active", F.lit(False)), "Y").otherwise("N").alias("enabled"))
     mode = F.when(F.col("execution_mode") == "INGEST", "LOAD").otherwise(F.col("execution_mode"))
     return out.withColumn("execution_mode", mode)

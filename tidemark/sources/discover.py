@@ -43,9 +43,16 @@ def key_profile(name: str, df: DataFrame, column: str) -> DataFrame:
 
 
 def profile_keys(tables: dict[str, DataFrame], pattern: str = KEY_PATTERN) -> DataFrame:
-    """Key candidates of many tables, each counted exactly."""
-    return reduce(DataFrame.unionByName, [key_profile(n, df, c) for n, df in tables.items()
-                                          for c in key_candidates(df, pattern)])
+    """Key candidates of many tables, each counted exactly. No row if there is no candidate."""
+    parts = [key_profile(n, df, c) for n, df in tables.items() for c in key_candidates(df, pattern)]
+    return _union(tables, parts, "table_name string, column_name string, n_rows long, n_values long, n_distinct long, "
+                                 "is_key boolean")
+
+
+def _union(tables: dict[str, DataFrame], parts: list[DataFrame], schema: str) -> DataFrame:
+    if parts:
+        return reduce(DataFrame.unionByName, parts)
+    return (next(iter(tables.values())).sparkSession if tables else SparkSession.active()).createDataFrame([], schema)
 
 
 def is_composite_key(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -56,6 +63,22 @@ def is_composite_key(df: DataFrame, columns: list[str]) -> DataFrame:
                       F.coalesce((F.max("n") == 1) & F.bool_and(no_nulls), F.lit(False)).alias("is_key"))
 
 
+def composite_candidates(df: DataFrame, pattern: str = KEY_PATTERN) -> list[tuple[str, str]]:
+    """Pairs that may identify a row together: a column named like a key, and another whole-number or key-like column."""
+    first = key_candidates(df, pattern)
+    second = first + [f.name for f in df.schema if isinstance(f.dataType, T.IntegralType) and f.name not in first]
+    pairs = [(a, b) for i, a in enumerate(second) for b in second[i + 1:] if a in first]
+    return pairs
+
+
+def profile_composite_keys(tables: dict[str, DataFrame], pattern: str = KEY_PATTERN) -> DataFrame:
+    """Pairs of columns of tables in which no single column is a key, each counted exactly."""
+    parts = [is_composite_key(df, list(pair)).select(F.lit(name).alias("table_name"),
+                                                     F.lit(", ".join(pair)).alias("column_name"), "*")
+             for name, df in tables.items() for pair in composite_candidates(df, pattern)]
+    return _union(tables, parts, "table_name string, column_name string, n_rows long, n_distinct long, is_key boolean")
+
+
 def watermark_candidates(df: DataFrame, patterns: list[str] | None = None) -> list[str]:
     """Columns whose name says change time, then other timestamp columns, in table order."""
     wanted = [p.replace("%", "*") for p in (patterns or WATERMARK_PATTERNS)]
@@ -81,13 +104,28 @@ def profile_watermarks(tables: dict[str, DataFrame]) -> DataFrame:
                      F.col(f"lo{i}").alias("first_value"), F.col(f"hi{i}").alias("last_value"),
                      (F.col("n_rows") - F.col(f"v{i}")).alias("n_nulls"))
             for i, c in enumerate(columns)]))))
-    return reduce(DataFrame.unionByName, parts)
+    kinds = {str(df.schema[c].dataType.simpleString()) for _, df in tables.items() for c in watermark_candidates(df)
+             if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType))}
+    kind = kinds.pop() if len(kinds) == 1 else "timestamp_ntz"
+    return _union(tables, parts, f"table_name string, column_name string, first_value {kind}, last_value {kind}, n_nulls long")
 
 
-def suggest_jobs(keys: DataFrame, watermarks: DataFrame, tables: DataFrame, source_db: str) -> DataFrame:
-    """A settings row per table: incremental if it has a key and a watermark, else full."""
-    key = keys.where("is_key").groupBy("table_name").agg(F.min("column_name").alias("primary_key"))
-    mark = watermarks.groupBy("table_name").agg(F.min("column_name").alias("cdc_columns"))
+def suggest_jobs(keys: DataFrame, watermarks: DataFrame, tables: DataFrame, source_db: str,
+                 composite: DataFrame | None = None, patterns: list[str] | None = None) -> DataFrame:
+    """A settings row per table: incremental if it has a key and a column whose name says change time, else full.
+
+    A single key column comes before a pair. Of several change columns the one whose pattern comes first is
+    taken: a time of creation, or any other time, says nothing about later changes and never counts.
+    """
+    single = keys.where("is_key").groupBy("table_name").agg(F.min("column_name").alias("one"))
+    pairs = (composite if composite is not None else keys.limit(0)).where("is_key").groupBy("table_name").agg(
+        F.min("column_name").alias("two"))
+    key = single.join(pairs, "table_name", "full").select("table_name", F.coalesce("one", "two").alias("primary_key"))
+    place = F.lit(None).cast("int")
+    for i, pattern in reversed(list(enumerate(patterns or WATERMARK_PATTERNS))):
+        place = F.when(F.lower("column_name").like(pattern), i).otherwise(place)
+    mark = (watermarks.withColumn("place", place).where("place is not null").groupBy("table_name")
+            .agg(F.min_by("column_name", F.struct("place", "column_name")).alias("cdc_columns")))
     both = F.col("primary_key").isNotNull() & F.col("cdc_columns").isNotNull()
     return (tables.join(key, "table_name", "left").join(mark, "table_name", "left").select(
         F.lit(source_db).alias("source_db"), F.col("table_name").alias("source_table"),

@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark import fs
 from tidemark.functions.columns import as_text
 from tidemark.functions.types import from_text
-from tidemark.session import spread_small
 
 # Texts that mean NULL in a staged file.
 NULL_MARKERS = ["NULL", ""]
 DELIMITER = "|"
-# One gzip file is one task, so files are cut by rows and not left to grow.
-ROWS_PER_FILE = 1_000_000
+# One gzip file is one task, so files are cut at about this many bytes of text before compression.
+FILE_BYTES = 512 << 20
+# Rows whose text is measured to find how many make a file; the cut moves no row, only file ends.
+MEASURED_ROWS = 1000
 
 
 class StageCounts(NamedTuple):
@@ -29,9 +30,16 @@ class StageCounts(NamedTuple):
     rows_rejected: int
 
 
+def source_name(job: dict) -> str:
+    """The source of a job as one name: what two sources of one target are told apart by."""
+    parts = [job.get(n) or "" for n in ("source_db", "source_schema", "source_table")]
+    return "source=" + ".".join(p.replace("/", "_") for p in parts)
+
+
 def table_folder(stage: str, job: dict) -> str:
-    return "/".join([stage.rstrip("/"), job.get("target_db") or "", job.get("target_schema") or "",
-                     job["target_table"]])
+    """Where a job's batches wait: below its own stage path, if it names one, else below the common one."""
+    return "/".join([(job.get("cloud_path") or stage).rstrip("/"), job.get("target_db") or "",
+                     job.get("target_schema") or "", job["target_table"], source_name(job)])
 
 
 def batch_folder(stage: str, job: dict, batch_id: int) -> str:
@@ -45,15 +53,34 @@ def csv_options(delimiter: str | None) -> dict[str, str]:
             "nullValue": "", "emptyValue": "", "lineSep": "\n"}
 
 
+def text_bytes(rows: DataFrame) -> Column:
+    """Bytes of a row as staged text, with quotes and delimiters."""
+    size = F.lit(3 * len(rows.columns))
+    for name in rows.columns:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    return size
+
+
+def rows_for(rows: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many rows make a file of so many bytes, by the mean of the first rows."""
+    text = as_text(rows.limit(MEASURED_ROWS))
+    mean = text.agg(F.avg(text_bytes(text))).first()[0]
+    return max(1, int(file_bytes / mean)) if mean else 1
+
+
 def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, files: int | None = None,
-                 rows_per_file: int = ROWS_PER_FILE, highest: str | None = None) -> tuple[int, int | None]:
+                 rows_per_file: int | None = None, highest: str | None = None,
+                 file_bytes: int = FILE_BYTES) -> tuple[int, int | None]:
     """Export rows as text, every value quoted.
 
     Returns how many rows there were and the highest value of the id column ``highest``, both
-    taken from the very rows that were written.
+    taken from the very rows that were written. A complete export is never overwritten.
     """
+    if fs.exists(rows.sparkSession, f"{folder}/_SUCCESS"):
+        raise FileExistsError(f"{folder} holds an export already")
     seen = Observation()
-    rows = rows.repartition(files) if files else spread_small(rows)
+    rows_per_file = rows_per_file or rows_for(rows, file_bytes)
+    rows = rows.repartition(files) if files else rows
     top = F.max(F.col(highest).try_cast("long")) if highest else F.max(F.lit(None).cast("long"))
     # Observed last, in the tasks that write, so a repeated task is not counted twice.
     (as_text(rows).observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top"))
@@ -157,10 +184,11 @@ def materialise(checked: DataFrame, schema: T.StructType, folder: str) -> tuple[
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Staged files with their table, batch and size. Contents are not read."""
+    # .../<target table>/source=<source>/batch_id=<n>/<file>
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv*").load(folder).select("path", "length"))
     return files.select(
-        F.regexp_extract("path", r"([^/]+)/batch_id=\d+/[^/]+$", 1).alias("table_name"),
+        F.regexp_extract("path", r"([^/]+)/source=[^/]*/batch_id=\d+/[^/]+$", 1).alias("table_name"),
         F.regexp_extract("path", r"batch_id=(\d+)/[^/]+$", 1).try_cast("long").alias("batch_id"),
         "path", "length")
 
@@ -181,8 +209,10 @@ def pending_batches(spark: SparkSession, stage: str, job: dict) -> list[int]:
 
 def archive(spark: SparkSession, stage: str, job: dict, batch_id: int, archive_root: str, day: str) -> str:
     """Move a loaded batch to the dated archive; a rename, no data is copied."""
-    place = f"{archive_root.rstrip('/')}/dt={day}/{job['target_table']}/batch_id={batch_id}"
+    place = batch_folder(f"{archive_root.rstrip('/')}/dt={day}", {**job, "cloud_path": None}, batch_id)
     source = batch_folder(stage, job, batch_id)
     if fs.exists(spark, source):
+        if fs.exists(spark, place):
+            raise FileExistsError(f"{place} is in the archive already")
         fs.move(spark, source, place)
     return place
