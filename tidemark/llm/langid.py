@@ -18,6 +18,7 @@ all. Input columns named like those that are added are replaced. Ties go to the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm import arrow
 from tidemark.llm.common import col
-from tidemark.llm.vocabulary import Memory
 
 #: Labelled texts that are counted, per language, about; n-grams that are kept, at most.
 SAMPLE, GRAMS = 4000, 50_000
-#: Letters of an n-gram at most; weight of an n-gram's log probability (they overlap); cost of a switch in nats.
-LONGEST, TEMPER, SWITCH = 3, 0.6, 8.0
+#: Weight of an n-gram's log probability (they overlap); cost of a switch in nats.
+TEMPER, SWITCH = 0.6, 8.0
 #: A language uses a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
+#: Words a worker remembers before it starts anew; bytes of text that are worked on at once.
 MEMORY = 400_000
-PIECE_BYTES = 6 << 20
+PIECE_BYTES = 4 << 20
 
 # First code points of blocks of letters, and the script of each.
 SCRIPTS = [
@@ -56,14 +57,17 @@ _SCRIPT = np.array([NAMES.index(name) for _, name in SCRIPTS])
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
-def script_of(word: str) -> int:
-    """The script of a word's first letter."""
-    return int(_SCRIPT[np.searchsorted(_STARTS, ord(word[0]), "right") - 1])
+def scripts_of(words: list[str]) -> np.ndarray:
+    """The script of each word's first letter."""
+    first = np.fromiter([ord(w[0]) for w in words], np.int64, len(words))
+    return _SCRIPT[np.searchsorted(_STARTS, first, "right") - 1]
 
 
 def grams(word: str) -> list[str]:
-    padded = f" {word} "
-    return [padded[i:i + n] for n in range(1, LONGEST + 1) for i in range(len(padded) - n + 1) if n > 1 or 0 < i < len(padded) - 1]
+    """Letters, pairs and triples; pairs and triples also with the ends of the word."""
+    w = f" {word} "
+    n = len(w)
+    return [*word, *[w[i:i + 2] for i in range(n - 1)], *[w[i:i + 3] for i in range(n - 2)]]
 
 
 @dataclass
@@ -73,25 +77,47 @@ class Model:
     logp: np.ndarray  # (n-grams, languages)
     uses: np.ndarray  # (scripts, languages), bool
 
-    def words(self, words: list[str]) -> list[tuple[np.ndarray, int]]:
-        """(log posterior per language, letters) of each word; -inf for languages that do not use its script."""
-        if not words:
-            return []
+    def words(self, words: list[str]) -> np.ndarray:
+        """The log posterior per language of each word, at least minus the cost of a switch."""
         known = self.ids.get
-        lists = [[i for g in grams(w) if (i := known(g)) is not None] for w in words]
-        flat = np.fromiter((i for x in lists for i in x), np.int64)
-        sums = np.zeros((len(words), len(self.langs)), np.float64)
-        np.add.at(sums, np.repeat(np.arange(len(words)), [len(x) for x in lists]), self.logp[flat])
-        sums *= TEMPER
-        allowed = self.uses[np.fromiter(map(script_of, words), np.int64, len(words))]
+        lists = [[i for i in map(known, grams(w)) if i is not None] for w in words]
+        flat = np.fromiter(chain.from_iterable(lists), np.int64)
+        of = np.repeat(np.arange(len(words)), np.fromiter(map(len, lists), np.int64, len(lists)))
+        sums = np.stack([np.bincount(of, self.logp[flat, k], len(words)) for k in range(len(self.langs))], axis=1) * TEMPER
+        allowed = self.uses[scripts_of(words)]
         silent = ~allowed.any(axis=1)
         sums[silent] = 0
         sums[~allowed & ~silent[:, None]] = -1e9
         sums -= sums.max(axis=1, keepdims=True)
         sums -= np.log(np.exp(sums).sum(axis=1, keepdims=True))
         # no word says more against a language than a switch costs: one odd word never makes a span
-        scores = np.maximum(sums, -SWITCH).astype(np.float32)
-        return list(zip(scores, map(len, words)))
+        return np.maximum(sums, -SWITCH).astype(np.float32)
+
+
+class Lexicon(dict):
+    """Numbers of the words that a worker has met, and their scores and lengths; a missing word gets the next number."""
+
+    def __init__(self, model: Model, most: int = MEMORY):
+        super().__init__()
+        self.model, self.most, self.new = model, most, []
+        self.scores = np.zeros((0, len(model.langs)), np.float32)
+        self.letters = np.zeros(0, np.float32)
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+    def numbers(self, split: list[list[str]], n: int) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+            self.scores, self.letters = self.scores[:0], self.letters[:0]
+        at = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, n)
+        if self.new:
+            self.scores = np.concatenate([self.scores, self.model.words(self.new)])
+            self.letters = np.concatenate([self.letters, np.fromiter(map(len, self.new), np.float32)])
+            self.new = []
+        return at
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -159,15 +185,14 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
                     words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
         for lang, counter in words.items():
             found: Counter = Counter()
-            scripts = [0] * len(NAMES)
+            scripts = np.bincount(scripts_of(list(counter)), [n * len(w) for w, n in counter.items()], len(NAMES))
             for word, n in counter.items():
-                scripts[script_of(word)] += n * len(word)
                 for g in grams(word):
                     found[g] += n
-            for kind, items in (("gram", list(found.items())), ("script", list(zip(NAMES, scripts)))):
+            for kind, items in (("gram", list(found.items())), ("script", list(zip(NAMES, scripts.astype(int).tolist())))):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(items)), pa.array([kind] * len(items)),
-                     pa.array([k for k, _ in items]), pa.array([n for _, n in items], pa.int64())],
+                    [pa.array([lang] * len(items), pa.string()), pa.array([kind] * len(items), pa.string()),
+                     pa.array([k for k, _ in items], pa.string()), pa.array([n for _, n in items], pa.int64())],
                     ["lang", "kind", "item", "n"])
 
     counted = (arrow.mapped(chosen, count, "lang string, kind string, item string, n long")
@@ -193,7 +218,6 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
 
 # -- prediction --------------------------------------------------------------------------
 
-_memories: dict[int, Memory] = {}
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
                                   T.StructField("lang", T.StringType())]))
 
@@ -209,25 +233,21 @@ def _spans(text: str, labels: np.ndarray, langs: list[str]) -> list[dict]:
             for s, e, c in zip([0, *ends], [*ends, len(text)], [0, *cuts])]
 
 
-def predict_texts(model: Model, memory: Memory, texts: list[str]) -> tuple[list[str], list[float], list[list[dict]]]:
+def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[float], list[list[dict]]]:
+    model = lexicon.model
     split = [WORD.findall(t.lower()) for t in texts]
     lengths = np.array([len(ws) for ws in split], np.int64)
     n = int(lengths.sum())
     if not n or not model.langs:
         return ["und"] * len(texts), [0.0] * len(texts), [[] for _ in texts]
-    distinct = {w for ws in split for w in ws}
-    known = memory.know(distinct)
-    number = {w: i for i, w in enumerate(distinct)}
-    entries = [known[w] for w in number]
-    table = np.stack([e[0] for e in entries])
-    letters = np.array([e[1] for e in entries])
-    at = np.fromiter((number[w] for ws in split for w in ws), np.int64, n)
-    labels = viterbi(table[at], lengths)
-    weight = letters[at]
-    text_of = np.repeat(np.arange(len(texts)), lengths)
+    at = lexicon.numbers(split, n)
+    word_scores = lexicon.scores[at]
+    labels = viterbi(word_scores, lengths)
+    weight = lexicon.letters[at]
     n_langs = len(model.langs)
-    held = np.bincount(text_of * n_langs + labels, weight, len(texts) * n_langs).reshape(-1, n_langs)
-    sure = np.bincount(text_of * n_langs + labels, weight * np.exp(table[at, labels]),
+    held_by = np.repeat(np.arange(len(texts)) * n_langs, lengths) + labels
+    held = np.bincount(held_by, weight, len(texts) * n_langs).reshape(-1, n_langs)
+    sure = np.bincount(held_by, weight * np.exp(np.take_along_axis(word_scores, labels[:, None], axis=1)[:, 0]),
                        len(texts) * n_langs).reshape(-1, n_langs)
     best = held.argmax(axis=1)
     total = np.maximum(1, held.sum(axis=1))
@@ -257,13 +277,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
 
     def run(batches):
         fitted = shared.value
-        if id(fitted) not in _memories:
-            _memories.clear()
-            _memories[id(fitted)] = Memory(MEMORY, fitted.words)
-        memory = _memories[id(fitted)]
+        lexicon = arrow.kept(("langid", id(fitted)), lambda: Lexicon(fitted))
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col, PIECE_BYTES):
-                langs, scores, spans = predict_texts(fitted, memory, texts)
+                langs, scores, spans = predict_texts(lexicon, texts)
                 kept = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, span_type)],
