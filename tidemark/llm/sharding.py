@@ -6,7 +6,7 @@ in a defined order, permutes them with Spark's ``shuffle`` (Fisher-Yates) from a
 of a record is the number of records in earlier buckets plus its place in its own; shard and slot are the remainder and
 the quotient of the position by the number of shards, so that shard counts are at most one apart (law ``rows``).
 
-Each bucket is one partition chosen by a fixed number of partitions, and rows reach ``shuffle`` in a defined order:
+Each bucket is one partition, and rows reach ``shuffle`` in a defined order:
 a task that runs again after the loss of an executor makes the same permutation.
 
 Defined results: a NULL text has no bytes (size 1, CRC 0). An empty table gives an empty result. Rows that agree in
@@ -33,17 +33,18 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, id_
     n = max(1, -(-total // bucket_bytes))
     bucket, order, rec, pos = (free_name(docs, x) for x in ("_bucket", "_order", "_rec", "_pos"))
     scattered = docs.select(
-        F.pmod(F.xxhash64(F.lit(seed), col(id_col), col(text_col)), F.lit(n)).alias(bucket),
+        F.pmod(F.xxhash64(F.lit(seed), col(id_col), col(text_col)), F.lit(n)).cast("int").alias(bucket),
         F.struct(F.xxhash64(F.lit(seed + 1), col(id_col), col(text_col)).alias("h"),
                  *[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias(rec))
-    packed = (scattered.repartition(n, bucket).groupBy(bucket)
-              .agg(F.sort_array(F.collect_list(rec)).alias(order))
-              .sortWithinPartitions(bucket))
+    # the bucket is the number of the partition: a task never holds two of them
+    packed = (scattered.repartitionById(n, F.col(bucket)).groupBy(bucket)
+              .agg(F.sort_array(F.collect_list(rec)).alias(order)))
     permuted = packed.select(bucket, F.posexplode(F.shuffle(order, seed)).alias(pos, rec))
     placed = written(permuted, "shards-buckets")
     counts = placed.groupBy(bucket).agg(F.count("*").alias("n"))
-    # one row per bucket
-    first = counts.select(F.col(bucket).alias("_b"), (F.sum("n").over(W.orderBy(bucket)) - F.col("n")).alias("_first"))
+    # one row per bucket, written so that Spark knows its size before it plans the join with the records
+    first = written(counts.select(F.col(bucket).alias("_b"),
+                                  (F.sum("n").over(W.orderBy(bucket)) - F.col("n")).alias("_first")), "shards-offsets")
     at = F.col("_first") + F.col(pos)
     return (placed.join(first, F.col(bucket) == F.col("_b"))
             .select(*[F.col(f"{rec}.c{i}").alias(c) for i, c in enumerate(docs.columns)],
