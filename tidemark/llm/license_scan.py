@@ -93,20 +93,21 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
          whole: float = WHOLE) -> DataFrame:
     """All rows and columns, with own_license, own_score, is_license_file, inherited_from and license."""
     spark = files.sparkSession
-    model = written(_templates(spark), "license-templates")
+    # tables over the terms of the templates have a few hundred rows, and lie in one file
+    model = written(_templates(spark).coalesce(1), "license-templates")
     vocabulary = [r.term for r in model.select("term").distinct().collect()]  # that of the fixed templates
     texts = files.select(F.coalesce(col(path_col), F.lit("")).alias("path"), col(text_col).alias("text"))
     held = texts.select(F.array_intersect(terms(F.col("text")), F.array(*map(F.lit, vocabulary))).alias("held"))
     # one count for each term of the templates, and the number of files under the NULL term
     df = (held.select(F.explode(F.concat(F.coalesce("held", F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))).alias("term"))
           .groupBy("term").agg(F.count("*").alias("df")))
-    df = written(df, "license-df")
+    df = written(df.coalesce(1), "license-df")
     counted = df.filter("term is null").first()
     n = counted["df"] if counted else 0
     rarest = math.log(1.0 + n) + 1.0
     weight = F.log(F.lit(1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
     weighed = written(model.join(F.broadcast(df.filter("term is not null")), "term", "left").select(
-        "template", "license", "term", weight.alias("idf"), (F.col("tf") * weight).alias("w")), "license-weights")
+        "template", "license", "term", weight.alias("idf"), (F.col("tf") * weight).alias("w")).coalesce(1), "license-weights")
     norms = weighed.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     anchors = sorted({t for r in weighed.groupBy("template").agg(F.collect_list(F.struct("w", "term")).alias("ws")).collect()
                       for t in _anchors([(x.w, x.term) for x in r.ws], min(line, whole))})
@@ -151,10 +152,9 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
                      "license-judged")
     name = F.regexp_extract("path", "[^/]*$", 0)
     license_files = judged.filter(F.col("by_text") | name.rlike(NAME))
-    of_folder = written(
-        license_files.withColumn("folder", directory(F.col("path"))).groupBy("folder").agg(F.min(F.struct(
-            (-F.col("file.score")).alias("a"), "path", F.col("file.license").alias("license"))).alias("f"))
-        .select("folder", F.col("f.license").alias("license")), "license-folders")
+    of_folder = (license_files.withColumn("folder", directory(F.col("path"))).groupBy("folder").agg(F.min(F.struct(
+        (-F.col("file.score")).alias("a"), "path", F.col("file.license").alias("license"))).alias("f"))
+        .select("folder", F.col("f.license").alias("license")))
     folders = texts.select(directory(F.col("path")).alias("folder")).distinct()
     above = folders.select("folder", F.posexplode(ancestors(F.col("folder"))).alias("up", "ancestor"))
     inherited = written(
