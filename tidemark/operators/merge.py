@@ -4,9 +4,9 @@ Each function takes the target and the work rows as DataFrames and returns the n
 target. NULL keys match nothing, so rows with a NULL key are always inserted. Except for
 appends, work rows are expected to be unique by key (see ``dedup``).
 
-``small_work`` says that the work rows were measured and fit in every executor
-(see ``fits_broadcast``). The target is then never shuffled. Without it both sides are
-shuffled by key and adaptive execution splits keys that hold many target rows.
+``small_work`` says that the work rows were measured and fit in every executor. The target is then
+never shuffled. Without it target and work rows are joined once, by key; adaptive execution splits
+keys that hold many target rows. Rows with a NULL in their key are spread over all tasks of that join.
 """
 
 from __future__ import annotations
@@ -47,22 +47,30 @@ def row_bytes(df: DataFrame) -> Column:
     return sized + F.lit(fixed)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure rows in one pass and say whether they may be broadcast."""
-    return (df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0) <= limit
-
-
 def _sized(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _as_source(work: DataFrame, columns: list[str]) -> DataFrame:
+def _spread(df: DataFrame, keys: list[str], sign: int) -> Column:
+    """0 for a row with a whole key; else one of many numbers. Joined on beside the key, it keeps rows with a NULL key,
+    which match nothing, from meeting in one task. The two sides of a join take different signs."""
+    whole = all_of([F.col(k).isNotNull() for k in keys])
+    sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+    return F.when(whole, F.lit(0)).otherwise(sign * (F.pmod(F.xxhash64(*sortable), F.lit(1009)) + 1)).cast("int")
+
+
+def _as_source(work: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """Work rows with prefixed names, ready to be joined to the target."""
-    return work.select(*[F.col(c).alias(_SRC + c) for c in columns], F.lit(True).alias("_hit"))
+    return work.select(*[F.col(c).alias(_SRC + c) for c in columns], F.lit(True).alias("_hit"),
+                       _spread(work, keys, -1).alias(_SRC + "_spread"))
 
 
 def _on(keys: list[str]) -> Column:
-    return all_of([F.col(k) == F.col(_SRC + k) for k in keys])
+    return all_of([F.col(k) == F.col(_SRC + k) for k in [*keys, "_spread"]])
+
+
+def _as_target(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.withColumn("_spread", _spread(rows, keys, 1))
 
 
 def anti_join(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,8 +139,8 @@ def filter_reload(target: DataFrame, work: DataFrame, condition: str | None,
 def upserted(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool = False) -> DataFrame:
     """Target rows with the non-key columns of their work row, plus the mark ``_hit``."""
     keys, values = split_keys(target.columns, keys)
-    source = _as_source(align(work, target), keys + values)
-    joined = target.join(_sized(source, small_work), _on(keys), "left")
+    source = _as_source(align(work, target), keys + values, keys)
+    joined = _as_target(target, keys).join(_sized(source, small_work), _on(keys), "left")
     return joined.select(
         *[F.when(F.col("_hit"), F.col(_SRC + c)).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
           for c in target.columns],
@@ -155,11 +163,25 @@ def scd1(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool =
     if not keys:
         raise ValueError("an upsert needs key columns")
     _refuse_history(target, allow_history_loss, "an upsert")
+    if not small_work:
+        return upsert_pass(target, work, keys).drop("_state")
     _, values = split_keys(target.columns, keys)
     kept = upserted(target, work, keys, small_work).drop("_hit") if values else target
     return kept.unionByName(unmatched(target, work, keys, small_work), allowMissingColumns=True)
 
 
+def upsert_pass(target: DataFrame, work: DataFrame, keys: list[str]) -> DataFrame:
+    """The target after an upsert, plus ``_state``: kept, updated or inserted. One join reads each side once."""
+    keys, values = split_keys(target.columns, keys)
+    source = _as_source(align(work, target), keys + values, keys)
+    joined = _as_target(target, keys).withColumn("_there", F.lit(True)).join(source, _on(keys), "full")
+    there, hit = F.coalesce("_there", F.lit(False)), F.coalesce("_hit", F.lit(False))
+    state = F.when(~there, "inserted").when(hit & F.lit(bool(values)), "updated").otherwise("kept")
+    out = {c: F.when(hit, F.col(_SRC + c)).otherwise(F.col(c)) for c in values}
+    out |= {k: F.when(there, F.col(k)).otherwise(F.col(_SRC + k)) for k in keys}
+    return joined.select(*[out.get(c, F.col(c)).alias(c) for c in target.columns], state.alias("_state"))
+
+
 def _totals(inserted: DataFrame, updated: DataFrame | None = None, flagged: DataFrame | None = None) -> DataFrame:
     """One row of counts from the parts of a load, added up in a single aggregate."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
@@ -176,6 +198,12 @@ def _totals(inserted: DataFrame, updated: DataFrame | None = None, flagged: Data
 def scd1_counts(target: DataFrame, work: DataFrame, keys: list[str], small_work: bool = False) -> DataFrame:
     """One row: rows_inserted, rows_updated, rows_expired."""
     keys, values = split_keys(target.columns, keys)
+    if not small_work:
+        rows = upsert_pass(target.select(*keys).withColumn("_any", F.lit(0)),
+                           work.select(*resolve(keys, work.columns)).withColumn("_any", F.lit(1)), keys)
+        updated = F.count_if((F.col("_state") == "updated") & F.lit(bool(values)))
+        return rows.agg(F.count_if(F.col("_state") == "inserted").alias("rows_inserted"), updated.alias("rows_updated"),
+                        F.lit(0).cast("long").alias("rows_expired"))
     updated = (target.select(*keys).join(_sized(work.select(*keys), small_work), keys, "left_semi")
                if values else None)
     return _totals(unmatched(target, work, keys, small_work), updated)
@@ -189,8 +217,8 @@ def flag_changes(current: DataFrame, work: DataFrame, keys: list[str], run_ts,
     compare = resolve(compare, values) if compare is not None else values
     work = align(work, current)
     differs = row_differs(compare, current.schema, work.schema, _SRC, null_safe)
-    source = _as_source(work, list(dict.fromkeys(keys + compare)))
-    joined = current.join(_sized(source, small_work), _on(keys), "left")
+    source = _as_source(work, list(dict.fromkeys(keys + compare)), keys)
+    joined = _as_target(current, keys).join(_sized(source, small_work), _on(keys), "left")
     marked = joined.withColumns({
         "_hit": F.coalesce("_hit", F.lit(False)),
         "_expired": F.coalesce(F.col("_hit") & differs, F.lit(False)),

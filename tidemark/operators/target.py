@@ -327,10 +327,17 @@ class Target:
         keys = self._keys(state, keys)
         before, small, hits = self._matches(state, work, keys)
         stale = [s for s in before if s.slice in hits]
+        values = set(data_columns(state["schema"].names)) - set(keys)
+        if not small and stale and values and not has_history(state["schema"].names):
+            # One join reads the rows to rewrite once and gives kept, updated and new rows in one write.
+            written = self._write(state, merge.upsert_pass(self._read(state, stale), work, keys).drop("_state"))
+            self._commit(state, [s for s in state["segments"] if s not in stale] + written, token)
+            return LoadCounts(rows_inserted=self._count(state, written) - self._count(state, stale),
+                              rows_updated=sum(hits.values()))
         new = merge.unmatched(self._read(state, stale), work, keys, small)
         added = self._write(state, self._complete(state, new))
         # Only non-key columns can change, so a table of keys alone is left as it is.
-        if not set(data_columns(state["schema"].names)) - set(keys):
+        if not values:
             kept, hits = stale, {}
         elif stale:
             kept = self._write(state, merge.upserted(self._read(state, stale), work, keys, small).drop("_hit"))
