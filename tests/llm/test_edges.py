@@ -228,7 +228,8 @@ def test_hamming_links_against_all_pairs(spark, monkeypatch):
 
 def test_tree_finds_every_member_in_reach():
     rng = np.random.default_rng(1)
-    fps = np.unique(rng.integers(0, 1 << 12, 3000).astype(np.int64))
+    low = np.unique(rng.integers(0, 1 << 12, 3000)).astype(np.uint64)
+    fps = np.sort(low ^ ((low & np.uint64(3)) << np.uint64(62)))  # with members on both sides of the sign bit
     for size in (1, 15, 17, 300, len(fps)):
         tree = simhash.Tree(fps[:size])
         q, m = tree.search(fps[:200], 2)

@@ -106,6 +106,17 @@ def gray_rank(fp: Column) -> Column:
 # -- the index of a block ----------------------------------------------------------------
 
 
+# Bits are counted in unsigned numbers: of a signed one, numpy counts those of the absolute value.
+
+
+def unsigned(column) -> np.ndarray:
+    return column.to_numpy().view(np.uint64)
+
+
+def signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
+
+
 def shared(fps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(mask, pattern) of the bits that all members of each group share."""
     ones, any_ = np.bitwise_and.reduceat(fps, starts), np.bitwise_or.reduceat(fps, starts)
@@ -194,9 +205,9 @@ def links(nodes: DataFrame, most: int) -> DataFrame:
         got = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches if b.num_rows]
         if got:
             block, fps = np.concatenate(got, axis=1)
-            mask, pattern = shared(fps, np.zeros(1, int))
+            mask, pattern = shared(fps.view(np.uint64), np.zeros(1, int))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block[:1].astype(np.int32)), pa.array(mask), pa.array(pattern),
+                [pa.array(block[:1].astype(np.int32)), signed(mask), signed(pattern),
                  pa.array([fps], pa.list_(pa.int64()))], ["block", "mask", "pattern", "fps"])
 
     rank = gray_rank(F.col("fp"))
@@ -204,16 +215,16 @@ def links(nodes: DataFrame, most: int) -> DataFrame:
                 .select(F.spark_partition_id().cast("long").alias("block"), "fp"))
     blocks = written(arrow.mapped(in_order, build, schema), "simhash-blocks")
     roots = blocks.select("block", "mask", "pattern").toArrow()  # at most MOST_BLOCKS rows
-    ids, masks, patterns = (roots.column(i).to_numpy() for i in range(3))
-    shared_roots = spark.sparkContext.broadcast((ids, masks, patterns))
+    shared_roots = spark.sparkContext.broadcast(
+        (roots.column(0).to_numpy(), unsigned(roots.column(1)), unsigned(roots.column(2))))
 
     def route(batches):
         to, mask, pattern = shared_roots.value
         for batch in batches:
             for i in range(batch.num_rows):
                 own = batch.column(0)[i].as_py()
-                both = mask & batch.column(1).to_numpy()[i]
-                near = np.bitwise_count((pattern ^ batch.column(2).to_numpy()[i]) & both) <= most
+                both = mask & unsigned(batch.column(1))[i]
+                near = np.bitwise_count((pattern ^ unsigned(batch.column(2))[i]) & both) <= most
                 # each pair once, and about as many arrivals at every block
                 once = np.where((to + own) % 2 == 0, to >= own, to < own)
                 targets = to[near & once]
@@ -232,10 +243,10 @@ def links(nodes: DataFrame, most: int) -> DataFrame:
             for i in range(batch.num_rows):
                 block, other = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if block != at:
-                    at, tree = block, Tree(batch.column(3)[i].values.to_numpy())
-                u, v = link_blocks(tree, batch.column(2)[i].values.to_numpy(), block == other, most)
+                    at, tree = block, Tree(unsigned(batch.column(3)[i].values))
+                u, v = link_blocks(tree, unsigned(batch.column(2)[i].values), block == other, most)
                 if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays([signed(u), signed(v)], ["u", "v"])
 
     return arrow.mapped(work.select("block", "other", "queries", "fps"), compare, "u long, v long")
 
@@ -259,4 +270,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, most: int = 2, seed: int = 42, i
     """The rows whose id names their component, with all columns; rows that repeat such an id stay with it."""
     lost = written(near_duplicates(docs, shingle, most, seed, id_col, text_col)
                    .filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("lost")), "simhash-lost")
-    return docs.join(lost, docs[f"`{id_col}`"] == lost["lost"], "left_anti")
+    # One way at every size: the texts are shuffled once by id.
+    return docs.join(lost.hint("merge"), docs[f"`{id_col}`"] == lost["lost"], "left_anti")
