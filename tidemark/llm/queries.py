@@ -83,10 +83,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
 
 
-@query("op6_mixing")
+# The blocks, sub-blocks and cuts of the operator come to one order of a source's documents, and a running sum over it.
+@query("op6_mixing", """
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    md5(concat_ws('|', '11', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')))) AS m FROM documents),
+  s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+    FROM d GROUP BY source),
+  w AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+    CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),
+  o AS (SELECT *, CAST(total - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, rank
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) / CAST(sum(weight) OVER (
+      ORDER BY source_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS share FROM w),
+  l AS (SELECT min_by(share, (source_size / weight, rank)) AS level FROM o WHERE share * weight < 3 * source_size),
+  t AS (SELECT source, source_size, total, coalesce(least(level * weight, CAST(3 * source_size AS DOUBLE)), 0.0) AS target,
+    greatest(1, source_size * 16384 // greatest(total, 1)) AS blocks,
+    CAST('0x' || substr(md5(concat_ws('|', '11', coalesce(source, ''))), 1, 6) AS BIGINT) AS shift FROM o, l),
+  g AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+  p AS (SELECT d.doc_id, d.size, g.*, target - passes * source_size AS rest,
+    CASE passes WHEN 0 THEN 2147483647 WHEN 1 THEN 2147483629 ELSE 2147483587 END
+      * (CAST('0x' || substr(m, 1, 8) AS BIGINT) % blocks + shift) % blocks AS place,
+    substr(m, 9, 3) AS sub, substr(m, 12, 12) AS u FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+  c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, sub, u, CAST(doc_id AS VARCHAR)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (passes + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "draws")
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
 @query("op10_langid")
