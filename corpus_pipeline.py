@@ -5,18 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, exact_dedup, langid, mixing, simhash
-from tidemark.llm.common import written
+from tidemark.llm.common import col, written
 from tidemark.llm.queries import VOCABULARY, token_digests
 
 #: Documents without letters go, and those of which less than this share is in any one language for sure.
-LEAST_SCORE = 0.2
+LEAST_SCORE = 0.1
+#: Words that a worker remembers: fewer than the operators alone would, as all stages share the executors.
+REMEMBER = 150_000
+
+
+def numbered(docs: DataFrame):
+    """The table with columns c0, c1, ..., which clash with no operator's; where each column is; and the way back."""
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return (docs.select(*[col(name).alias(c) for name, c in at.items()]), at,
+            lambda df: df.select(*[F.col(c).alias(name) for name, c in at.items()]))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that was learned; the columns are those of the input."""
     model = langid.fit(docs.filter(~langid.is_held_out()))
-    judged = langid.predict(docs.select(F.struct("*").alias("row"), "text"), model, keep=["row"])
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    rows, at, back = numbered(docs)
+    judged = langid.predict(rows, model, at["text"], remember=REMEMBER)
+    return back(judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,14 +41,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix draws them, shard by shard in shuffled order; one that is taken twice is there twice."""
-    mixed = mixing.mix(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"))
-    rows = mixing.drawn(mixed.select("row", "doc_id", "draws"))
-    return rows.repartition(mixing.SHARDS, "shard").sortWithinPartitions("shard", "shard_order").select("row.*")
+    rows, at, back = numbered(docs)
+    mixed = mixing.mix(rows, source_col=at["source"], id_col=at["doc_id"], text_col=at["text"])
+    taken = mixing.drawn(mixed.select(*at.values(), "draws"), id_col=at["doc_id"])
+    return back(taken.repartition(mixing.SHARDS, "shard").sortWithinPartitions("shard", "shard_order"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, token ids, and the digests of the ids and of what they decode to."""
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY, decoded_col="decoded")
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY, decoded_col="decoded",
+                         remember=REMEMBER)
     return encoded.select("doc_id", "source", "token_ids", *token_digests())
 
 

@@ -27,14 +27,14 @@ from tidemark.llm.common import without
 from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
 #: Words of a generation of a worker's memory.
-MEMORY = 400_000
+MEMORY = 300_000
 
 
 class PairIndex:
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remember: int = MEMORY):
         self.v = vocabulary
         self.rank = {(a << 32) | b: r for r, (a, b, _) in enumerate(vocabulary.merges)}
-        self.words = Memory(MEMORY, self.encode)
+        self.words = Memory(remember, self.encode)
 
     def encode(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word."""
@@ -108,24 +108,18 @@ class PairIndex:
         return out
 
 
-_index: dict[str, PairIndex] = {}
-
-
-def _encoder(path: str) -> PairIndex:
-    if path not in _index:
-        _index[path] = PairIndex(load(path))
-    return _index[path]
-
-
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids",
-           decoded_col: str | None = None) -> DataFrame:
-    """All rows and columns, with the ids of the text and, if a name is given, what they decode to."""
+           decoded_col: str | None = None, remember: int = MEMORY) -> DataFrame:
+    """All rows and columns, with the ids of the text and, if a name is given, what they decode to.
+
+    ``remember`` bounds the words of a generation of a worker's memory: fewer take less memory and more time.
+    """
     extra = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     extra += [T.StructField(decoded_col, T.StringType())] if decoded_col else []
     docs = without(docs, *(f.name for f in extra))
 
     def run(batches):
-        encoder = _encoder(path)
+        encoder = arrow.kept(("bpe", path), lambda: PairIndex(load(path), remember))
         token = encoder.v.tokens.__getitem__
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col):

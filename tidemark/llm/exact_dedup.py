@@ -24,16 +24,19 @@ from tidemark.llm.common import col, free_name, text_of, written
 SUPPORT = 1 / 1024
 
 
+def frequent(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """(digest, top, n) of the verified frequent digests of (id, digest, row): the winner and the exact count."""
+    candidates = rows.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
+    return written(rows.join(F.broadcast(candidates), "digest")
+                   .groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
+                   .filter("n > 1").coalesce(1), "dedup-winners")
+
+
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
     rows = written(docs.select(col(id_col).alias("id"), F.sha2(text_of(text_col), 256).alias("digest"),
                                F.monotonically_increasing_id().alias("row")), "dedup-digests")
-    candidates = rows.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
-    winners = written(
-        rows.join(F.broadcast(candidates), "digest")
-        .groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
-        .filter("n > 1"), "dedup-winners")
-    marked = rows.join(F.broadcast(winners), "digest", "left")
+    marked = rows.join(F.broadcast(frequent(rows, support)), "digest", "left")
     heavy = marked.filter("top is not null").select(
         "id", F.col("top.id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("row") == F.col("top.row")).alias("kept"), "digest")
@@ -48,27 +51,18 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", supp
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 support: float = SUPPORT) -> DataFrame:
-    """The rows that stay, with all their columns.
+    """The rows that stay, with all their columns; of rows that repeat the winner's id and text, one of them.
 
-    Only the list of losers, (id, digest), is joined to the texts: where Spark measures it as small, the texts are
-    not shuffled. Losers that repeat the winner's id and text are merged with it by a partial aggregate.
+    Losers of frequent digests leave before anything is shuffled. What remains is shuffled by digest once, and each
+    task sends on one row of a digest only.
     """
-    if not docs.columns:
-        return docs
-    digest = free_name(docs, "_digest")
-    decided = decide(docs, id_col, text_col, support).select(
-        F.col(id_col).alias("l_id"), F.col("text_sha256").alias("l_digest"), "keep_id", "kept")
-    lost = written(decided.filter("not kept"), "dedup-losers")
-    others = lost.filter("not (l_id <=> keep_id)").select("l_id", "l_digest").distinct()
-    repeats = lost.filter("l_id <=> keep_id").select("l_id", "l_digest").distinct()
+    digest, winner, nth = (free_name(docs, x) for x in ("_digest", "_winner", "_nth"))
     keyed = docs.withColumn(digest, F.sha2(text_of(text_col), 256))
-
-    def same(right):
-        return (keyed[f"`{digest}`"] == right["l_digest"]) & keyed[f"`{id_col}`"].eqNullSafe(right["l_id"])
-
-    once = keyed.join(others, same(others), "left_anti").join(repeats, same(repeats), "left_anti")
-    whole = F.struct(*[col(c) for c in docs.columns])
-    merged = (keyed.join(repeats, same(repeats), "left_semi")
-              .groupBy(col(id_col).alias("_i"), col(digest).alias("_d"))
-              .agg(F.max(whole).alias("_row")).select("_row.*"))
-    return once.drop(digest).unionByName(merged)
+    rows = written(keyed.select(col(id_col).alias("id"), F.col(digest).alias("digest"),
+                                F.monotonically_increasing_id().alias("row")), "dedup-digests")
+    winners = frequent(rows, support).select(F.col("digest").alias(digest), F.struct("top.id").alias(winner))
+    left = keyed.join(F.broadcast(winners), digest, "left").filter(
+        F.col(winner).isNull() | col(id_col).eqNullSafe(F.col(f"{winner}.id")))
+    first = W.partitionBy(digest).orderBy(col(id_col).desc_nulls_last())
+    return (left.withColumn(nth, F.row_number().over(first)).filter(F.col(nth) == 1)
+            .select(*[col(c) for c in docs.columns]))

@@ -36,7 +36,7 @@ TEMPER, SWITCH = 0.6, 8.0
 SCRIPT_SHARE = 0.01
 #: Words a worker remembers before it starts anew; bytes of text that are worked on at once.
 MEMORY = 400_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 3 << 20
 
 # First code points of blocks of letters, and the script of each.
 SCRIPTS = [
@@ -266,8 +266,9 @@ def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[f
     return langs, scores, spans
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all by default), with lang_pred, score and lang_spans."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
+            remember: int = MEMORY) -> DataFrame:
+    """The kept columns (all by default), with lang_pred, score and lang_spans; ``remember`` bounds a worker's words."""
     own = ("lang_pred", "score", "lang_spans")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -277,7 +278,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
 
     def run(batches):
         fitted = shared.value
-        lexicon = arrow.kept(("langid", id(fitted)), lambda: Lexicon(fitted))
+        lexicon = arrow.kept(("langid", id(fitted)), lambda: Lexicon(fitted, remember))
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col, PIECE_BYTES):
                 langs, scores, spans = predict_texts(lexicon, texts)
