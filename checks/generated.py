@@ -99,9 +99,12 @@ def change_set_products(spark, sf):
     return gen.change_products(made, "2024-07-01 00:00:00")
 
 
-@check("""SELECT count(*) AS n_rows, count(*) AS n_orders, CAST(0 AS BIGINT) AS late FROM orders""")
+@check(f"""SELECT o_orderkey AS order_id, DATE '{NOW[:10]}' AS order_date,
+            DATE '{NOW[:10]}' + CAST(o_orderkey % 7 + 1 AS INTEGER) AS ship_date,
+            CAST(({_below('o_orderkey', 45, 20)} + 1) % 10 + 1 AS INTEGER) AS quantity,
+            {_pick('o_orderkey', 61, gen.NEW_ORDER_STATUSES)} AS order_status, {_pick('o_orderkey', 53, gen.REGIONS)} AS region,
+            TIMESTAMP '{NOW}' AS created_at, TIMESTAMP '{NOW}' AS updated_at FROM orders""")
 def change_set_orders(spark, sf):
     """New orders, one per order key: placed today, shipped within a week."""
-    made = gen.new_orders(table(spark, sf, "orders"), NOW, "o_orderkey")
-    late = F.count_if((F.datediff("ship_date", "order_date") > 7) | (F.datediff("ship_date", "order_date") < 1))
-    return made.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders"), late.alias("late"))
+    return gen.new_orders(table(spark, sf, "orders"), NOW, "o_orderkey").select(
+        "order_id", "order_date", "ship_date", "quantity", "order_status", "region", "created_at", "updated_at")

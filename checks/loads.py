@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from checks.common import check, table
-from tidemark.functions.types import column_metadata, target_schema
+from checks.history import scd2_sql
+from tidemark.functions.types import column_metadata, target_schema, with_history
 from tidemark.operators import merge
 from tidemark.operators.dedup import dedup
 from tidemark.operators.target import Target
@@ -193,18 +194,52 @@ def filter_reload_empty_condition(spark, sf):
     return merge.filter_reload(orders, orders.where("o_orderstatus = 'F'"), None)
 
 
-@check(f"""WITH {_DELTA}, s AS (SELECT * FROM delta) SELECT 'full' AS load, count(*) AS n FROM s
-          UNION ALL SELECT 'append', (SELECT count(*) FROM orders) + (SELECT count(*) FROM s)
-          UNION ALL SELECT 'upsert', (SELECT count(*) FROM orders) + (SELECT count(*) FROM s WHERE o_orderkey NOT IN
-                                                                      (SELECT o_orderkey FROM orders))
-          UNION ALL SELECT 'unknown', count(*) FROM s""")
+_COLS = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+_NONE = "CAST(NULL AS BOOLEAN) AS is_current, CAST(NULL AS TIMESTAMP) AS eff_start_date, CAST(NULL AS TIMESTAMP) AS eff_end_date"
+
+
+def _plain(load: str, source: str) -> str:
+    return f"SELECT '{load}' AS load, {', '.join(_COLS)}, {_NONE} FROM {source}"
+
+
+@check(f"""WITH {_DELTA}, d AS (SELECT {', '.join(_COLS)} FROM delta),
+  t AS (SELECT {', '.join(_COLS)}, true AS is_current, TIMESTAMP '2023-01-01' AS eff_start_date,
+    CAST(NULL AS TIMESTAMP) AS eff_end_date FROM orders),
+  {scd2_sql('t', 'd', ['o_orderkey'], _COLS, '2024-01-01 00:00:00')}
+  {_plain('full', 'd')} UNION ALL {_plain('append', 'orders')} UNION ALL {_plain('append', 'd')}
+  UNION ALL {_plain('upsert', 'd')} UNION ALL {_plain('upsert', 'orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM d)')}
+  UNION ALL {_plain('filter', "orders WHERE o_orderstatus <> 'F'")} UNION ALL {_plain('filter', 'd')}
+  UNION ALL {_plain('unknown', 'd')}
+  UNION ALL SELECT 'history', * FROM r""")
 def dispatch_by_load_type(spark, sf):
-    """The load operator follows from load type and SCD type; unknown types mean a full replace."""
-    orders, delta = table(spark, sf, "orders"), orders_delta(spark, sf)
+    """The load operator follows from load type and SCD type; unknown types mean a full replace. All rows of each."""
+    orders, delta = table(spark, sf, "orders").select(*_COLS), orders_delta(spark, sf).select(*_COLS)
     out = None
     for name, load, scd in (("full", "full", 0), ("append", "incremental", 0), ("upsert", "incremental", 7),
-                            ("unknown", "mirror", 1)):
-        rows = merge.apply_load(orders, delta, load, scd, ["o_orderkey"], "2024-01-01")
-        part = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("load"), "n")
+                            ("filter", "filter", 0), ("history", "incremental", 2), ("unknown", "mirror", 1)):
+        target = with_history(orders, "2023-01-01") if name == "history" else orders
+        rows = merge.apply_load(target, delta, load, scd, ["o_orderkey"], "2024-01-01 00:00:00", "o_orderstatus = 'F'")
+        if name != "history":
+            rows = with_history(rows, None).withColumn("is_current", F.lit(None).cast("boolean"))
+        part = rows.select(F.lit(name).alias("load"), *_COLS, "is_current", "eff_start_date", "eff_end_date")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@check(f"""WITH {_DELTA} SELECT o_orderkey, o_orderdate, coalesce(d.price, o_totalprice) AS o_totalprice FROM orders
+          LEFT JOIN (SELECT o_orderkey AS k, o_totalprice AS price FROM delta WHERE o_orderkey < 1000000000) d
+            ON o_orderkey = k
+          UNION ALL SELECT o_orderkey, o_orderdate, o_totalprice FROM delta WHERE o_orderkey >= 1000000000""")
+def upsert_by_month(spark, sf):
+    """A target cut by month: the load rewrites the months of its rows."""
+    columns = ["o_orderkey", "o_orderdate", "o_totalprice"]
+    orders, folder = table(spark, sf, "orders").select(*columns), workspace(spark, "work")
+    orders_delta(spark, sf).select(*columns).write.parquet(folder)
+    target = Target(spark, workspace(spark, "orders")).create(
+        target_schema(column_metadata(orders)), ["o_orderkey", "o_orderdate"], 1, "o_orderdate")
+    target.append(orders)
+    old = {s for s in target._load()["segments"]}
+    target.upsert(spark.read.schema(orders.schema).parquet(folder))
+    kept = old & set(target._load()["segments"])
+    assert len(kept) >= len({s.slice for s in old if s.slice < 2000 * 12 + 1})  # months before the changes
+    return target.read()

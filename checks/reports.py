@@ -1,5 +1,7 @@
 """Reports on the ledger."""
 
+from pyspark.sql import Window, functions as F
+
 from checks.common import LEDGER, check, ledger
 from tidemark.plans import reports
 
@@ -22,10 +24,13 @@ def success_rate(spark, sf):
 @check(f"""WITH {LEDGER} SELECT CAST(job_start_time AS DATE) AS run_date, count(*) AS tables_processed,
             CAST(sum(rows_extracted) AS BIGINT) AS total_rows_extracted,
             CAST(sum(target_count) AS BIGINT) AS total_rows_loaded,
-            CAST(sum(job_duration) AS BIGINT) AS total_duration_sec
-          FROM ledger WHERE final_status = 'SUCCESS' GROUP BY ALL""")
+            CAST(sum(job_duration) AS BIGINT) AS total_duration_sec,
+            CAST(row_number() OVER (ORDER BY run_date DESC) AS INTEGER) AS position
+          FROM ledger WHERE final_status = 'SUCCESS' GROUP BY run_date""")
 def daily_volume(spark, sf):
-    return reports.daily_volume(ledger(spark, sf))
+    """One row a day, newest first: the place of each row is compared too."""
+    placed = reports.daily_volume(ledger(spark, sf)).withColumn("place", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("place"))).drop("place")
 
 
 @check(f"""WITH {LEDGER} SELECT count(*) AS total, count(*) FILTER (WHERE final_status = 'SUCCESS') AS successful,

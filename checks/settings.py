@@ -70,6 +70,18 @@ def config_round_trip(spark, sf):
     return spark.read.parquet(folder)
 
 
+@check(f"WITH {CONFIG} SELECT * FROM config")
+def config_from_json(spark, sf):
+    """Settings files in JSON, one for every nation of the customers, read as one settings table."""
+    folder = workspace(spark, "config")
+    rows = raw(spark, sf)
+    nation = table(spark, sf, "customer").select(F.col("c_name").alias("source_table"), "c_nationkey")
+    files = rows.join(nation, "source_table").groupBy("c_nationkey").agg(
+        F.to_json(F.struct(F.collect_list(F.struct(*rows.columns)).alias("tables"))).alias("value"))
+    files.write.partitionBy("c_nationkey").text(folder)
+    return settings.normalise(settings.read_config(spark, folder)).drop("slices", "partition_column", "allow_history_loss")
+
+
 @check(f"""WITH {LEDGER}, {CONFIG} SELECT config.* REPLACE ('LOAD' AS execution_mode),
             (SELECT max(batch_id) + 1 FROM ledger) AS batch_id FROM config
           WHERE enabled = 'Y' AND source_db = 'SALES' AND source_schema = 'app'""")
