@@ -8,7 +8,8 @@ history's share. Repeated turns are masked: the loss covers the text of each ass
 A conversation may hold a large part of all rows, so no step needs all its turns in one task. Prefix sums are made
 within runs of ``RUN`` turn numbers and then over runs. Windows are chosen within segments of the line, each as
 long as ``SEGMENT`` windows and so of a bounded number of turns; a window never crosses a segment's end.
-Texts are shuffled once to be put in order and once to be joined into windows.
+Texts are shuffled once to be put in order and once to be joined into windows: the choice of windows uses numbers only,
+and the partitioning by conversation and segment serves the windows in it.
 
 The template writes ``<|im_start|>role\\ntext<|im_end|>\\n``. Strings that mark control tokens of this or other
 templates get a backslash after their first character (one more if they have some), which ``unescaped`` takes away again.
@@ -61,36 +62,26 @@ def turn_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[\p{L}\p{M}]+|\p{N}|[^\s\p{L}\p{M}\p{N}]")) + MARKS
 
 
-def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Equality of columns that may be NULL; those of the right side are called r_..."""
-    out = F.lit(True)
-    for n in names:
-        out = out & left[n].eqNullSafe(right["r_" + n])
-    return out
-
-
-def _right(df: DataFrame, *names: str) -> DataFrame:
-    for n in names:
-        df = df.withColumnRenamed(n, "r_" + n)
-    return df
+def _key(conv: Column) -> Column:
+    """The id as a text that is never NULL, so that one partitioning serves every step on a conversation."""
+    return F.coalesce(F.concat(F.lit("="), conv.cast("string")), F.lit(""))
 
 
 def in_order(rows: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """(conv, pos, role, text, tokens, upto): position and tokens up to and with each turn."""
-    turns = rows.select(col(conv_col).alias("conv"), col(turn_col).cast("long").alias("turn"),
-                        F.coalesce(col(role_col), F.lit("")).alias("role"),
+    """(conv, key, pos, role, text, tokens, upto): position and tokens up to and with each turn."""
+    turns = rows.select(col(conv_col).alias("conv"), _key(col(conv_col)).alias("key"),
+                        col(turn_col).cast("long").alias("turn"), F.coalesce(col(role_col), F.lit("")).alias("role"),
                         F.coalesce(col(text_col), F.lit("")).alias("text"))
     turns = turns.withColumn("tokens", turn_tokens(F.col("text")).cast("long")).withColumn(
-        "run", F.floor(F.col("turn") / RUN))
-    sums = turns.groupBy("conv", "run").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
-    earlier = W.partitionBy("conv").orderBy("run").rowsBetween(W.unboundedPreceding, -1)  # one row per run
-    offsets = sums.select("conv", "run", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("t0"),
+        "run", F.coalesce(F.floor(F.col("turn") / RUN), F.lit(-(1 << 62))))  # turns without a number come first
+    sums = turns.groupBy("key", "run").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
+    earlier = W.partitionBy("key").orderBy("run").rowsBetween(W.unboundedPreceding, -1)  # one row per run
+    offsets = sums.select("key", "run", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("t0"),
                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"))
-    within = W.partitionBy("conv", "run").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
+    within = W.partitionBy("key", "run").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
     counted = turns.withColumn("t", F.sum("tokens").over(within)).withColumn("n", F.count("*").over(within))
-    right = _right(offsets, "conv", "run")
-    return counted.join(right, _same(counted, right, "conv", "run")).select(
-        "conv", (F.col("n0") + F.col("n") - 1).alias("pos"), "role", "text", "tokens",
+    return counted.join(offsets, ["key", "run"]).select(
+        "conv", "key", (F.col("n0") + F.col("n") - 1).alias("pos"), "role", "text", "tokens",
         (F.col("t0") + F.col("t")).alias("upto"))
 
 
@@ -100,50 +91,56 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, conv_
     loss_spans (start and length in characters of the formatted text)."""
     turns = written(in_order(rows, conv_col, turn_col, role_col, text_col), "chat-turns")
     head = turns.filter((F.col("pos") == 0) & (F.col("role") == "system")).select(
-        F.col("conv").alias("r_conv"), F.col("text").alias("system_text"), F.col("tokens").alias("system_tokens"))
+        "key", F.col("text").alias("system_text"), F.col("tokens").alias("system_tokens"))
     room = F.greatest(F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)), F.lit(max(history, 16)))
     # the line starts behind the system turn, which itself has no length
     end = F.greatest(F.lit(0), F.col("upto") - F.coalesce("system_tokens", F.lit(0)))
-    placed = turns.join(head, _same(turns, head, "conv"), "left").withColumn("room", room).withColumn("end", end)
     is_system = F.col("system_tokens").isNotNull() & (F.col("pos") == 0)
-    placed = placed.withColumn("begin", F.when(is_system, 0).otherwise(F.col("end") - F.col("tokens")))
-    length = F.col("room") * SEGMENT
-    placed = placed.withColumn("segment", F.floor(F.col("begin") / length)).drop("r_conv", "system_text", "upto")
 
-    # first turns of the windows of a segment, greedily
+    def placed(df):
+        length = F.col("room") * SEGMENT
+        return (df.join(head.select("key", "system_tokens"), "key", "left").withColumn("room", room).withColumn("end", end)
+                .withColumn("begin", F.when(is_system, 0).otherwise(F.col("end") - F.col("tokens")))
+                .withColumn("segment", F.floor(F.col("begin") / length)))
+
+    # first turns of the windows of a segment, greedily; numbers only
     line = F.sort_array(F.collect_list(F.struct("pos", "begin", "end")))
     empty = F.array().cast("array<struct<pos:bigint,begin:bigint>>")
-    grouped = placed.groupBy("conv", "segment", "room").agg(line.alias("line"))
-    starts = grouped.select("conv", "segment", F.aggregate(
-        "line", empty, lambda acc, t: F.when(
+    starts = placed(turns.drop("text", "role", "conv")).groupBy("key", "segment", "room").agg(line.alias("line")).select(
+        "key", F.col("segment").alias("at"), F.aggregate("line", empty, lambda acc, t: F.when(
             (F.size(acc) == 0) | (t["end"] - F.element_at(acc, -1)["begin"] > F.col("room")),
             F.concat(acc, F.array(F.struct(t["pos"].alias("pos"), t["begin"].alias("begin"))))).otherwise(acc)
-    ).alias("starts"))
+        ).alias("starts"))
+    starts = written(starts, "chat-starts")
 
     # a turn near the end of its segment may be history in the next one
-    spill = ~is_system & (F.col("begin") + history >= (F.col("segment") + 1) * length)
-    reach = placed.withColumn("at", F.explode(F.when(spill, F.array(F.col("segment"), F.col("segment") + 1))
-                                              .otherwise(F.array("segment"))))
-    right = starts.select(F.col("conv").alias("r_conv"), F.col("segment").alias("r_at"), "starts")
-    known = reach.join(right, _same(reach, right, "conv", "at"))
+    spill = ~is_system & (F.col("begin") + history >= (F.col("segment") + 1) * F.col("room") * SEGMENT)
+    reach = placed(turns).withColumn("at", F.explode(F.when(spill, F.array(F.col("segment"), F.col("segment") + 1))
+                                                     .otherwise(F.array("segment"))))
+    known = reach.join(starts, ["key", "at"])
     own = F.when(F.col("at") == F.col("segment"), F.element_at(F.filter("starts", lambda s: s["pos"] <= F.col("pos")), -1))
     later = F.filter("starts", lambda s: (s["pos"] > F.col("pos")) & (F.col("begin") >= s["begin"] - history) & ~is_system)
     first = F.concat(F.when(own.isNotNull(), F.array(F.struct(own["pos"].alias("first"), F.lit(True).alias("new"))))
                      .otherwise(F.array().cast("array<struct<first:bigint,new:boolean>>")),
                      F.transform(later, lambda s: F.struct(s["pos"].alias("first"), F.lit(False).alias("new"))))
-    mark = F.concat(F.lit(START), _role_out(F.col("role")), F.lit("\n"))
-    body = escaped(F.col("text"))
-    parts = known.select("conv", "pos", "tokens", F.col("role"), "text", F.explode(first).alias("w")).select(
-        "conv", F.col("w.first").alias("first"),
-        F.struct("pos", F.col("w.new").alias("new"), "tokens", F.char_length(mark).alias("mark"),
-                 F.char_length(body).alias("size"), (F.col("role") == "assistant").alias("spoken"),
-                 F.concat(mark, body, F.lit(END)).alias("text")).alias("part"))
-    packed = parts.groupBy("conv", "first").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    joined = packed.join(head, _same(packed, head, "conv"), "left")
-    repeat = (F.col("first") > 0) & F.col("system_text").isNotNull()
-    system = F.when(repeat, F.concat(F.lit(START + "system\n"), escaped(F.col("system_text")), F.lit(END))).otherwise("")
+
+    def part(role, text, pos, new, tokens):
+        mark, body = F.concat(F.lit(START), _role_out(role), F.lit("\n")), escaped(text)
+        return F.struct(pos.alias("pos"), new.alias("new"), tokens.alias("tokens"), F.char_length(mark).alias("mark"),
+                        F.char_length(body).alias("size"), (role == "assistant").alias("spoken"),
+                        F.concat(mark, body, F.lit(END)).alias("text")).alias("part")
+
+    new_and_old = known.select("conv", "key", "at", "pos", "tokens", "role", "text", F.explode(first).alias("w")).select(
+        "conv", "key", "at", F.col("w.first").alias("first"),
+        part(F.col("role"), F.col("text"), F.col("pos"), F.col("w.new"), F.col("tokens")))
+    # the system turn stands before every later window, as a repeated turn of position -1
+    repeated = (starts.select("key", "at", F.explode("starts").alias("s")).filter("s.pos > 0")
+                .join(head, "key").select("key", "at", F.col("s.pos").alias("first"), part(
+                    F.lit("system"), F.col("system_text"), F.lit(-1).cast("long"), F.lit(False), F.col("system_tokens"))))
+    packed = (new_and_old.unionByName(repeated, allowMissingColumns=True).groupBy("key", "at", "first")
+              .agg(F.max("conv").alias("conv"), F.sort_array(F.collect_list("part")).alias("parts")))
     spans = F.aggregate(
-        "parts", F.struct(F.char_length("system").cast("long").alias("at"),
+        "parts", F.struct(F.lit(0).cast("long").alias("at"),
                           F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
         lambda acc, p: F.struct(
             (acc["at"] + p["mark"] + p["size"] + len(END)).cast("long").alias("at"),
@@ -151,13 +148,10 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, conv_
                 (acc["at"] + p["mark"]).cast("long").alias("start"), p["size"].cast("long").alias("length")))))
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
-    return joined.withColumn("system", system).select(
-        "conv", "first", (F.size("parts") + F.when(repeat, 1).otherwise(0)).alias("n_turns"),
-        (F.size(F.filter("parts", lambda p: ~p["new"])) + F.when(repeat, 1).otherwise(0)).alias("n_repeated"),
-        (F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["tokens"])
-         + F.when(repeat, F.col("system_tokens")).otherwise(0)).alias("tokens"),
-        F.concat("system", F.array_join(F.transform("parts", lambda p: p["text"]), "")).alias("formatted"),
-        spans.alias("loss_spans"))
+    return packed.select(
+        "conv", "first", F.size("parts").alias("n_turns"), F.size(F.filter("parts", lambda p: ~p["new"])).alias("n_repeated"),
+        F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["tokens"]).alias("tokens"),
+        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
