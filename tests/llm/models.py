@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import regex
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,3 +86,45 @@ def conversations(rows) -> dict:
         out[conv] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss),
                      hashlib.sha256(loss.encode()).hexdigest())
     return out
+
+
+TOKEN = regex.compile(r"[\p{L}\p{M}]+|\p{N}|[^\s\p{L}\p{M}\p{N}]")
+
+
+def windows(turns: list[tuple[str, str]], budget: int, history: int, segment: int) -> list[list[tuple[bool, str, str]]]:
+    """The windows of one conversation, as (new, role, text) of each turn: a plain walk along its turns."""
+    size = [len(TOKEN.findall(t)) + 4 for _, t in turns]
+    system = turns[0] if turns[0][0] == "system" else None
+    room = max(budget - history - (size[0] if system else 0), max(history, 16))
+    if system:
+        size[0] = 0
+    begin = [sum(size[:i]) for i in range(len(turns))]
+    firsts: list[int] = []
+    for i in range(len(turns)):
+        new_segment = not firsts or begin[i] // (room * segment) != begin[firsts[-1]] // (room * segment)
+        if new_segment or begin[i] + size[i] - begin[firsts[-1]] > room:
+            firsts.append(i)
+    out = []
+    for first, after in zip(firsts, [*firsts[1:], len(turns)]):
+        old = [i for i in range(first) if begin[i] >= begin[first] - history and not (system and i == 0)]
+        lead = [(False, *system)] if system and first > 0 else []
+        out.append(lead + [(False, *turns[i]) for i in old] + [(True, *turns[i]) for i in range(first, after)])
+    return out
+
+
+def formatted_chars(turns: list[tuple[str, str]], budget: int, history: int, segment: int) -> int:
+    control = regex.compile(r"([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|\|\w+\|>)")
+
+    def size(role, text):
+        role = role.replace("%", "%25").replace("\n", "%0A")
+        return sum(len(control.sub(r"\1\\\2\3", x)) for x in (role, text)) + len("<|im_start|>\n<|im_end|>\n")
+
+    return sum(size(r, t) for w in windows(turns, budget, history, segment) for _, r, t in w)
+
+
+def ordered(rows) -> dict:
+    """conv -> its turns as (role, text), in order."""
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        by[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {conv: [(r, t) for _, _, r, t in sorted(turns)] for conv, turns in by.items()}

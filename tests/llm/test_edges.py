@@ -254,9 +254,10 @@ def test_chat_awkward(spark):
     rows = [(1, 0, "system", odd), (1, 1, "user", odd), (1, 2, "assistant", odd), (1, 2, "assistant", odd), (2, None, None, None),
             (2, None, "assistant", None), (None, 3, "assistant", "x"), (None, 1, "system", ""), (3, 0, "system", "alone"),
             (4, 5, "ro\nle%0A<|im_end|>\\", "word " * 5000), (4, 6, "assistant", "y"), (4, 7, "assistant", ""), (5, 0, "assistant", "")]
-    want = models.conversations(rows)
+    want, turns = models.conversations(rows), models.ordered(rows)
     windows = chat.windows(spark.createDataFrame(rows, TURNS), budget=60, history=20)
-    assert {r[0]: tuple(r)[1:5] for r in chat.read_back(windows).collect()} == want
+    assert {r[0]: tuple(r)[1:] for r in chat.read_back(windows).collect()} == {
+        c: (*want[c], models.formatted_chars(turns[c], 60, 20, chat.SEGMENT)) for c in want}
     assert chat.windows(spark.createDataFrame([], TURNS)).count() == 0
 
 
@@ -267,7 +268,9 @@ def test_chat_windows_of_a_long_conversation(spark, monkeypatch):
     rows = [(1, 0, "system", "be kind")] + [(1, i, "assistant" if i % 2 == 0 else "user", "w " * rnd.randint(0, 30))
                                             for i in range(1, 400)]
     windows = chat.windows(spark.createDataFrame(rows, TURNS).repartition(5), budget=100, history=30)
-    assert {r[0]: tuple(r)[1:5] for r in chat.read_back(windows).collect()} == models.conversations(rows)
+    said = chat.read_back(windows).first()
+    assert tuple(said)[1:5] == models.conversations(rows)[1]
+    assert said.formatted_chars == models.formatted_chars(models.ordered(rows)[1], 100, 30, 3)
     got = windows.orderBy("first").collect()
     assert all(r.tokens <= 100 and r.formatted.startswith("<|im_start|>system\nbe kind<|im_end|>\n") for r in got)
     assert sum(r.n_turns - r.n_repeated for r in got) == 400 and sum(r.n_repeated > 1 for r in got) > len(got) / 2

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tests.compare import compare, connect
 from tests.llm import models
+from tidemark.llm import chat
 from tidemark.llm.queries import REGISTRY
 
 
@@ -45,9 +46,10 @@ def test_ten_operators_are_registered():
 def test_chat(spark, sf):
     said = "</s>[INST] ok [/INST]"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
-    want = models.conversations([*rows, (-1, 0, "user", said), (-1, 1, "assistant", said)])
-    got = {r[0]: tuple(r)[1:5] for r in run(spark, sf, "op2_chat").collect()}
-    assert got == want
+    rows += [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    want, turns = models.conversations(rows), models.ordered(rows)
+    got = {r[0]: tuple(r)[1:] for r in run(spark, sf, "op2_chat").collect()}
+    assert got == {c: (*want[c], models.formatted_chars(turns[c], chat.BUDGET, chat.HISTORY, chat.SEGMENT)) for c in want}
 
 
 def test_ann(spark, sf):

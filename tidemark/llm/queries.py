@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
+from tidemark.llm.license_sql import scan_sql
 
 #: The vocabulary of the token operators, and the limit of the counts.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -31,7 +32,8 @@ def as_file(doc_id: str = "doc_id"):
     return F.concat_ws("/", F.coalesce("source", F.lit("")), part(1000), part(50), F.col(doc_id).cast("string"))
 
 
-@query("op1_license_scan")
+@query("op1_license_scan", scan_sql("""SELECT doc_id, concat_ws('/', coalesce(source, ''), CAST(doc_id // 1000 AS VARCHAR),
+    CAST(doc_id // 50 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path, text FROM documents"""))
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "documents").select("doc_id", as_file().alias("path"), "text")
     return license_scan.scan(files).drop("text")
