@@ -74,7 +74,7 @@ def discover_suggested_jobs(spark, sf):
     found["events"] = found["events"].withColumn("created_at", F.col("modified_at"))
     names = spark.createDataFrame([(t,) for t in found], "table_name string")
     pairs = {t: found[t] for t in _PAIRS}
-    return discover.suggest_jobs(discover.profile_keys(found), discover.profile_watermarks(found), names, "sales",
+    return discover.suggest_jobs(discover.find_keys(found), discover.profile_watermarks(found), names, "sales",
                                  discover.profile_composite_keys(pairs)).drop("source_db")
 
 

@@ -128,6 +128,13 @@ def test_catalog_tables_and_their_reader(spark):
     spark.sql("DROP DATABASE found_db CASCADE")
 
 
+def test_keys_are_counted_exactly_only_where_it_matters(spark):
+    found = {"t": spark.range(1000).select("id", (F.col("id") % 7).alias("kind_id"), (F.col("id") * 999 / 1000).cast("long").alias("near_id"))}
+    got = {r["column_name"]: r for r in discover.find_keys(found).collect()}
+    assert got["id"]["is_key"] and got["kind_id"]["n_distinct"] is None and not got["kind_id"]["is_key"]
+    assert not got["near_id"]["is_key"] and got["near_id"]["n_distinct"] == 999
+
+
 def test_discovery_without_candidates(spark):
     bare = {"t": spark.range(3).withColumnRenamed("id", "n").withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))}
     keys, marks = discover.profile_keys(bare), discover.profile_watermarks(bare)

@@ -49,6 +49,30 @@ def profile_keys(tables: dict[str, DataFrame], pattern: str = KEY_PATTERN) -> Da
                                  "is_key boolean")
 
 
+def find_keys(tables: dict[str, DataFrame], pattern: str = KEY_PATTERN, spread: float = 0.02) -> DataFrame:
+    """Like ``profile_keys``, but candidates that are far from unique are ruled out by one scan of their table.
+
+    An estimate of all candidates' distinct counts comes first. Only where it is near the number of rows (its
+    relative error is ``spread``; ten times that is allowed) is the column counted exactly; elsewhere ``n_distinct`` is NULL.
+    """
+    parts = []
+    for name, df in tables.items():
+        columns = key_candidates(df, pattern)
+        if not columns:
+            continue
+        seen = df.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in (
+            ("v", F.count), ("d", lambda c: F.approx_count_distinct(c, spread)))]).first()
+        for i, c in enumerate(columns):
+            if seen[f"d{i}"] >= (1 - 10 * spread) * seen["n"]:
+                parts.append(key_profile(name, df, c))
+            else:
+                parts.append(df.sparkSession.range(1).select(
+                    F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.lit(seen["n"]).alias("n_rows"),
+                    F.lit(seen[f"v{i}"]).alias("n_values"), F.lit(None).cast("long").alias("n_distinct"), F.lit(False).alias("is_key")))
+    return _union(tables, parts, "table_name string, column_name string, n_rows long, n_values long, n_distinct long, "
+                                 "is_key boolean")
+
+
 def _union(tables: dict[str, DataFrame], parts: list[DataFrame], schema: str) -> DataFrame:
     if parts:
         return reduce(DataFrame.unionByName, parts)
