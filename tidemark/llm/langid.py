@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm import arrow
-from tidemark.llm.common import col
+from tidemark.llm.common import col, written
 
 #: Labelled texts that are counted, per language, about; n-grams that are kept, at most.
 SAMPLE, GRAMS = 4000, 50_000
@@ -172,9 +172,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     """
     rows = labelled.select(col(lang_col).alias("lang"), col(text_col).alias("text")).filter(
         "lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "langid-sizes")
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    chosen = rows.join(F.broadcast(sizes), "lang").filter(part * F.col("n") < F.lit(sample * (1 << 30))).select("lang", "text")
+    chosen = rows.join(sizes, "lang").filter(part * F.col("n") < F.lit(sample * (1 << 30))).select("lang", "text")
 
     def count(batches):
         from collections import Counter
