@@ -5,8 +5,10 @@ target. NULL keys match nothing, so rows with a NULL key are always inserted. Ex
 appends, work rows are expected to be unique by key (see ``dedup``).
 
 ``small_work`` says that the work rows were measured and fit in every executor. The target is then
-never shuffled. Without it target and work rows are joined once, by key; adaptive execution splits
-keys that hold many target rows. Rows with a NULL in their key are spread over all tasks of that join.
+never shuffled, whatever its keys. Without it an upsert is one full join by key: work rows have one row per
+key, and so have targets that loads have made. (Rows that a target was seeded with under one key meet in one task of that
+join.) History loads use left joins, in which adaptive execution splits keys that hold many target rows. Rows with a NULL
+in their key are spread over all tasks.
 """
 
 from __future__ import annotations
