@@ -16,9 +16,10 @@ templates get a backslash after their first character (one more if they have som
 In roles, line ends and percent signs are percent-encoded.
 
 Defined results: NULL roles and texts are empty. Turns are ordered by number (NULL first), then role, then text; repeated
-rows are repeated turns. Turns of one conversation that share a number are put in order in one task. A NULL id is a conversation of its own. The system turn is the first turn if its role is
-``system``; system turns elsewhere are ordinary ones. A turn longer than the budget stands alone, uncut, and its window
-is longer than the budget. An empty table gives an empty result.
+rows are repeated turns. Turns of one conversation that share a number are put in order in one task. A NULL id is a
+conversation of its own. The system turn is the first turn if its role is ``system``; system turns elsewhere are
+ordinary ones. A turn longer than the budget stands alone, uncut, and its window is longer than the budget. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
