@@ -12,6 +12,8 @@ from tidemark.llm.queries import VOCABULARY, token_digests
 LEAST_SCORE = 0.1
 #: Words that a worker remembers: fewer than the operators alone would, as all stages share the executors.
 REMEMBER = 150_000
+#: Pieces of a mixed shard, each shuffled on its own.
+PIECES = 256
 
 
 def numbered(docs: DataFrame):
@@ -44,7 +46,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, at, back = numbered(docs)
     mixed = mixing.mix(rows, source_col=at["source"], id_col=at["doc_id"], text_col=at["text"])
     taken = mixing.drawn(mixed.select(*at.values(), "draws"), id_col=at["doc_id"])
-    return back(taken.repartition(mixing.SHARDS, "shard").sortWithinPartitions("shard", "shard_order"))
+    # many pieces of each shard, so that a task's share follows the number of tasks and not that of shards
+    piece = F.pmod(F.col("shard_order"), F.lit(PIECES))
+    return back(taken.repartition(F.col("shard"), piece).sortWithinPartitions("shard", "shard_order"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
