@@ -29,7 +29,7 @@ from tidemark.llm.common import without
 from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
 #: Words of a generation of a worker's memory, and pairs of tokens before it starts anew.
-MEMORY = 400_000
+MEMORY = 600_000
 PAIRS = 2_000_000
 
 
@@ -37,9 +37,11 @@ class PrefixCounter:
     def __init__(self, vocabulary: Vocabulary):
         self.v = v = vocabulary
         n = len(v.suffix)
-        self.inner = {t: i for t, i in v.ids.items() if not t.endswith(v.suffix)}
-        self.final = {t[:-n]: i for t, i in v.ids.items() if t.endswith(v.suffix)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        inner = {t: i for t, i in v.ids.items() if not t.endswith(v.suffix)}
+        final = {t[:-n]: i for t, i in v.ids.items() if t.endswith(v.suffix)}
+        # letters -> (token inside a word, token at a word's end), None where there is none
+        self.tokens = {t: (inner.get(t), final.get(t)) for t in {*inner, *final}}
+        self.longest = max(map(len, self.tokens))
         self.rank = {(a << 32) | b: r for r, (a, b, _) in enumerate(v.merges)}
         self.byte = {c: b for b, c in enumerate(v.letter)}
         self.pairs: dict[int, bool] = {}
@@ -88,20 +90,21 @@ class PrefixCounter:
     def _table(self, word: str) -> tuple[int, ...] | bytes:
         raw = word.encode()
         letters, n = "".join([self.v.letter[b] for b in raw]), len(raw)
-        inner, final, pair, longest = self.inner.get, self.final.get, self.pairs.get, self.longest
+        tokens, pair, longest = self.tokens.get, self.pairs.get, self.longest
         last, count, ends = [-1], [0], [0]  # of each prefix as the start of a longer word; counts as a whole word
         for i in range(1, n + 1):
             grow, end = i < n, True
             for j in range(i - longest if i > longest else 0, i):
-                text = letters[j:i]
-                if grow and (token := inner(text)) is not None:
+                if (found := tokens(letters[j:i])) is None:
+                    continue
+                if grow and (token := found[0]) is not None:
                     if (fits := pair(key := (last[j] << 32) | token)) is None:
                         fits = self._compatible(key)
                     if fits:
                         now, grow = (token, count[j] + 1), False
                         if not end:
                             break
-                if end and (token := final(text)) is not None:
+                if end and (token := found[1]) is not None:
                     if (fits := pair(key := (last[j] << 32) | token)) is None:
                         fits = self._compatible(key)
                     if fits:
