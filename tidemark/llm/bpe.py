@@ -27,7 +27,7 @@ from tidemark.llm.common import without
 from tidemark.llm.vocabulary import Memory, Vocabulary, load
 
 #: Words of a generation of a worker's memory.
-MEMORY = 300_000
+MEMORY = 450_000
 
 
 class PairIndex:
