@@ -19,7 +19,7 @@ from tidemark.functions.types import from_text
 NULL_MARKERS = ["NULL", ""]
 DELIMITER = "|"
 # One gzip file is one task, so files are cut at about this many bytes of text before compression.
-FILE_BYTES = 512 << 20
+FILE_BYTES = 256 << 20
 # Rows whose text is measured to find how many make a file; the cut moves no row, only file ends.
 MEASURED_ROWS = 1000
 
