@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, exact_dedup, langid, mixing, simhash
 from tidemark.llm.common import col, written
-from tidemark.llm.queries import VOCABULARY, token_digests
+from tidemark.llm.queries import token_digests, vocabulary
 
 #: Documents without letters go, and those of which less than this share is in any one language for sure.
 LEAST_SCORE = 0.1
@@ -53,7 +53,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, token ids, and the digests of the ids and of what they decode to."""
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY, decoded_col="decoded",
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary(), decoded_col="decoded",
                          remember=REMEMBER)
     return encoded.select("doc_id", "source", "token_ids", *token_digests())
 

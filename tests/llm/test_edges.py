@@ -93,6 +93,9 @@ def test_sharding_edges(spark, awkward, empty, clashing, tmp_path):
         (r.doc_id, r.shard, r.slot) for r in sharding.shuffle_into_shards(docs.repartition(9), 4, bucket_bytes=20_000).collect()}
     order = [r.doc_id for r in sorted(rows, key=lambda r: (r.slot, r.shard))]
     assert abs(np.corrcoef(order, np.arange(5000))[0, 1]) < 0.1
+    lone = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    spread = sharding.shuffle_into_shards(lone, 2, bucket_bytes=20_000)
+    assert sorted((r.slot, r.shard) for r in spread.collect()) == [divmod(i, 2) for i in range(3000)]
     sharding.write_shards(one, str(tmp_path / "out"), rows_per_file=500)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5000
 

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, token_counts
 from tidemark.llm.common import table
 from tidemark.llm.license_sql import scan_sql
 
-#: The vocabulary of the token operators, and the limit of the counts.
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: The vocabulary file of the token operators, and the limit of the counts.
+VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 
+
+def vocabulary() -> str:
+    """Where the installed package of public tokenizers keeps the file."""
+    import public_tokenizers
+    return public_tokenizers.path(VOCABULARY)
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -64,12 +70,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY, LIMIT)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(), LIMIT)
 
 
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, decoded_col="decoded")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), decoded_col="decoded")
     return encoded.select("doc_id", *token_digests())
 
 

@@ -9,8 +9,8 @@ the quotient of the position by the number of shards, so that shard counts are a
 Each bucket is one partition, and rows reach ``shuffle`` in a defined order:
 a task that runs again after the loss of an executor makes the same permutation.
 
-Defined results: a NULL text has no bytes (size 1, CRC 0). An empty table gives an empty result. Rows that agree in
-every column are interchangeable, and meet in one bucket. Input columns named shard or slot are replaced.
+Defined results: a NULL text has no bytes (size 1, CRC 0). An empty table gives an empty result. Rows with a NULL id are
+scattered by their place in the input; rows that repeat an id and its text meet in one bucket. Input columns named shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, id_
     docs = without(docs, "shard", "slot")
     total = docs.agg(F.sum(F.coalesce(F.octet_length(col(text_col)), F.lit(0)) + RECORD_BYTES)).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
+    # rows without an id have no name of their own: their place in the input stands for it, so that they spread too
+    named = [col(id_col), col(text_col), F.when(col(id_col).isNull(), F.monotonically_increasing_id())]
     bucket, order, rec, pos = (free_name(docs, x) for x in ("_bucket", "_order", "_rec", "_pos"))
     scattered = docs.select(
-        F.pmod(F.xxhash64(F.lit(seed), col(id_col), col(text_col)), F.lit(n)).cast("int").alias(bucket),
-        F.struct(F.xxhash64(F.lit(seed + 1), col(id_col), col(text_col)).alias("h"),
+        F.pmod(F.xxhash64(F.lit(seed), *named), F.lit(n)).cast("int").alias(bucket),
+        F.struct(F.xxhash64(F.lit(seed + 1), *named).alias("h"),
                  *[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias(rec))
     # the bucket is the number of the partition: a task never holds two of them
     packed = (scattered.repartitionById(n, F.col(bucket)).groupBy(bucket)
