@@ -4,8 +4,8 @@ Passages of a file are its lines, its header (the comment lines that it starts w
 term weighs tf * (ln((1 + N) / (1 + df)) + 1), where df counts the files that hold it; terms outside all templates
 weigh as terms of no file. The cosine of a passage and a template is a sparse product over the template's terms.
 
-Only passages that hold an anchor are weighed. Anchors are each template's heaviest terms, as many as it takes for the
-others to make less than the threshold of its length: by Cauchy-Schwarz no passage without one can reach the threshold.
+Only passages that hold an anchor are weighed. Anchors are terms of each template, heavy ones that few files hold, as many as
+it takes for the others to make less than the threshold of its length: by Cauchy-Schwarz no passage without one can reach it.
 So the filter loses nothing, and almost all text stays out of the shuffles.
 
 A file's own licence is that of its best line or header. A file is a licence file if its name says so or if it is, as a
@@ -27,11 +27,12 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import col, without, written
+from tidemark.llm.license_texts import MORE
 
 #: Least cosine of a line or header, and of a whole file that counts as a licence file.
 LINE, WHOLE = 0.6, 0.5
 
-# Short forms and openings of public licences.
+# Short forms and openings of public licences, then full texts, notices, titles and SPDX tags.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -48,16 +49,13 @@ TEMPLATES = [
                 "your option) any later version."),
     ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
                  "General Public License, either version 3 of the License"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-            "granted"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *MORE,
 ]
 TERM = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.\-_].*)?$"
@@ -93,13 +91,15 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
          whole: float = WHOLE) -> DataFrame:
     """All rows and columns, with own_license, own_score, is_license_file, inherited_from and license."""
     spark = files.sparkSession
-    # tables over the terms of the templates have a few hundred rows, and lie in one file
+    # tables over the terms of the templates have some thousand rows, and lie in one file
     model = written(_templates(spark).coalesce(1), "license-templates")
-    vocabulary = [r.term for r in model.select("term").distinct().collect()]  # that of the fixed templates
+    vocabulary = model.select("term").distinct().union(spark.range(1).select(F.lit(None).cast("string"))).toDF("known")
     texts = files.select(F.coalesce(col(path_col), F.lit("")).alias("path"), col(text_col).alias("text"))
-    held = texts.select(F.array_intersect(terms(F.col("text")), F.array(*map(F.lit, vocabulary))).alias("held"))
+    held = texts.select(F.explode(F.concat(
+        F.coalesce(F.array_distinct(terms(F.col("text"))), F.array().cast("array<string>")),
+        F.array(F.lit(None).cast("string")))).alias("term"))
     # one count for each term of the templates, and the number of files under the NULL term
-    df = (held.select(F.explode(F.concat(F.coalesce("held", F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))).alias("term"))
+    df = (held.join(F.broadcast(vocabulary), F.col("term").eqNullSafe(F.col("known")), "left_semi")
           .groupBy("term").agg(F.count("*").alias("df")))
     df = written(df.coalesce(1), "license-df")
     counted = df.filter("term is null").first()
@@ -107,12 +107,16 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
     rarest = math.log(1.0 + n) + 1.0
     weight = F.log(F.lit(1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
     weighed = written(model.join(F.broadcast(df.filter("term is not null")), "term", "left").select(
-        "template", "license", "term", weight.alias("idf"), (F.col("tf") * weight).alias("w")).coalesce(1), "license-weights")
+        "template", "license", "term", F.coalesce("df", F.lit(0)).alias("df"), weight.alias("idf"),
+        (F.col("tf") * weight).alias("w")).coalesce(1), "license-weights")
     norms = weighed.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    anchors = sorted({t for r in weighed.groupBy("template").agg(F.collect_list(F.struct("w", "term")).alias("ws")).collect()
-                      for t in _anchors([(x.w, x.term) for x in r.ws], min(line, whole))})
+    heavy = [[(x.w, x.term, x.df) for x in r.ws] for r in
+             weighed.groupBy("template").agg(F.collect_list(F.struct("w", "term", "df")).alias("ws")).collect()]
 
-    holds = _any_of(anchors)
+    def holds_for(least):
+        return _any_of(sorted({t for weights in heavy for t in _anchors(weights, least)}))
+
+    of_line, of_file = holds_for(line), holds_for(whole)
     text = F.col("text")
     header = F.regexp_extract(text, HEADER, 0)
     # a file that starts with comments is source, and only its header speaks for the whole
@@ -120,8 +124,11 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
         F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(F.lit("line").alias("kind"), i.alias("no"), x.alias("text"))),
         F.array(F.when(header == "", F.struct(F.lit("file").alias("kind"), F.lit(0).alias("no"), text.alias("text")))
                 .otherwise(F.struct(F.lit("line").alias("kind"), F.lit(-1).alias("no"), header.alias("text")))))
-    found = (texts.filter(holds(text)).select("path", F.xxhash64("text").alias("of"), F.explode(passages).alias("p"))
-             .select("path", "of", "p.kind", "p.no", "p.text").filter(holds(F.col("text"))))
+    held_by_kind = F.when(F.col("kind") == "file", of_file(F.col("text"))).otherwise(of_line(F.col("text")))
+    # passages are dealt out once, as texts: all that follows, up to one row for each, stays where they are
+    found = (texts.filter(of_line(text) | of_file(text)).select("path", F.xxhash64("text").alias("of"), F.explode(passages).alias("p"))
+             .select("path", "of", "p.kind", "p.no", "p.text").filter(held_by_kind)
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "of", "kind", "no"))
     counted = (found.select("path", "of", "kind", "no", F.explode(terms(F.col("text"))).alias("term"))
                .groupBy("path", "of", "kind", "no", "term").agg(F.count("*").alias("tf")))
     postings = weighed.join(norms, "template").groupBy("term").agg(
@@ -176,11 +183,11 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
         F.coalesce("own.license", F.when(inherits, F.col("i_license"))).alias("license"))
 
 
-def _anchors(weights: list[tuple[float, str]], least: float) -> list[str]:
-    """The heaviest terms of a template, until the others make less than ``least`` of its length."""
-    left = total = sum(w * w for w, _ in weights)
+def _anchors(weights: list[tuple[float, str, int]], least: float) -> list[str]:
+    """Terms of a template whose others make less than ``least`` of its length: those with most weight for each file that holds them."""
+    left = total = sum(w * w for w, _, _ in weights)
     out = []
-    for w, term in sorted(weights, reverse=True):
+    for w, term, _ in sorted(weights, key=lambda x: (x[0] * x[0] / (x[2] + 1), x[1]), reverse=True):
         if left < (least - 1e-6) ** 2 * total:
             break
         out.append(term)
@@ -190,5 +197,17 @@ def _anchors(weights: list[tuple[float, str]], least: float) -> list[str]:
 
 def _any_of(words: list[str]):
     """Does a text hold one of these terms, as a term or as part of one?"""
-    pattern = r"(?i)\b(?:" + "|".join(map(re.escape, words)) + r")\b"
+    pattern = r"(?i)\b" + _one_of(words) + r"\b"
     return lambda text: text.rlike(pattern)
+
+
+def _one_of(words: list[str]) -> str:
+    """A pattern of these words that goes letter by letter, so that its cost does not follow their number."""
+    after: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            after.setdefault(w[0], []).append(w[1:])
+    tails = [re.escape(c) + _one_of(rest) for c, rest in sorted(after.items())]
+    if not tails:
+        return ""
+    return "(?:" + "|".join(tails) + ")" + ("?" if "" in words else "")
