@@ -90,3 +90,9 @@ def test_licence_files_and_what_lies_below_them(scanned):
         assert (got.is_license_file, got.own_license, scanned[f"{folder}/src/a.py"].license) == (True, name, name)
     for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0"):
         assert scanned[f"{name}/COPYING"].is_license_file and scanned[f"{name}/src/a.py"].license == name
+
+
+def test_terms_beside_underscores(spark):
+    rows = [("a/x", "_MIT License_"), ("b/x", "__Released under the MIT_License__"), ("c/x", "MITx Licenses")]
+    got = license_scan.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path: r.own_license for r in got} == {"a/x": "MIT", "b/x": "MIT", "c/x": None}

@@ -197,7 +197,7 @@ def _anchors(weights: list[tuple[float, str, int]], least: float) -> list[str]:
 
 def _any_of(words: list[str]):
     """Does a text hold one of these terms, as a term or as part of one?"""
-    pattern = r"(?i)\b" + _one_of(words) + r"\b"
+    pattern = r"(?i)(?<![a-z0-9])" + _one_of(words) + r"(?![a-z0-9])"  # not \b: an underscore is no part of a term
     return lambda text: text.rlike(pattern)
 
 
