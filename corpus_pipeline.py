@@ -8,7 +8,7 @@ from tidemark.llm import bpe, exact_dedup, langid, mixing, simhash
 from tidemark.llm.common import col, written
 from tidemark.llm.queries import token_digests, vocabulary
 
-#: Documents without letters go, and those of which less than this share is in any one language for sure.
+#: Documents without letters go, those in scripts that no learned language uses, and those of which less than this share is in any one language for sure.
 LEAST_SCORE = 0.1
 #: Words that a worker remembers: fewer than the operators alone would, as all stages share the executors.
 REMEMBER = 150_000
@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that was learned; the columns are those of the input."""
     model = langid.fit(docs.filter(~langid.is_held_out()))
     rows, at, back = numbered(docs)
-    judged = langid.predict(rows, model, at["text"], remember=REMEMBER)
+    judged = langid.predict(rows, model, at["text"], remember=REMEMBER, foreign=True)
     return back(judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)))
 
 

@@ -97,9 +97,10 @@ class Model:
 class Lexicon(dict):
     """Numbers of the words that a worker has met, and their scores and lengths; a missing word gets the next number."""
 
-    def __init__(self, model: Model, most: int = MEMORY):
+    def __init__(self, model: Model, most: int = MEMORY, foreign: bool = False):
         super().__init__()
-        self.model, self.most, self.new = model, most, []
+        self.model, self.most, self.foreign, self.new = model, most, foreign, []
+        self.read = np.zeros(0, bool)
         self.scores = np.zeros((0, len(model.langs)), np.float32)
         self.letters = np.zeros(0, np.float32)
 
@@ -112,10 +113,12 @@ class Lexicon(dict):
         if len(self) > self.most:
             self.clear()
             self.scores, self.letters = self.scores[:0], self.letters[:0]
+            self.read = self.read[:0]
         at = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, n)
         if self.new:
             self.scores = np.concatenate([self.scores, self.model.words(self.new)])
             self.letters = np.concatenate([self.letters, np.fromiter(map(len, self.new), np.float32)])
+            self.read = np.concatenate([self.read, self.model.uses[scripts_of(self.new)].any(axis=1)])
             self.new = []
         return at
 
@@ -247,7 +250,8 @@ def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[f
     n_langs = len(model.langs)
     held_by = np.repeat(np.arange(len(texts)) * n_langs, lengths) + labels
     held = np.bincount(held_by, weight, len(texts) * n_langs).reshape(-1, n_langs)
-    sure = np.bincount(held_by, weight * np.exp(np.take_along_axis(word_scores, labels[:, None], axis=1)[:, 0]),
+    counts = weight * lexicon.read[at] if lexicon.foreign else weight
+    sure = np.bincount(held_by, counts * np.exp(np.take_along_axis(word_scores, labels[:, None], axis=1)[:, 0]),
                        len(texts) * n_langs).reshape(-1, n_langs)
     best = held.argmax(axis=1)
     total = np.maximum(1, held.sum(axis=1))
@@ -267,8 +271,11 @@ def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[f
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
-            remember: int = MEMORY) -> DataFrame:
-    """The kept columns (all by default), with lang_pred, score and lang_spans; ``remember`` bounds a worker's words."""
+            remember: int = MEMORY, foreign: bool = False) -> DataFrame:
+    """The kept columns (all by default), with lang_pred, score and lang_spans; ``remember`` bounds a worker's words.
+
+    ``foreign``: words in a script that no language uses add nothing to the score.
+    """
     own = ("lang_pred", "score", "lang_spans")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -278,7 +285,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
 
     def run(batches):
         fitted = shared.value
-        lexicon = arrow.kept(("langid", id(fitted)), lambda: Lexicon(fitted, remember))
+        lexicon = arrow.kept(("langid", id(fitted), foreign), lambda: Lexicon(fitted, remember, foreign))
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col, PIECE_BYTES):
                 langs, scores, spans = predict_texts(lexicon, texts)
