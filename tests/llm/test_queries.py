@@ -36,11 +36,11 @@ def test_sql(spark, sf, name):
     assert problem is None and rows, problem
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     import __spark_entry__ as entry
-    assert [n for i in range(1, 11) for n in REGISTRY if n.startswith(f"op{i}_")] == sorted(
+    assert [n for i in range(1, 14) for n in REGISTRY if n.startswith(f"op{i}_")] == sorted(
         REGISTRY, key=lambda n: int(n[2:].split("_")[0]))
-    assert "pipeline" in entry.queries() and len(REGISTRY) == 10
+    assert "pipeline" in entry.queries() and len(REGISTRY) == 13
 
 
 def test_chat(spark, sf):

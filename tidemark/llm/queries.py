@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, token_counts
+from tidemark.llm import (ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, spelling,
+                          token_counts)
 from tidemark.llm.common import table
 from tidemark.llm.license_sql import scan_sql
 
@@ -131,3 +132,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ann")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+# CRC-32 byte by byte with its usual table; words one edit apart agree after one letter is masked or removed.
+@query("op11_spelling", """
+WITH RECURSIVE c AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc),
+  r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+  k AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h
+    FROM r WHERE length(run) >= 6 GROUP BY doc_id, run),
+  s AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2),
+    lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, crc[CAST(xor(a & 255, b) AS INT) + 1]))) AS h FROM k, c),
+  w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+    ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n FROM s GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+  p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+  v AS (SELECT word, n, substr(word, 1, CAST(i - 1 AS INT)) || '?' || substr(word, CAST(i + 1 AS INT)) AS masked,
+    substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS less FROM p),
+  e AS (SELECT a.word, b.word AS other, b.n AS m FROM v a JOIN v b ON a.masked = b.masked AND a.word <> b.word
+    UNION SELECT v.word, w.word, w.n FROM v JOIN w ON v.less = w.word
+    UNION SELECT w.word, v.word, v.n FROM v JOIN w ON v.less = w.word),
+  b AS (SELECT word, count(*) AS n_near, max(m) AS most, min_by(other, (-m, other)) AS best FROM e GROUP BY word),
+  f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN best END AS form,
+    CASE WHEN most >= 5 * n THEN most END AS form_n FROM w LEFT JOIN b USING (word)),
+  t AS (SELECT word, word AS root, form FROM f UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON t.form = f.word)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON f.word = t.word AND t.form IS NULL""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), least=6, slip=199)
+    return spelling.variants(words.filter("n >= 5"), ratio=5)
