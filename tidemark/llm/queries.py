@@ -6,20 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import (ann, bpe, chat, exact_dedup, langid, license_scan, mixing, sharding, simhash, spelling,
-                          token_counts)
+from tidemark.llm import (alignment, ann, bpe, chat, exact_dedup, jaccard, langid, license_scan, mixing, sharding, simhash,
+                          spelling, token_counts)
 from tidemark.llm.common import table
 from tidemark.llm.license_sql import scan_sql
 
 #: The vocabulary file of the token operators, and the limit of the counts.
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
+#: The files whose tokens are aligned.
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def vocabulary() -> str:
-    """Where the installed package of public tokenizers keeps the file."""
+def vocabulary(name: str = VOCABULARY) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -161,3 +163,23 @@ SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON f.word =
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.count_words(table(spark, sf_dir, "documents"), least=6, slip=199)
     return spelling.variants(words.filter("n >= 5"), ratio=5)
+
+
+@query("op12_jaccard", """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  l AS (SELECT u, v FROM i JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * both >= 80 * (a.n + b.n - both)),
+  r AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, min(r.v)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.u = w.doc_id GROUP BY w.doc_id""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary(BYTE_LEVEL), vocabulary(PIECES))
