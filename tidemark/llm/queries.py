@@ -171,8 +171,8 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
   s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
   n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-  i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-  l AS (SELECT u, v FROM i JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * both >= 80 * (a.n + b.n - both)),
+  i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  l AS (SELECT u, v FROM i JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * common >= 80 * (a.n + b.n - common)),
   r AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u)
 SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, min(r.v)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.u = w.doc_id GROUP BY w.doc_id""")
