@@ -16,7 +16,7 @@ one-deletion lookups elsewhere.
 
 Candidates. Entries travel to their keys in packed arrays, 12 bytes each, and only keys with a lookup and two sets or
 more go on. Within a key nothing is paired with everything: the first set that looks up leads, all others are compared
-with it, and those of its component are done. Where a key still holds several components, the next 3, 12, 48, ... lead.
+with it, and those of its component are done. Where a key still holds several components, the next 15, 240, ... lead.
 So a group of near copies costs one comparison each, and a pair is left out only if links join it already.
 
 Verification compares the shingles themselves, from whole texts. A membership filter of fixed size picks the texts that
@@ -29,6 +29,8 @@ other). Rows that repeat are nodes like others. An empty table gives an empty re
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -47,7 +49,7 @@ PACKED, PARTITION = 2_000_000, 2_000_000
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
 #: Sets that lead in a key: one, then this many times as many in each round.
-WIDEN = 4
+WIDEN = 16
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _U = np.uint64
@@ -139,11 +141,23 @@ def place(keys: np.ndarray) -> np.ndarray:
 
 
 def _hashed(texts: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """All hashes, one text after another, and how many each has."""
+    """The distinct shingle hashes of each text, one text after another, and how many each has. A shingle's hash mixes those of its words in order."""
     digest = xxhash.xxh64_intdigest
-    sets = [{digest(s) for s in shingle_set(t, shingle)} for t in texts]
-    n = np.fromiter(map(len, sets), np.int64, len(sets))
-    return np.fromiter((h for s in sets for h in s), np.uint64, int(n.sum())), n
+    split = [t.encode().translate(_LOWER).split() for t in texts]
+    words = np.fromiter(map(len, split), np.int64, len(split))
+    flat = np.fromiter(map(digest, chain.from_iterable(split)), np.uint64, int(words.sum()))
+    n = np.where(words == 0, 0, np.maximum(1, words - shingle + 1))
+    doc = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(doc)) + np.repeat(np.cumsum(words) - words - (np.cumsum(n) - n), n)
+    out = np.zeros(len(doc), _U)
+    short = np.repeat(words, n) < shingle
+    for k in range(shingle):
+        inside = ~short | (k < words[doc])
+        out = np.where(inside, mixed(out + flat[np.minimum(at + k, len(flat) - 1)] + _U(k + 1)), out)
+    order = np.lexsort((out, doc))
+    out, doc = out[order], doc[order]
+    new = np.append(True, (out[1:] != out[:-1]) | (doc[1:] != doc[:-1]))[:len(out)]
+    return out[new], np.bincount(doc[new], minlength=len(n))
 
 
 # -- sets --------------------------------------------------------------------------------
@@ -317,13 +331,11 @@ def _live(sets: DataFrame, shingle: int, percent: int, sketch: np.ndarray, large
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the threshold, and those that do not, told apart by ``linked``."""
+    """The pairs (u, v) whose sets reach the threshold."""
     a = texts.select(F.col("row").alias("u"), F.col("n").alias("nu"), F.col("text").alias("tu"))
     b = texts.select(F.col("row").alias("v"), F.col("n").alias("nv"), F.col("text").alias("tv"))
-    sized = pairs.join(texts.select(F.col("row").alias("u"), F.col("n").alias("nu")), "u").join(
-        texts.select(F.col("row").alias("v"), F.col("n").alias("nv")), "v")
-    fitting = written(sized.filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent).select("u", "v"), "jaccard-fitting")
-    both = fitting.join(a, "u").join(b, "v").select("u", "v", "tu", "tv")
+    both = (pairs.join(a, "u").join(b, "v").filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
+            .select("u", "v", "tu", "tv"))
 
     def compare(batches):
         at, leader = None, set()
@@ -342,39 +354,37 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return arrow.mapped(both, compare, "u long, v long")
 
 
-def _links(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (u, v) that join every two nodes of a key that reach the threshold, directly or through others."""
+def _roots(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, root) of the nodes with links; two nodes of a key that reach the threshold have one root."""
     spark = live.sparkSession
-    links = spark.createDataFrame([], "u long, v long")
-    tested, roots, served = links, spark.createDataFrame([], "node long, root long"), 0
-    first, step = True, 1
+    links = tested = spark.createDataFrame([], "u long, v long")
+    roots = spark.createDataFrame([], "node long, root long")
+    live, served, upto, first = live.withColumn("root", F.col("node")), 0, 1, True
     while True:
-        here = live.join(roots, "node", "left").select("key", "node", "asks", "visits", F.coalesce("root", "node").alias("root"))
-        if not first:  # keys whose sets are all in one component, or have all led, are done
-            open_ = here.groupBy("key").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.min("root").alias("a"),
-                                            F.max("root").alias("b")).filter((F.col("a") != F.col("b")) & (F.col("n") > served))
-            live = written(live.join(open_.select("key"), "key", "left_semi"), "jaccard-live")
-            if live.isEmpty():
-                return links
-            here = live.join(roots, "node", "left").select("key", "node", "asks", "visits", F.coalesce("root", "node").alias("root"))
         number = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        upto = 1 if first else step
-        lead = (here.filter("asks").select("key", F.col("node").alias("v"), F.col("visits").alias("v_visits"), F.col("root").alias("v_root"),
-                                           number.alias("place")).filter(f"place <= {upto}").filter(f"place > {served}").drop("place"))
-        pairs = here.join(lead, "key").filter("root <> v_root and not (visits and v_visits)").select(F.col("node").alias("u"), "v")
+        lead = (live.filter("asks").select("key", F.col("node").alias("v"), F.col("visits").alias("v_visits"),
+                                           F.col("root").alias("v_root"), number.alias("place"))
+                .filter(f"place <= {upto}").filter(f"place > {served}").drop("place"))
+        pairs = live.join(lead, "key").filter("root <> v_root and not (visits and v_visits)").select(F.col("node").alias("u"), "v")
         if first:  # each set is compared with one leader before any other
             pairs = pairs.groupBy("u").agg(F.min("v").alias("v"))
         pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = written(pairs.join(tested, ["u", "v"], "left_anti"), "jaccard-pairs")
-        if not pairs.isEmpty():
-            found = written(_verify(pairs, texts, shingle, percent), "jaccard-links")
-            if not found.isEmpty():
-                links = written(links.unionByName(found), "jaccard-all-links")
-                roots = written(components(links), "jaccard-roots")
-            tested = written(tested.unionByName(pairs), "jaccard-tested")
+        found = written(_verify(pairs, texts, shingle, percent), "jaccard-links")
+        tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = written(components(links), "jaccard-roots")
         if not first:
-            served, step = step, step * WIDEN
+            served, upto = upto, upto * WIDEN
         first = False
+        # keys whose sets are all in one component, or have all led, are done
+        here = live.drop("root").join(roots, "node", "left").select("key", "node", "asks", "visits", F.coalesce("root", "node").alias("root"))
+        some = here.groupBy("key").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
+        live = written(here.join(some.filter((F.col("a") != F.col("b")) & (F.col("n") > served)).select("key"), "key", "left_semi"),
+                       "jaccard-live")
+        if live.isEmpty():
+            return roots
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -396,7 +406,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         "key", F.coalesce("first", "node").alias("node")).agg(F.max("asks").alias("asks"), F.min("visits").alias("visits")), "jaccard-live")
     some = may_match(single.select("row", "n", "text"), bitmaps(live, F.col("node")), F.col("row"))
     texts = written(some.filter("_may_match").drop("_may_match"), "jaccard-texts")
-    found = written(components(_links(live, texts, shingle, percent)), "jaccard-components")
+    found = _roots(live, texts, shingle, percent)
     rooted = nodes.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
     component = written(rooted.join(names, "root").select("node", "component"), "jaccard-names")
