@@ -25,6 +25,14 @@ def bitmaps(keys: DataFrame, *columns: Column, bits: int = BITS) -> DataFrame:
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("members")))
 
 
+def frequent(rows: DataFrame, *columns: Column, limit: int, bits: int = BITS) -> DataFrame:
+    """The same bitmaps, of the positions that more than ``limit`` rows share: all keys of more rows are among them."""
+    at = _position(list(columns), bits)
+    crowded = rows.select(at.alias("at")).groupBy("at").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    return (crowded.select(F.bitmap_bucket_number("at").alias("bucket"), F.bitmap_bit_position("at").alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("members")))
+
+
 def may_match(rows: DataFrame, members: DataFrame, *columns: Column, bits: int = BITS, flag: str = "_may_match") -> DataFrame:
     """The rows with a boolean column: FALSE where no key of the filter equals theirs."""
     at = _position(list(columns), bits)
