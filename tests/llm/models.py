@@ -19,6 +19,8 @@ AWKWARD = [
     (5, " \t\n ", "fr", "b", 4), (6, "Ünïcode Σσς İI ﬁ é 中文 русский 123 !!! <|endoftext|> </s>[INST]", "de", None, 9),
     (7, "the of and " * 20_000, "en", "a", 220_000), (8, "x" * 50_000, None, "c", 50_000), (9, "12345 $$$ ...", None, "c", 13),
     (10, "Released under the MIT License.\nla de et les des un une", "fr", "c", 60), (2, "another text under the same id", "en", "a", 30),
+    (11, "# c\n" * 5_000, "en", "c", 20_000), (12, "-".join("a" * 50_000), "en", "b", 99_999),
+    (3, "quite another text under an id that is used twice", "en", "a", 49), *[(20 + i, "one two three four", "en", "a", 18) for i in range(5)],
 ]
 
 
@@ -57,6 +59,11 @@ def linked(prints: list[tuple[int | None, int]], most: int = 2) -> dict[int, int
     return {fp: least.get(find(place[fp])) for fp in fps}
 
 
+def components_of(fps: list[int], most: int = 2) -> dict[int, int]:
+    """fingerprint -> a number of its component."""
+    return linked([(i, fp) for i, fp in enumerate(fps)], most)
+
+
 def mix_targets(sizes: dict, weights=(5, 2, 1), most=3) -> dict:
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}

@@ -11,8 +11,8 @@ Runs of one language are the spans. The predicted language is the one whose span
 share of all letters that its spans hold, each word weighted by its posterior.
 
 Defined results: NULL and texts without a letter are ``und`` with score 0 and no spans. Words in a script that no
-language uses say nothing; a text of such words alone gets the first learned language at a score of one share among
-all. Input columns named like those that are added are replaced. Ties go to the language first in code-point order. Without labelled texts all is ``und``.
+language uses say nothing and add nothing to the score; a text of such words alone gets the first learned language with
+score 0. Input columns named like those that are added are replaced. Ties go to the language first in code-point order. Without labelled texts all is ``und``.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.llm import arrow
 from tidemark.llm.common import col, written
 
-#: Labelled texts that are counted, per language, about; n-grams that are kept, at most.
-SAMPLE, GRAMS = 4000, 50_000
+#: Labelled texts that are counted, and most frequent n-grams that are kept, both per language.
+SAMPLE, GRAMS = 4000, 20_000
 #: Weight of an n-gram's log probability (they overlap); cost of a switch in nats.
 TEMPER, SWITCH = 0.6, 8.0
 #: A language uses a script that holds at least this share of its letters.
@@ -97,9 +97,9 @@ class Model:
 class Lexicon(dict):
     """Numbers of the words that a worker has met, and their scores and lengths; a missing word gets the next number."""
 
-    def __init__(self, model: Model, most: int = MEMORY, foreign: bool = False):
+    def __init__(self, model: Model, most: int = MEMORY):
         super().__init__()
-        self.model, self.most, self.foreign, self.new = model, most, foreign, []
+        self.model, self.most, self.new = model, most, []
         self.read = np.zeros(0, bool)
         self.scores = np.zeros((0, len(model.langs)), np.float32)
         self.letters = np.zeros(0, np.float32)
@@ -133,21 +133,21 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
     starts = (np.cumsum(lengths) - lengths)[order]
     steps = int(sorted_lengths[0]) if len(lengths) else 0
     running = np.searchsorted(-sorted_lengths, -np.arange(steps), "left")  # texts with a word at each step
-    labels = np.zeros(len(scores), np.uint8)
+    labels = np.zeros(len(scores), np.int32)
     if not steps:
         return labels
     n_langs = scores.shape[1]
-    own = np.arange(n_langs, dtype=np.uint8)
-    came = np.empty((len(scores), n_langs), np.uint8)  # best previous label, by word
+    own = np.arange(n_langs, dtype=np.int32)
+    came = np.empty((len(scores), n_langs), np.int32)  # best previous label, by word
     value = scores[starts[:running[0]]].copy()
-    final = np.zeros(len(lengths), np.uint8)
+    final = np.zeros(len(lengths), np.int32)
     for t in range(1, steps):
         a, before = running[t], running[t - 1]
         if a < before:
             final[a:before] = value[a:before].argmax(axis=1)
             value = value[:a]
         at = starts[:a] + t
-        best = value.argmax(axis=1).astype(np.uint8)
+        best = value.argmax(axis=1).astype(np.int32)
         value -= value[np.arange(a), best][:, None]
         stay = value >= -switch
         came[at] = np.where(stay, own, best[:, None])
@@ -168,15 +168,17 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE,
-        most_grams: int = GRAMS) -> Model:
-    """Count n-grams and scripts in about ``sample`` texts per language, chosen by a hash of the text.
+        most_grams: int = GRAMS, id_col: str = "doc_id") -> Model:
+    """Count n-grams and scripts in about ``sample`` texts per language, chosen by a hash of id (if there is one) and text: copies of
+    a text under many ids are chosen one by one.
 
-    The driver gets at most ``most_grams`` n-grams and one row per language and script.
+    The driver gets at most ``most_grams`` n-grams and one row per script for each language.
     """
-    rows = labelled.select(col(lang_col).alias("lang"), col(text_col).alias("text")).filter(
+    named = col(id_col).cast("string") if id_col in labelled.columns else F.lit(None).cast("string")
+    rows = labelled.select(col(lang_col).alias("lang"), col(text_col).alias("text"), named.alias("id")).filter(
         "lang is not null and text is not null")
     sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "langid-sizes")
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     chosen = rows.join(sizes, "lang").filter(part * F.col("n") < F.lit(sample * (1 << 30))).select("lang", "text")
 
     def count(batches):
@@ -198,10 +200,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
                      pa.array([k for k, _ in items], pa.string()), pa.array([n for _, n in items], pa.int64())],
                     ["lang", "kind", "item", "n"])
 
-    counted = (arrow.mapped(chosen, count, "lang string, kind string, item string, n long")
-               .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
-               .groupBy("kind", "item").agg(F.collect_list(F.struct("lang", "n")).alias("ns"), F.sum("n").alias("total")))
-    kept = counted.orderBy(F.col("kind").desc(), F.col("total").desc(), "item").limit(most_grams + len(NAMES)).collect()
+    counted = written(arrow.mapped(chosen, count, "lang string, kind string, item string, n long")
+                      .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")), "langid-counts")
+    often = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
+    top = counted.withColumn("place", often).filter(F.col("place") <= most_grams).select("kind", "item").distinct()
+    kept = (counted.join(top, ["kind", "item"]).groupBy("kind", "item").agg(F.collect_list(F.struct("lang", "n")).alias("ns"))
+            .orderBy(F.desc("kind"), "item").collect())
     langs = sorted({x.lang for r in kept if r.kind == "script" for x in r.ns})
     place = {lang: i for i, lang in enumerate(langs)}
     uses = np.zeros((len(NAMES), len(langs)))
@@ -250,7 +254,7 @@ def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[f
     n_langs = len(model.langs)
     held_by = np.repeat(np.arange(len(texts)) * n_langs, lengths) + labels
     held = np.bincount(held_by, weight, len(texts) * n_langs).reshape(-1, n_langs)
-    counts = weight * lexicon.read[at] if lexicon.foreign else weight
+    counts = weight * lexicon.read[at]
     sure = np.bincount(held_by, counts * np.exp(np.take_along_axis(word_scores, labels[:, None], axis=1)[:, 0]),
                        len(texts) * n_langs).reshape(-1, n_langs)
     best = held.argmax(axis=1)
@@ -271,11 +275,8 @@ def predict_texts(lexicon: Lexicon, texts: list[str]) -> tuple[list[str], list[f
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
-            remember: int = MEMORY, foreign: bool = False) -> DataFrame:
-    """The kept columns (all by default), with lang_pred, score and lang_spans; ``remember`` bounds a worker's words.
-
-    ``foreign``: words in a script that no language uses add nothing to the score.
-    """
+            remember: int = MEMORY) -> DataFrame:
+    """The kept columns (all by default), with lang_pred, score and lang_spans; ``remember`` bounds a worker's words."""
     own = ("lang_pred", "score", "lang_spans")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -285,7 +286,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
 
     def run(batches):
         fitted = shared.value
-        lexicon = arrow.kept(("langid", id(fitted), foreign), lambda: Lexicon(fitted, remember, foreign))
+        lexicon = arrow.kept(("langid", id(fitted)), lambda: Lexicon(fitted, remember))
         for batch in batches:
             for part, texts in arrow.pieces(batch, text_col, PIECE_BYTES):
                 langs, scores, spans = predict_texts(lexicon, texts)

@@ -60,10 +60,13 @@ TEMPLATES = [
 TERM = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.\-_].*)?$"
 HEADER = r"\A(?:[ \t]*(?:#|//|/\*|\*|--|;|%|<!--)[^\n]*(?:\n|\z))+"
+# The same patterns for Java, whose repeated groups recurse once per repeat unless they give nothing back.
+TERM_ONCE = r"[a-z0-9]++(?:[.\-][a-z0-9]++)*+"
+HEADER_ONCE = r"\A(?:[ \t]*+(?:#|//|/\*|\*|--|;|%|<!--)[^\n]*+(?:\n|\z))++"
 
 
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM_ONCE), F.lit(0))
 
 
 def directory(path: Column) -> Column:
@@ -118,7 +121,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", line:
 
     of_line, of_file = holds_for(line), holds_for(whole)
     text = F.col("text")
-    header = F.regexp_extract(text, HEADER, 0)
+    header = F.regexp_extract(text, HEADER_ONCE, 0)
     # a file that starts with comments is source, and only its header speaks for the whole
     passages = F.concat(
         F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(F.lit("line").alias("kind"), i.alias("no"), x.alias("text"))),

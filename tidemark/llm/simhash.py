@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm import arrow
-from tidemark.llm.common import col, written
+from tidemark.llm.common import col, free_name, written
 from tidemark.llm.components import components
 
 BITS = 64
@@ -267,8 +267,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 2, seed: int
 
 def keep_one(docs: DataFrame, shingle: int = 3, most: int = 2, seed: int = 42, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows whose id names their component, with all columns; rows that repeat such an id stay with it."""
-    lost = written(near_duplicates(docs, shingle, most, seed, id_col, text_col)
-                   .filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("lost")), "simhash-lost")
-    # One way at every size: the texts are shuffled once by id.
-    return docs.join(lost.hint("merge"), docs[f"`{id_col}`"] == lost["lost"], "left_anti")
+    """One row of each component, with all columns: that of the smallest id, NULL last, and of rows with one id the first.
+
+    Rows are told apart by a number of their own, so an id that is used twice takes no unrelated row along.
+    """
+    row = free_name(docs, "_row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    found = near_duplicates(rows, shingle, most, seed, row, text_col).select(F.col(row).alias("n"), "component_id")
+    ids = rows.select(F.col(row).alias("n"), col(id_col).alias("id"))
+    named = written(found.join(ids, "n").select("n", "component_id", F.struct(F.col("id").isNull().alias("a"), "id", "n").alias("o")),
+                    "simhash-named")
+    first = named.groupBy("component_id").agg(F.min("o").alias("first"))
+    lost = written(named.join(first, "component_id").filter(F.col("n") != F.col("first.n")).select(F.col("n").alias("lost")),
+                   "simhash-lost")
+    # One way at every size: the texts are shuffled once by their row's number.
+    return rows.join(lost.hint("merge"), rows[row] == lost["lost"], "left_anti").drop(row)

@@ -52,7 +52,7 @@ class Vocabulary:
 
     def pieces(self, text: str):
         """(special id or None, list of words) in order; specials stand for themselves."""
-        if "<|" not in text:
+        if not any(s in text for s in self.special):
             yield None, self.pattern.findall(self.normal(text))
             return
         for i, part in enumerate(self.specials.split(text)):
