@@ -1,6 +1,6 @@
 """Queries over the test tables, each with the SQL another engine answers it with."""
 
-from checks import (extract, generated, history, jobs, loads, reports, runs, settings,  # noqa: F401
+from checks import (evolution, extract, generated, history, jobs, loads, reports, runs, settings,  # noqa: F401
                     stage, tables)
 from checks.common import REGISTRY
 

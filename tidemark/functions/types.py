@@ -150,3 +150,51 @@ def with_history(df: DataFrame, run_ts) -> DataFrame:
         "eff_start_date": F.lit(run_ts).cast("timestamp_ntz"),
         "eff_end_date": F.lit(None).cast("timestamp_ntz"),
     })
+
+
+_WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+
+
+def widened(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The narrower-to-wider join of two types that keeps every value of both as it is; None if there is none."""
+    if old == new:
+        return old
+    kinds = type(old), type(new)
+    if all(k in _WHOLE for k in kinds):
+        return max(old, new, key=lambda t: _WHOLE.index(type(t)))
+    if set(kinds) == {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if kinds == (T.DecimalType, T.DecimalType):
+        scale = max(old.scale, new.scale)
+        whole = max(old.precision - old.scale, new.precision - new.scale)
+        # files keep a decimal's scale, so only the digits before the point may grow
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 and scale == old.scale else None
+    return None
+
+
+def evolved(target: T.StructType, source: T.StructType, keys: list[str]) -> T.StructType:
+    """The target's schema after the source's columns have changed.
+
+    Columns are matched by name without case. New columns are added behind the others and are NULL in old rows; a type may only
+    grow; a column that the source lost stays and is NULL in new rows, unless it is a key or must not be NULL.
+    """
+    found = {f.name.lower(): f for f in source if f.name.lower() not in HISTORY_COLUMNS}
+    fields, history = [], []
+    for f in target:
+        if f.name.lower() in HISTORY_COLUMNS:
+            history.append(f)
+            continue
+        now = found.pop(f.name.lower(), None)
+        if now is None:
+            if f.name.lower() in [k.lower() for k in keys] or not f.nullable:
+                raise ValueError(f"the source has lost the column {f.name}")
+            fields.append(f)
+            continue
+        kind = widened(f.dataType, now.dataType)
+        if kind is None:
+            raise ValueError(f"column {f.name}: {now.dataType.simpleString()} does not fit {f.dataType.simpleString()}")
+        limits = f.metadata.get("max_length"), now.metadata.get("max_length")
+        notes = {"max_length": max(limits)} if all(limits) else dict(f.metadata)
+        fields.append(T.StructField(f.name, kind, f.nullable, notes))
+    new = [T.StructField(f.name, f.dataType, True, f.metadata) for f in found.values()]
+    return T.StructType([*fields, *new, *history])

@@ -128,7 +128,7 @@ class Target:
 
     def create(self, schema: T.StructType, keys: list[str] | None = None, slices: int = 1,
                partition: str | None = None) -> Target:
-        """Make an empty target, unless it is there. The schema is fixed from then on.
+        """Make an empty target, unless it is there. Only ``evolve`` changes its schema.
 
         ``partition`` names a date or time column of the key: loads then rewrite only the months they touch.
         """
@@ -144,6 +144,13 @@ class Target:
                           "partition": partition, "applied": {}}, [])
         return self
 
+    def evolve(self, schema: T.StructType) -> Target:
+        """A version with the same rows under a schema with more columns or wider types; nothing is rewritten."""
+        state = self._load()
+        if schema != state["schema"]:
+            self._commit({**state, "schema": schema}, state["segments"])
+        return self
+
     def applied(self, source: str) -> list[list[int]]:
         """The batches of a source that are part of the current version, as closed ranges."""
         return self._load()["applied"].get(source, [])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import fs
 from tidemark.functions.predicates import FIRST_START, name_list
-from tidemark.functions.types import column_metadata, target_schema
+from tidemark.functions.types import HISTORY_COLUMNS, column_metadata, evolved, target_schema
 from tidemark.operators.dedup import dedup
 from tidemark.operators.ledger import FAILED, SKIPPED, EXTRACT_STEPS, LOAD_STEPS, SUCCESS, SUPERSEDED, Ledger
 from tidemark.operators.merge import load_kind
@@ -117,6 +118,8 @@ def _export(run: _Run) -> None:
     mark = place.ledger.watermark(job)
     by_id = (job.get("cdc_type") or "TIMESTAMP").upper() == "ID" and name_list(job.get("cdc_columns"))
     rows = tables.extract(place.spark, job, place.read, mark, run.start, place.custom_tables, place.encryption_key)
+    if target.exists():  # a source whose columns no longer fit is refused before anything is moved
+        evolved(target.schema, target_schema(column_metadata(rows)), name_list(job.get("primary_key")))
     folder = staged.batch_folder(place.stage, job, run.batch_id)
     wanted = by_id[0] if by_id and not job.get("custom_sql") else None
     n, top = staged.write_staged(rows, folder, job.get("delimiter"), highest=wanted)
@@ -127,18 +130,28 @@ def _export(run: _Run) -> None:
 
 
 def _work_rows(place: Place, job: dict, target: Target, batches: list[int], folder: str) -> tuple[DataFrame, staged.StageCounts]:
-    """Staged batches as a typed work table with ``batch_id``; rejects are kept beside the target."""
-    schema = T.StructType([f for f in target.schema if f.name.lower() not in
-                           ("is_current", "eff_start_date", "eff_end_date")])
+    """Staged batches as a typed work table with ``batch_id``; rejects are kept beside the target.
+
+    The target takes on the columns that the batches bring. A load of which more than ``reject_share`` (1: all) of the rows do not
+    fit fails, and its batches keep waiting.
+    """
     folders = [staged.batch_folder(place.stage, job, b) for b in batches]
-    text = staged.read_text(place.spark, folders, schema, job.get("delimiter"),
-                            base=staged.table_folder(place.stage, job))
+    whole = target.schema
+    for said in filter(None, (staged.exported_schema(place.spark, f) for f in folders)):
+        whole = evolved(whole, target_schema(column_metadata(place.spark.createDataFrame([], said))), name_list(job.get("primary_key")))
+    target.evolve(whole)
+    schema = T.StructType([f for f in whole if f.name.lower() not in HISTORY_COLUMNS])
+    text = staged.read_by_name(place.spark, folders, schema, job.get("delimiter"),
+                               base=staged.table_folder(place.stage, job))
     checked = staged.check_rows(text, schema).withColumn("batch_id", F.col("batch_id").cast("long"))
     work, bad, counts = staged.materialise(checked, schema, f"{folder}/work")
     if counts.rows_rejected:
         # A folder of the batches that are loaded together: a load that is run again writes it again.
         place_of = f"{staged.source_name(job)}/load={'-'.join(map(str, batches))}"
         bad.write.mode("overwrite").parquet(f"{target.root}/_rejects/{place_of}")
+    share = float(job.get("reject_share") or 1.0)
+    if counts.rows_rejected and (not counts.rows_loaded or counts.rows_rejected > share * counts.rows_read):
+        raise ValueError(f"{counts.rows_rejected} of {counts.rows_read} rows were rejected")
     return work.drop("_file"), counts
 
 
@@ -157,13 +170,12 @@ def _ready(place: Place, job: dict, work: DataFrame, keys: list[str], kind: str,
     return place.spark.read.schema(rows.schema).parquet(folder)
 
 
-def _load(run: _Run, batches: list[int]) -> None:
-    place, job = run.place, run.job
-    target = run.step("create_table", lambda: ensure_target(place, job))
-    waiting = [b for b in batches if target.is_applied(run.token, b)]
-    batches = [b for b in batches if b not in waiting]
-    if not batches:
-        raise StepError("copy", ValueError("no files in the stage, nothing to load"))
+def load_batches(place: Place, job: dict, target: Target, token: str, batches: list[int], now: Callable[[int], datetime],
+                 step: Callable = lambda name, work: work()) -> tuple[str, LoadCounts, staged.StageCounts, list[int]]:
+    """Apply staged batches in their order; ``now`` gives the time at which the versions of a batch start.
+
+    Returns the load kind, both counts, and the batches that a later full one replaced.
+    """
     kind = load_kind(job.get("load_type"), job.get("scd_type"))
     keys = name_list(job.get("primary_key"))
     allow = bool(job.get("allow_history_loss"))
@@ -179,16 +191,29 @@ def _load(run: _Run, batches: list[int]) -> None:
     total, read = LoadCounts(), staged.StageCounts(0, 0, 0)
     for group in groups:
         folder = workspace(place.spark, f"load-{job['target_table']}")
-        work, counts = run.step("copy", lambda g=group, f=folder: _work_rows(place, job, target, g, f))
+        work, counts = step("copy", lambda g=group, f=folder: _work_rows(place, job, target, g, f))
         read = staged.StageCounts(*[a + b for a, b in zip(read, counts)])
 
         def apply(rows=work, group=group, folder=folder):
             ready = _ready(place, job, rows, keys, kind, f"{folder}/unique")
-            return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, run.now(),
-                               job.get("filter_condition"), allow, Token(run.token, tuple([*replaced, *group])))
-        total = LoadCounts(*[a + b for a, b in zip(total, run.step("merge", apply))])
+            return target.load(ready, job.get("load_type"), job.get("scd_type"), keys, now(group[-1]),
+                               job.get("filter_condition"), allow, Token(token, tuple([*replaced, *group])))
+        total = LoadCounts(*[a + b for a, b in zip(total, step("merge", apply))])
         fs.remove(place.spark, folder)  # the rows are in the target now
     target.compact()  # appends add folders; the list of them stays bounded
+    return kind, total, read, replaced
+
+
+def _load(run: _Run, batches: list[int]) -> None:
+    place, job = run.place, run.job
+    keys = name_list(job.get("primary_key"))
+    target = run.step("create_table", lambda: ensure_target(place, job))
+    applied = target.applied(run.token)  # read once, however many batches wait
+    waiting = [b for b in batches if any(low <= b <= high for low, high in applied)]
+    batches = [b for b in batches if b not in waiting]
+    if not batches:
+        raise StepError("copy", ValueError("no files in the stage, nothing to load"))
+    kind, total, read, replaced = load_batches(place, job, target, run.token, batches, lambda _: run.now(), run.step)
     log = f"{kind}: {total.rows_inserted} inserted, {total.rows_updated} updated, {total.rows_expired} expired"
     known = {"rows_extracted": read.rows_loaded} if "rows_extracted" not in run.known else {}
     run.known.update(

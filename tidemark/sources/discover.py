@@ -6,6 +6,7 @@ Parquet and catalog tables declare no key constraints, so keys are proved by cou
 from __future__ import annotations
 
 import fnmatch
+import math
 import re
 from functools import reduce
 
@@ -167,3 +168,64 @@ def catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The base tables of a catalog database."""
     return {t.name: spark.table(f"{database}.{t.name}") for t in spark.catalog.listTables(database)
             if t.tableType in ("MANAGED", "EXTERNAL")}
+
+
+# -- unique column combinations of any width ---------------------------------------------
+
+#: A sketch's error is far below this, so a combination counted lower by it is surely not unique.
+SKETCH_SLACK = 0.15
+#: Combinations that are sketched in one pass over a table.
+AT_ONCE = 60
+
+
+def _comparable(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.IntegralType, T.StringType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType,
+                                       T.BooleanType))
+
+
+def minimal_keys(df: DataFrame, width: int | None = None) -> list[tuple[str, ...]]:
+    """All minimal combinations of columns (up to ``width``) that are never NULL and tell every row apart.
+
+    The lattice of combinations is searched level by level. A combination goes on only if it holds no key, and if the product of
+    its columns' distinct counts reaches the number of rows. One pass sketches the distinct counts of a level; only
+    combinations that may be unique by their sketch are counted exactly.
+    """
+    fields = [f.name for f in df.schema if _comparable(f)]
+    facts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"v{i}") for i, c in enumerate(fields)],
+                   *[F.approx_count_distinct(f"`{c}`", 0.02).alias(f"d{i}") for i, c in enumerate(fields)]).first()
+    n = facts["n"]
+    columns = [c for i, c in enumerate(fields) if facts[f"v{i}"] == n]
+    distinct = {c: facts[f"d{i}"] * (1 + SKETCH_SLACK) + 1 for i, c in enumerate(fields)}
+    keys: list[tuple[str, ...]] = []
+    level = [(c,) for c in columns]
+    while level:
+        # a combination whose columns cannot tell so many rows apart is no key, but a wider one may be
+        able = [c for c in level if math.prod(distinct[x] for x in c) >= n]
+        sketched: dict[tuple, int] = {}
+        for s in range(0, len(able), AT_ONCE):
+            some = able[s:s + AT_ONCE]
+            row = df.agg(*[F.approx_count_distinct(F.xxhash64(*[F.col(f"`{x}`") for x in c]), 0.02).alias(f"d{i}")
+                           for i, c in enumerate(some)]).first()
+            sketched.update({c: row[f"d{i}"] for i, c in enumerate(some)})
+        for c in [c for c in able if sketched[c] >= (1 - SKETCH_SLACK) * n]:
+            if df.groupBy(*[F.col(f"`{x}`") for x in c]).count().filter("count > 1").isEmpty():
+                keys.append(c)
+        found = set(keys)
+        if width and len(level[0]) >= width:
+            break
+        alive = {c for c in level if c not in found}
+        place = {c: i for i, c in enumerate(columns)}
+        wider = []
+        for c in sorted(alive, key=lambda c: [place[x] for x in c]):
+            for x in columns[place[c[-1]] + 1:]:
+                new = (*c, x)
+                if all(new[:i] + new[i + 1:] in alive for i in range(len(new))):
+                    wider.append(new)
+        level = wider
+    return keys
+
+
+def profile_minimal_keys(spark: SparkSession, tables: dict[str, DataFrame], width: int | None = None) -> DataFrame:
+    """(table_name, columns, width) of every minimal key of some tables."""
+    rows = [(name, ", ".join(c), len(c)) for name, df in tables.items() for c in minimal_keys(df, width)]
+    return spark.createDataFrame(rows, "table_name string, columns string, width int")

@@ -7,6 +7,8 @@ goes on.
 
 from __future__ import annotations
 
+import json
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -68,6 +70,33 @@ def rows_for(rows: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     return max(1, int(file_bytes / mean)) if mean else 1
 
 
+def _beside(folder: str, kind: str) -> str:
+    """A small file about a batch, beside its folder: a batch's folder holds its data only."""
+    parent, name = folder.rstrip("/").rsplit("/", 1)
+    return f"{parent}/{kind}/{name}.json"
+
+
+def exported_schema(spark: SparkSession, folder: str) -> T.StructType | None:
+    """The columns of a batch in the order of its files; None for a batch of an export that did not say."""
+    text = fs.read_text(spark, _beside(folder, "_columns"))
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def announce(spark: SparkSession, folder: str) -> None:
+    """Say that a batch is finished, for streams: a marker beside the batches, which carries its folder."""
+    batch = folder.rstrip("/").rsplit("batch_id=", 1)
+    if len(batch) == 2 and batch[1].isdigit():
+        fs.write_text(spark, _beside(folder, "finished"), json.dumps({"batch_id": int(batch[1])}))
+
+
+def announce_missing(spark: SparkSession, stage: str, job: dict) -> None:
+    """Announce finished batches whose export died before it could."""
+    known = set(fs.children(spark, f"{table_folder(stage, job)}/finished"))
+    for batch in pending_batches(spark, stage, job):
+        if f"batch_id={batch}.json" not in known:
+            announce(spark, batch_folder(stage, job, batch))
+
+
 def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, files: int | None = None,
                  rows_per_file: int | None = None, highest: str | None = None,
                  file_bytes: int = FILE_BYTES) -> tuple[int, int | None]:
@@ -78,6 +107,8 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
     """
     if fs.exists(rows.sparkSession, f"{folder}/_SUCCESS"):
         raise FileExistsError(f"{folder} holds an export already")
+    # before the data, so that a finished batch always says which columns its files hold
+    fs.write_text(rows.sparkSession, _beside(folder, "_columns"), json.dumps(rows.schema.jsonValue()))
     seen = Observation()
     rows_per_file = rows_per_file or rows_for(rows, file_bytes)
     rows = rows.repartition(files) if files else rows
@@ -86,6 +117,7 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
     (as_text(rows).observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top"))
      .write.mode("overwrite").options(**csv_options(delimiter)).option("quoteAll", "true")
      .option("compression", "gzip").option("maxRecordsPerFile", rows_per_file).csv(folder))
+    announce(rows.sparkSession, folder)
     return seen.get["n"], seen.get["top"]
 
 
@@ -110,6 +142,25 @@ def read_text(spark: SparkSession, folders: list[str] | str, schema: T.StructTyp
     return rows.withColumn("_file", F.col("_metadata.file_path"))
 
 
+def read_by_name(spark: SparkSession, folders: list[str], schema: T.StructType, delimiter: str | None = None,
+                 base: str | None = None) -> DataFrame:
+    """Like ``read_text``, but every value goes to the column of its name, whatever the order in its batch; columns that a batch
+    does not have are NULL. Batches that do not say which columns they hold are read by position."""
+    by_columns: dict[tuple, list[str]] = {}
+    for folder in folders:
+        said = exported_schema(spark, folder)
+        by_columns.setdefault(tuple(said.names) if said else tuple(schema.names), []).append(folder)
+    parts = []
+    for names, group in by_columns.items():
+        held = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        rows = read_text(spark, group, held, delimiter, base)
+        place = {n.lower(): f"_c{i}" for i, n in enumerate(names)}
+        extra = [c for c in rows.columns if c not in held.names and c != "_bad"]
+        parts.append(rows.select(*[(F.col(place[f.name.lower()]) if f.name.lower() in place else F.lit(None).cast("string")).alias(f.name)
+                                   for f in schema], "_bad", *extra))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _without_markers(name: str) -> Column:
     value = F.col(f"`{name}`")
     return F.when(~value.isin(NULL_MARKERS), value)
@@ -215,4 +266,7 @@ def archive(spark: SparkSession, stage: str, job: dict, batch_id: int, archive_r
         if fs.exists(spark, place):
             raise FileExistsError(f"{place} is in the archive already")
         fs.move(spark, source, place)
+        for kind in ("_columns", "finished"):
+            if fs.exists(spark, _beside(source, kind)):
+                fs.move(spark, _beside(source, kind), _beside(place, kind))
     return place

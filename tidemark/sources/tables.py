@@ -39,6 +39,36 @@ def jdbc_reader(spark: SparkSession, options: dict[str, str], split_column: str
     return read
 
 
+def split_bounds(rows: DataFrame, column: str, splits: int, accuracy: int = 10_000) -> list:
+    """Values that cut a column into about equal numbers of rows: a quantile sketch, merged from partial ones. Fewer than asked for
+    where one value holds more rows than a split."""
+    at = [i / splits for i in range(1, splits)]
+    found = rows.agg(F.percentile_approx(F.col(column), at, accuracy).alias("q")).first()["q"] if at else []
+    return sorted(set(found or []))
+
+
+def split_conditions(column: str, bounds: list) -> list[str]:
+    """One condition per split, as SQL text for a partitioned read: together they take every row once, NULLs with the first."""
+    def text(value) -> str:
+        return str(value) if isinstance(value, (int, float)) else f"'{value}'"
+
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{column} > {text(a)} AND {column} <= {text(b)}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} <= {text(bounds[0])} OR {column} IS NULL", *inner, f"{column} > {text(bounds[-1])}"]
+
+
+def jdbc_split_reader(spark: SparkSession, options: dict[str, str], bounds: Callable[[dict], tuple[str, list] | None]) -> Reader:
+    """Read over JDBC with splits of each job's own: ``bounds`` gives a job's split column and its bounds, or None."""
+    def read(job: dict) -> DataFrame:
+        split, name = bounds(job), f"{job['source_schema']}.{job['source_table']}"
+        if split is None:
+            return spark.read.format("jdbc").options(**options).option("dbtable", name).load()
+        rest = {k: v for k, v in options.items() if k != "url"}
+        return spark.read.jdbc(options["url"], name, predicates=split_conditions(*split), properties=rest)
+    return read
+
+
 def run_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame], start=None, end=None) -> DataFrame:
     """A user query over named tables (``{orders}``), with the window as ``:extract_start_dttm``
     and ``:extract_end_dttm``."""
