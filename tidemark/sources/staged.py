@@ -266,7 +266,7 @@ def archive(spark: SparkSession, stage: str, job: dict, batch_id: int, archive_r
         if fs.exists(spark, place):
             raise FileExistsError(f"{place} is in the archive already")
         fs.move(spark, source, place)
-        for kind in ("_columns", "finished"):
-            if fs.exists(spark, _beside(source, kind)):
-                fs.move(spark, _beside(source, kind), _beside(place, kind))
+        fs.remove(spark, _beside(source, "finished"))  # it is loaded: no stream needs to hear of it
+        if fs.exists(spark, _beside(source, "_columns")):
+            fs.move(spark, _beside(source, "_columns"), _beside(place, "_columns"))
     return place
