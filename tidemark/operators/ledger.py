@@ -6,7 +6,9 @@ The state of a job in a batch is, per column, the last value that was set.
 
 from __future__ import annotations
 
+import json
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -38,6 +40,8 @@ VALUE_FIELDS = ([T.StructField(n, T.StringType()) for n in _TEXT]
                 + [T.StructField(f"{s}_{k}", T.StringType()) for s in STEPS for k in ("status", "log")])
 EVENT_SCHEMA = T.StructType(ID_FIELDS + [T.StructField("seq", T.LongType())] + VALUE_FIELDS)
 STATE_SCHEMA = T.StructType(ID_FIELDS + VALUE_FIELDS)
+_DATED = T.StructType(ID_FIELDS + [T.StructField(f.name, T.StructType([T.StructField("at", T.LongType()), T.StructField(
+    "value", f.dataType)])) for f in VALUE_FIELDS])
 
 
 def fold(events: DataFrame, order: str = "seq") -> DataFrame:
@@ -47,6 +51,25 @@ def fold(events: DataFrame, order: str = "seq") -> DataFrame:
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in names])
 
 
+def dated(events: DataFrame, order: str = "seq") -> DataFrame:
+    """Every value as (value, when it was set), NULL where the event sets nothing: what partial folds are made of."""
+    names = [c for c in events.columns if c not in ("batch_id", "job_id", order)]
+    return events.select("batch_id", "job_id", *[
+        F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("at"), F.col(c).alias("value"))).alias(c) for c in names])
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """Partial folds added up, in the same form."""
+    names = [c for c in parts.columns if c not in ("batch_id", "job_id")]
+    return parts.groupBy("batch_id", "job_id").agg(*[F.max(c).alias(c) for c in names])
+
+
+def plain(folded: DataFrame) -> DataFrame:
+    """The values of a fold without their times."""
+    return folded.select("batch_id", "job_id", *[F.col(f"{c}.value").alias(c) for c in folded.columns
+                                                 if c not in ("batch_id", "job_id")])
+
+
 def next_batch_id(ledger: DataFrame) -> DataFrame:
     """One row: the id after the highest batch, or the first id for an empty ledger."""
     return ledger.agg(F.coalesce(F.max("batch_id") + 1, F.lit(FIRST_BATCH).cast("long")).alias("batch_id"))
@@ -146,6 +169,7 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._checkpoints, self._old = f"{self.path}/_checkpoints", f"{self.path}/_old"
 
     def append(self, rows: DataFrame) -> None:
         # A folder of its own per append: jobs that end at the same time do not share a committer.
@@ -163,16 +187,91 @@ class Ledger:
 
     def exporters(self, paths: list[str]) -> dict[int, int]:
         """The job that wrote each of these exports, by batch id."""
-        found = self.events().where(F.col("export_path").isin(paths)).select("batch_id", "job_id").distinct()
+        found = plain(self._folded("export_path")).where(F.col("export_path").isin(paths)).select("batch_id", "job_id")
         return {r["batch_id"]: r["job_id"] for r in found.collect()}  # one row per path
 
+    def exported(self, job: dict) -> dict[int, datetime]:
+        """Window end of every successful export of one source table, by batch id."""
+        state = self._of_table(job, "export_status", "window_end").where(F.col("export_status") == SUCCESS)
+        found = state.where("window_end is not null").groupBy("batch_id").agg(F.max("window_end").alias("end"))
+        return {r["batch_id"]: r["end"] for r in found.collect()}  # one row per batch
+
     def events(self) -> DataFrame:
-        if not fs.exists(self.spark, self.path):
+        """All events ever, those that a checkpoint holds too."""
+        folders = [f for f in (self.path, self._old) if fs.exists(self.spark, f)]
+        return self._read(folders)
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], EVENT_SCHEMA)
-        return self.spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
+        return self.spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(*folders)
+
+    def _folders(self) -> list[str]:
+        return [n for n in fs.children(self.spark, self.path)
+                if not n.startswith("_") and fs.exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+
+    def _manifests(self) -> dict[tuple[int, str], str]:
+        """Checkpoints that are there, as (number, name of the state) -> file."""
+        files = [n for n in fs.children(self.spark, self._checkpoints) if n.endswith(".json") and not n.startswith("_")]
+        return {(int(n.split("-")[0]), n[:-5].split("-")[1]): n for n in files}
+
+    def _parts(self) -> tuple[tuple[int, str], list[str], list[str]]:
+        """Newest checkpoint ((0, "") if none), the event folders it covers that still lie in the log, and those written since."""
+        while True:
+            found = self._manifests()
+            last = max(found, default=(0, ""))
+            text = fs.read_text(self.spark, f"{self._checkpoints}/{found[last]}") if found else "[]"
+            names = self._folders()
+            if max(self._manifests(), default=(0, "")) == last:  # folders move only once a newer checkpoint is there
+                covers = set(json.loads(text))
+                return last, [n for n in names if n in covers], [n for n in names if n not in covers]
+
+    def _folded(self, *columns: str) -> DataFrame:
+        """The fold of these columns: the newest checkpoint and the events since, whatever the length of the log."""
+        last, _, tail = self._parts()
+        return self._fold_of(last, tail, columns)
+
+    def _fold_of(self, last: tuple[int, str], tail: list[str], columns: tuple[str, ...] = ()) -> DataFrame:
+        names = list(columns) or [f.name for f in VALUE_FIELDS]
+        since = dated(self._read([f"{self.path}/{n}" for n in tail]).select("batch_id", "job_id", "seq", *names))
+        if last[0]:
+            since = since.unionByName(self.spark.read.schema(_DATED).parquet(f"{self._checkpoints}/state_{last[1]}")
+                                      .select("batch_id", "job_id", *names))
+        return merged(since)
+
+    def checkpoint(self, at_least: int = 1) -> int | None:
+        """Fold what was written since the last checkpoint into a new one, if that is ``at_least`` so many event folders.
+
+        Its number is returned. A checkpoint is there once the list of what it covers is; one that dies halfway changes
+        nothing, and of two that are made at once one is used. Event folders stay for one more checkpoint, for readers that
+        listed them, and then move aside, so that the log keeps every event and listing it stays short.
+        """
+        last, covered, tail = self._parts()
+        if len(tail) < at_least:
+            return None
+        number, name = last[0] + 1, uuid.uuid4().hex
+        self._fold_of(last, tail).write.parquet(f"{self._checkpoints}/state_{name}")
+        fs.write_text(self.spark, f"{self._checkpoints}/{number}-{name}.json", json.dumps([*covered, *tail]))
+        for folder in covered:
+            try:
+                fs.move(self.spark, f"{self.path}/{folder}", f"{self._old}/{folder}")
+            except Exception:  # another caller has moved it
+                if fs.exists(self.spark, f"{self.path}/{folder}"):
+                    raise
+        for (n, state), file in self._manifests().items():
+            if n < number - 1:
+                fs.remove(self.spark, f"{self._checkpoints}/{file}")
+                fs.remove(self.spark, f"{self._checkpoints}/state_{state}")
+        return number
 
     def state(self) -> DataFrame:
-        return cascade(fold(self.events()))
+        return cascade(plain(self._folded()))
+
+    def _of_table(self, job: dict, *columns: str) -> DataFrame:
+        state = plain(self._folded(*dict.fromkeys([*_table_key(), *columns])))
+        for name in _table_key():
+            state = state.where(F.col(name) == job[name])
+        return state
 
     def write_audit(self, folder: str, batch_id: int, job_id: int) -> None:
         """Append what the audit table keeps of one run."""
@@ -180,14 +279,16 @@ class Ledger:
         rows.write.parquet(f"{folder.rstrip('/')}/{uuid.uuid4().hex}")
 
     def compact(self) -> None:
-        """Write all events again as few files, then drop the old folders. Run while no job runs."""
-        old = fs.children(self.spark, self.path)
-        self.append(self.events().hint("rebalance"))
-        for name in old:
+        """Write the events since the last checkpoint again as few files, then drop their old folders. Run while no job runs."""
+        _, _, tail = self._parts()
+        if not tail:
+            return
+        self.append(self._read([f"{self.path}/{n}" for n in tail]).hint("rebalance"))
+        for name in tail:
             fs.remove(self.spark, f"{self.path}/{name}")
 
     def next_batch_id(self) -> int:
-        return next_batch_id(self.events()).first()["batch_id"]
+        return next_batch_id(self._folded("execution_mode")).first()["batch_id"]
 
     def watermark(self, job: dict) -> dict | None:
         """The last staged window of one source table, or None before its first extract.
@@ -195,9 +296,6 @@ class Ledger:
         A run whose load failed counts: its files wait in the stage and go in with the next load, so
         extracting them again would load them twice.
         """
-        needed = [*_table_key(), "execution_mode", "export_status", "window_start", "window_end", "max_id"]
-        state = fold(self.events().select("batch_id", "job_id", "seq", *needed))
-        for name in _table_key():
-            state = state.where(F.col(name) == job[name])
+        state = self._of_table(job, "execution_mode", "export_status", "window_start", "window_end", "max_id")
         found = watermarks(state, "export_status").first()
         return found.asDict() if found else None

@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import fs
-from tidemark.functions.predicates import FIRST_START, name_list
+from tidemark.functions.predicates import FIRST_START, extract_condition, name_list
 from tidemark.functions.types import HISTORY_COLUMNS, column_metadata, evolved, target_schema
 from tidemark.operators.dedup import dedup
 from tidemark.operators.ledger import FAILED, SKIPPED, EXTRACT_STEPS, LOAD_STEPS, SUCCESS, SUPERSEDED, Ledger
@@ -21,9 +21,12 @@ from tidemark.operators.target import LoadCounts, Target, Token
 from tidemark.plans.replay import fold_batches
 from tidemark.session import workspace
 from tidemark.sources import config, staged, tables
+from tidemark.sources.late import Receipts, with_late
 
 # Execution modes; INGEST is the older name of LOAD.
 MODES = ["FULL", "EXPORT", "LOAD"]
+# Event folders after which a run folds the ledger into a checkpoint.
+CHECKPOINT_EVENTS = 256
 
 RESULT_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("status", T.StringType()),
@@ -110,6 +113,33 @@ def ensure_target(place: Place, job: dict) -> Target:
                          int(job.get("slices") or 1), job.get("partition_column"))
 
 
+def _lookback(job: dict) -> timedelta:
+    """How far before the last window a job looks for changes that were committed late; nothing unless its settings say so."""
+    by_time = (job.get("load_type") or "full").lower() == "incremental" and (job.get("cdc_type") or "TIMESTAMP").upper() == "TIMESTAMP"
+    if not by_time or job.get("custom_sql") or not name_list(job.get("cdc_columns")):
+        return timedelta(0)
+    return timedelta(seconds=int(job.get("lookback_seconds") or 0))
+
+
+def _changed(run: _Run, mark: dict | None) -> DataFrame:
+    """The rows that one run of a job with a lookback moves, and a receipt of them. They are written first, so that receipt and
+    stage hold the same rows whatever the source does meanwhile."""
+    place, job = run.place, run.job
+    source, times = place.read(job), name_list(job["cdc_columns"])
+    receipts = Receipts(place.spark, f"{place.targets}/_receipts/{staged.source_name(job)}")
+    if mark and mark["window_end"]:
+        exported = place.ledger.exported(job)
+        since = receipts.since(exported, mark["window_end"], _lookback(job))
+        rows = with_late(source, times, mark["window_end"], run.start, since, receipts.read(exported, since, source, times))
+    else:
+        rows = tables.select_rows(source, extract_condition(job, mark, run.start))
+    folder = workspace(place.spark, f"export-{job['source_table']}")
+    rows.write.parquet(folder)
+    rows = place.spark.read.schema(rows.schema).parquet(folder)
+    receipts.add(rows, times, run.batch_id)
+    return tables.prepare(rows, job, place.encryption_key)
+
+
 def _export(run: _Run) -> None:
     place, job = run.place, run.job
     target = place.target(job)
@@ -117,7 +147,10 @@ def _export(run: _Run) -> None:
         raise ValueError(f"batch {run.batch_id} of {run.token} is in the target already")
     mark = place.ledger.watermark(job)
     by_id = (job.get("cdc_type") or "TIMESTAMP").upper() == "ID" and name_list(job.get("cdc_columns"))
-    rows = tables.extract(place.spark, job, place.read, mark, run.start, place.custom_tables, place.encryption_key)
+    if _lookback(job):
+        rows = _changed(run, mark)
+    else:
+        rows = tables.extract(place.spark, job, place.read, mark, run.start, place.custom_tables, place.encryption_key)
     if target.exists():  # a source whose columns no longer fit is refused before anything is moved
         evolved(target.schema, target_schema(column_metadata(rows)), name_list(job.get("primary_key")))
     folder = staged.batch_folder(place.stage, job, run.batch_id)
@@ -311,6 +344,7 @@ def run_many(place: Place, jobs: list[dict], mode: str | None = None, batch_id:
 
     with ThreadPoolExecutor(at_once) as threads:
         results = list(threads.map(inheritable_thread_target(spark)(one), zip(ids, jobs)))
+    place.ledger.checkpoint(CHECKPOINT_EVENTS)
     return spark.createDataFrame([tuple(r[f.name] for f in RESULT_SCHEMA) for r in results],
                                  RESULT_SCHEMA).orderBy("table_name")
 
