@@ -236,3 +236,27 @@ def export_then_load(spark, sf):
     done = jobs.run_table(place, settings, "LOAD", 10002, datetime(2030, 1, 2))
     assert done["status"] == "SUCCESS", done
     return place.target(settings).read()
+
+
+_LATE = "o_orderstatus = 'P' AND o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '1998-09-01'"
+
+
+@check(f"""SELECT o_orderkey, o_totalprice, o_orderdate,
+            CASE WHEN o_orderdate >= TIMESTAMP '1999-03-01' THEN 3 WHEN o_orderdate >= TIMESTAMP '1998-09-01' OR ({_LATE}) THEN 2
+              ELSE 1 END AS run FROM orders WHERE o_orderdate < TIMESTAMP '1999-06-01'""")
+def cdc_late_commit(spark, sf):
+    """Three appending runs. Some orders of one summer are committed after the first; each row is moved once, by the first run that can see it."""
+    root = workspace(spark, "run")
+    orders = parquet_reader(spark, sf)({"source_table": "orders"})
+    seen = [orders.where(f"NOT ({_LATE})".replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))]
+    place = jobs.Place(spark, lambda job: seen[0], f"{root}/stage", f"{root}/targets", Ledger(spark, f"{root}/ledger"))
+    settings = _settings("orders", "incremental", 0, "o_orderkey", cdc_columns="o_orderdate", job_id=1,
+                         lookback_seconds=120 * 86400)
+    parts = []
+    for run, day in enumerate(["1998-09-01", "1999-03-01", "1999-06-01"], 1):
+        jobs.run_table(place, settings, "EXPORT", run, datetime.fromisoformat(day))
+        seen[0] = orders
+        rows = staged.read_text(spark, staged.batch_folder(place.stage, settings, run), orders.schema, "|")
+        parts.append(staged.good_rows(staged.check_rows(rows, orders.schema), orders.schema).select(
+            "o_orderkey", "o_totalprice", "o_orderdate", F.lit(run).alias("run")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

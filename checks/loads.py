@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.common import check, table
 from checks.history import scd2_sql
 from tidemark.functions.types import column_metadata, target_schema, with_history
-from tidemark.operators import merge
+from tidemark.operators import merge, narrow
 from tidemark.operators.dedup import dedup
 from tidemark.operators.target import Target
 from tidemark.session import workspace
@@ -59,6 +59,13 @@ def scd1_upsert(spark, sf):
     return merge.scd1(table(spark, sf, "orders"), orders_delta(spark, sf), ["O_ORDERKEY"])
 
 
+@check(f"""WITH {_DELTA} SELECT * FROM delta UNION ALL
+          SELECT * FROM orders WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = orders.o_orderkey)""")
+def scd1_filtered(spark, sf):
+    """The upsert with orders that cannot match sent around its join."""
+    return narrow.upsert_filtered(table(spark, sf, "orders"), orders_delta(spark, sf), ["O_ORDERKEY"])
+
+
 @check(f"""WITH {_DELTA} SELECT
             (SELECT count(*) FROM delta d WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = d.o_orderkey))
               AS rows_inserted,
