@@ -171,6 +171,9 @@ def test_custom_query_job(spark, place):
     done = jobs.run_table(place, job, "FULL", 10000, datetime(2024, 1, 3))
     assert done["status"] == "SUCCESS", done
     assert [tuple(r) for r in place.target(job).read().collect()] == [("a", 1)]
+    again = jobs.run_table(place, job, "FULL", 10001, datetime(2024, 1, 9))  # its columns still fit the target
+    assert again["status"] == "SUCCESS", again
+    assert sorted(tuple(r) for r in place.target(job).read().collect()) == [("a", 1), ("b", 1)]
 
 
 def test_empty_ledger(spark, place):

@@ -92,11 +92,13 @@ class _Run:
             raise StepError(name, error) from error
 
 
+def _query(place: Place, job: dict) -> DataFrame:
+    """A job's custom query over a window without rows: what its columns are."""
+    return tables.run_query(place.spark, job["custom_sql"], place.custom_tables, FIRST_START, FIRST_START)
+
+
 def _source_schema(place: Place, job: dict) -> T.StructType:
-    if job.get("custom_sql"):
-        rows = tables.run_query(place.spark, job["custom_sql"], place.custom_tables, FIRST_START, FIRST_START)
-    else:
-        rows = place.read(job)
+    rows = _query(place, job) if job.get("custom_sql") else place.read(job)
     if name_list(job.get("encryption_columns")):
         secret = {c.lower() for c in name_list(job["encryption_columns"])}
         rows = rows.select(*[F.col(c).cast("string").alias(c) if c.lower() in secret else F.col(c)
@@ -151,11 +153,13 @@ def _export(run: _Run) -> None:
         rows = _changed(run, mark)
     else:
         rows = tables.extract(place.spark, job, place.read, mark, run.start, place.custom_tables, place.encryption_key)
+    # the files of a query have numbered columns; what they are called is the query's to say
+    named = _query(place, job) if job.get("custom_sql") else rows
     if target.exists():  # a source whose columns no longer fit is refused before anything is moved
-        evolved(target.schema, target_schema(column_metadata(rows)), name_list(job.get("primary_key")))
+        evolved(target.schema, target_schema(column_metadata(named)), name_list(job.get("primary_key")))
     folder = staged.batch_folder(place.stage, job, run.batch_id)
     wanted = by_id[0] if by_id and not job.get("custom_sql") else None
-    n, top = staged.write_staged(rows, folder, job.get("delimiter"), highest=wanted)
+    n, top = staged.write_staged(rows, folder, job.get("delimiter"), highest=wanted, columns=named.schema)
     first = datetime.fromisoformat(FIRST_START)
     run.note(export_status=SUCCESS, upload_status=SUCCESS, export_path=folder, rows_extracted=n,
              window_start=(mark or {}).get("window_end") or first, window_end=run.start,

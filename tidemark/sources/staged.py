@@ -99,8 +99,8 @@ def announce_missing(spark: SparkSession, stage: str, job: dict) -> None:
 
 def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, files: int | None = None,
                  rows_per_file: int | None = None, highest: str | None = None,
-                 file_bytes: int = FILE_BYTES) -> tuple[int, int | None]:
-    """Export rows as text, every value quoted.
+                 file_bytes: int = FILE_BYTES, columns: T.StructType | None = None) -> tuple[int, int | None]:
+    """Export rows as text, every value quoted. ``columns`` says what they are called where the rows' own names are numbers only.
 
     Returns how many rows there were and the highest value of the id column ``highest``, both
     taken from the very rows that were written. A complete export is never overwritten.
@@ -108,7 +108,7 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
     if fs.exists(rows.sparkSession, f"{folder}/_SUCCESS"):
         raise FileExistsError(f"{folder} holds an export already")
     # before the data, so that a finished batch always says which columns its files hold
-    fs.write_text(rows.sparkSession, _beside(folder, "_columns"), json.dumps(rows.schema.jsonValue()))
+    fs.write_text(rows.sparkSession, _beside(folder, "_columns"), json.dumps((columns or rows.schema).jsonValue()))
     seen = Observation()
     rows_per_file = rows_per_file or rows_for(rows, file_bytes)
     rows = rows.repartition(files) if files else rows
