@@ -9,10 +9,15 @@ every vector goes to its cell, and a cell that holds more than ``BLOCK`` vectors
 Each block is a row: its vectors, and a kd-tree over them that is built when it is searched.
 
 Search. A query first searches a block of its own cell, which bounds the distance d_k of its k-th neighbour. Then
-blocks of queries go to all other blocks that the bound does not rule out. Within a block leaves come in
+groups of queries go to all other blocks that the bound does not rule out. Within a block leaves come in
 ascending order of their projected distance r, and their vectors are verified by true inner products. The search stops when
 P(chi-square <= r^2 / d_k^2) reaches ``CONFIDENCE``: each vector nearer than d_k would by then have been met with
-that probability. Only candidates that beat the bound leave a block; the k best of them are the result.
+that probability. A task holds a bin of neighbouring blocks, each with its tree, and takes its queries through all of them, the
+bound tightening on the way; only the k best that beat it leave the task.
+
+Traffic. Bins are as large as ``BIN_BYTES`` allows (and at least ``BINS``, so that all cores have work), and a strip of up to
+``STRIP`` groups of queries shares one copy of a bin. With n vectors, q queries, b bins and s strips at most b * q + s * n
+vectors are moved: in proportion to the rows until one bin or one strip is full, then q * n over the size of a bin and of a strip.
 
 Copies. Of equal vectors the k + 1 with the smallest ids are kept before anything is shuffled: more can never be among the
 k nearest of a query, itself left out.
@@ -35,8 +40,10 @@ from tidemark.llm.common import col, written
 
 #: Projections (an even number), and the confidence of the stopping test.
 DIMS, CONFIDENCE = 8, 0.95
-#: Vectors in a block, vectors in a leaf, queries in a block.
-BLOCK, LEAF, QUERIES = 16384, 256, 256
+#: Vectors in a block, vectors in a leaf, queries in a group.
+BLOCK, LEAF, QUERIES = 4096, 256, 256
+#: Bytes of vectors in a bin of blocks, bins at least (if there are as many blocks), groups of queries that share a bin's copy.
+BIN_BYTES, BINS, STRIP = 64 << 20, 16, 256
 #: Levels of the fitted tree at most (so 2 ** LEVELS cells), and vectors it is fitted to at most, about.
 LEVELS, SAMPLE = 12, 20_000
 
@@ -160,6 +167,16 @@ def _box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
+def _merged(one, other, k: int, bound: float):
+    """The k best of two lists of (ids, scores), and the score that k of them reach."""
+    ids, scores = np.concatenate([one[0], other[0]]), np.concatenate([one[1], other[1]])
+    if len(ids) >= k:
+        best = np.lexsort((ids, -scores))[:k]
+        ids, scores = ids[best], scores[best]
+        bound = max(bound, float(scores.min()))
+    return (ids, scores), bound
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec) of the rows that take part."""
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -246,34 +263,52 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     groups = written(_dealt(queries, QUERIES, F.col("id")).groupBy("cell", "part").applyInArrow(
         pack_queries, "q_cell int, q_part int, q_ids array<long>, q_vecs array<double>"), "ann-queries")
 
-    def compare(batches):
-        projection, _ = tools.value
-        at, tree = None, None
-        for batch in batches:
-            names = batch.schema.names
-            for i in range(batch.num_rows):
-                cell = {name: batch.column(j)[i] for j, name in enumerate(names)}
-                key = cell["cell"].as_py(), cell["part"].as_py()
-                if key != at:
-                    x = cell["vecs"].values.to_numpy().reshape(-1, length)
-                    at, tree = key, Block(cell["ids"].values.to_numpy(), x, projection.vectors(x))
-                q = cell["q_vecs"].values.to_numpy().reshape(-1, length)
-                q_ids = cell["q_ids"].values.to_numpy()
-                bounds = cell["bounds"].values.to_numpy() if "bounds" in cell else np.full(len(q), -np.inf)
-                distances = _box_distances(projection.queries(q), tree.low, tree.high)
-                found = [tree.search(int(q_ids[j]), q[j], distances[j], projection.norm, k,
-                                     float(bounds[j]), quantile) for j in range(len(q))]
-                sizes = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, sizes)), pa.array(np.repeat(np.arange(len(q)), sizes), pa.int32()),
-                     pa.array(np.full(sum(sizes), cell["q_cell"].as_py()), pa.int32()),
-                     pa.array(np.full(sum(sizes), cell["q_part"].as_py()), pa.int32()),
-                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
-                    ["query_id", "q_at", "q_cell", "q_part", "vec_id", "score"])
+    def compare(bounded):
+        """A cogroup of blocks and groups of queries: the k best of each query; a block already searched is left out."""
+        def run(blocks: pa.Table, groups: pa.Table) -> pa.Table:
+            projection, _ = tools.value
+            trees = []
+            for batch in blocks.select(["cell", "part", "ids", "vecs"]).to_batches() if groups.num_rows else []:
+                for i in range(batch.num_rows):
+                    x = batch.column(3)[i].values.to_numpy().reshape(-1, length)
+                    trees.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
+                                  Block(batch.column(2)[i].values.to_numpy(), x, projection.vectors(x))))
+            parts = [[pa.array([], t) for t in kinds]]
+            for batch in groups.select(["q_cell", "q_part", "q_ids", "q_vecs", *bounded]).to_batches() if trees else []:
+                for i in range(batch.num_rows):
+                    own = batch.column(0)[i].as_py()
+                    q_ids = batch.column(2)[i].values.to_numpy()
+                    q = batch.column(3)[i].values.to_numpy().reshape(-1, length)
+                    bounds = batch.column(4)[i].values.to_numpy().copy() if bounded else np.full(len(q), -np.inf)
+                    best = [(np.empty(0, np.int64), np.empty(0))] * len(q)
+                    points = projection.queries(q)
+                    for cell, part, tree in trees:
+                        if bounded and (cell, part) == (own, 0):
+                            continue
+                        distances = _box_distances(points, tree.low, tree.high)
+                        for j in range(len(q)):
+                            ids, scores = tree.search(int(q_ids[j]), q[j], distances[j], projection.norm, k,
+                                                      float(bounds[j]), quantile)
+                            if len(ids):
+                                best[j], bounds[j] = _merged(best[j], (ids, scores), k, float(bounds[j]))
+                    sizes = [len(ids) for ids, _ in best]
+                    parts.append([
+                        pa.array(np.repeat(q_ids, sizes)), pa.array(np.repeat(np.arange(len(q)), sizes), pa.int32()),
+                        pa.array(np.full(sum(sizes), own), pa.int32()),
+                        pa.array(np.full(sum(sizes), batch.column(1)[i].as_py()), pa.int32()),
+                        pa.array(np.concatenate([ids for ids, _ in best])), pa.array(np.concatenate([x for _, x in best]))])
+            return pa.table([pa.concat_arrays(list(column)) for column in zip(*parts)],
+                            ["query_id", "q_at", "q_cell", "q_part", "vec_id", "score"])
+        return run
 
+    kinds = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.float64()
     out = "query_id long, q_at int, q_cell int, q_part int, vec_id long, score double"
-    home = blocks.filter("part = 0").join(groups, F.col("cell") == F.col("q_cell")).repartition("q_cell", "q_part")
-    near = written(arrow.mapped(home.sortWithinPartitions("cell", "part"), compare, out), "ann-home")
+    strip = F.floor(F.col("q_part") / STRIP)
+    asking = groups.withColumn("strip", strip)
+    homes = (blocks.filter("part = 0").join(asking.select(F.col("q_cell").alias("cell"), F.col("strip").alias("copy")).distinct(), "cell")
+             .select("cell", "copy", "part", "ids", "vecs"))
+    near = written(homes.groupBy("cell", "copy").cogroup(asking.groupBy("q_cell", "strip"))
+                   .applyInArrow(compare([]), out), "ann-home")
     # the score that k candidates of the own cell reach already; none if there were fewer
     reached = near.groupBy("q_cell", "q_part", "q_at").agg(
         F.when(F.count("*") >= k, F.min("score")).otherwise(float("-inf")).alias("bound"))
@@ -285,33 +320,48 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
             lambda i: F.coalesce(F.element_at("known", i), F.lit(float("-inf"))))).drop("known"), "ann-bounds")
     boxes = blocks.groupBy("cell").agg(
         F.max("part").alias("last"), *[F.min(F.col("low")[d]).alias(f"l{d}") for d in range(dims)],
-        *[F.max(F.col("high")[d]).alias(f"h{d}") for d in range(dims)]).toArrow()  # one row per cell
+        *[F.max(F.col("high")[d]).alias(f"h{d}") for d in range(dims)]).orderBy("cell").toArrow()  # one row per cell
     edges = [np.stack([boxes.column(f"{side}{d}").to_numpy() for d in range(dims)], axis=1) for side in "lh"]
-    room = spark.sparkContext.broadcast((boxes.column("cell").to_numpy(), boxes.column("last").to_numpy(), *edges))
+    # blocks are numbered in the order of the tree, and neighbours share a bin
+    sizes = boxes.column("last").to_numpy().astype(np.int64) + 1
+    before = np.cumsum(sizes) - sizes
+    total = int(sizes.sum())
+    bins = min(total, max(BINS, math.ceil(n * length * 8 / BIN_BYTES)))
+    numbered = spark.createDataFrame(list(zip(boxes.column("cell").to_pylist(), before.tolist())), "cell int, before long")
+    room = spark.sparkContext.broadcast((boxes.column("cell").to_numpy(), before, sizes, *edges))
 
     def route(batches):
+        """Each group of queries once for each bin that may hold a neighbour."""
         projection, _ = tools.value
-        cells, last, low, high = room.value
+        cells, before, sizes, low, high = room.value
         for batch in batches:
             for i in range(batch.num_rows):
-                q = batch.column(2)[i].values.to_numpy().reshape(-1, length)
-                bounds = batch.column(3)[i].values.to_numpy()
+                q = batch.column(3)[i].values.to_numpy().reshape(-1, length)
+                bounds = batch.column(4)[i].values.to_numpy()
                 scale = 2 * projection.norm / np.sqrt((q * q).sum(axis=1))
                 gap = np.maximum(0.0, 2 * projection.norm ** 2 - scale * bounds)
                 open_ = (_box_distances(projection.queries(q), low, high) <= quantile * gap[:, None]).any(axis=0)
-                own = batch.column(0)[i].as_py()
-                to = [(int(c), p) for c, end in zip(cells[open_], last[open_]) for p in range(end + 1)
-                      if (c, p) != (own, 0)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own] * len(to), pa.int32()), pa.array([batch.column(1)[i].as_py()] * len(to), pa.int32()),
-                     pa.array([c for c, _ in to], pa.int32()), pa.array([p for _, p in to], pa.int32())],
-                    ["q_cell", "q_part", "cell", "part"])
-
-    pairs = arrow.mapped(bounded.select("q_cell", "q_part", "q_vecs", "bounds"), route,
-                         "q_cell int, q_part int, cell int, part int")
-    work = pairs.join(bounded, ["q_cell", "q_part"]).join(blocks.drop("low", "high"), ["cell", "part"])
-    spread = work.repartition("cell", "part", "q_cell", "q_part").sortWithinPartitions("cell", "part")
-    far = arrow.mapped(spread, compare, out)
+                open_ &= (cells != batch.column(0)[i].as_py()) | (sizes > 1)  # its own only block is done
+                reached = np.zeros(bins, bool)
+                for first, last in zip(before[open_] * bins // total, (before[open_] + sizes[open_] - 1) * bins // total):
+                    reached[first:last + 1] = True
+                for to in np.flatnonzero(reached):
+                    yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns, pa.array([to], pa.int32())],
+                                                     [*batch.schema.names, "bin"])
+
+    asked_groups = groups.count()
+    strips = max(1, math.ceil(asked_groups / STRIP))
+    salted = F.pmod(F.xxhash64("q_cell", "q_part"), F.lit(strips)).cast("int")
+    work = arrow.mapped(bounded.select("q_cell", "q_part", "q_ids", "q_vecs", "bounds"), route,
+                        "q_cell int, q_part int, q_ids array<long>, q_vecs array<double>, bounds array<double>, bin int")
+    # an explicit number of partitions: the work is in the searches, which sizes in bytes do not show
+    tasks = 2 * bins * strips
+    work = work.withColumn("strip", salted).repartition(tasks, "bin", "strip")
+    held = (blocks.join(F.broadcast(numbered), "cell")
+            .withColumn("bin", F.floor((F.col("before") + F.col("part")) * bins / total).cast("int"))
+            .withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+            .select("bin", "strip", "cell", "part", "ids", "vecs").repartition(tasks, "bin", "strip"))
+    far = held.groupBy("bin", "strip").cogroup(work.groupBy("bin", "strip")).applyInArrow(compare(["bounds"]), out)
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (near.unionByName(far).select("query_id", "vec_id", "score").distinct()
             .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
