@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.common import LEDGER, check, ledger, table
 from checks.settings import CONFIG, config
 from tidemark.operators import ledger as runs
+from tidemark.plans import reports
 
 # Every event is one update of the job (day, user): its kind says which column it sets.
 _FOLDED = {
@@ -109,3 +110,10 @@ def ledger_append_and_fold(spark, sf):
     state = book.state()
     return state.groupBy("source_table", "final_status").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+@check(f"""WITH {LEDGER} SELECT batch_id, job_id, source_table, substr(export_path, 1, 12) AS export_path,
+            substr(merge_statement, 1, 12) AS merge_statement FROM ledger""")
+def run_texts(spark, sf):
+    """Long texts of every run cut for a report."""
+    return reports.run_texts(ledger(spark, sf), 12)

@@ -180,17 +180,17 @@ def stage_small_files(spark, sf):
         "n_files", F.lit(files).cast("long"))
 
 
-@check("""SELECT lang, count(*) AS n, true AS cut FROM documents GROUP BY ALL""")
+@check("""SELECT lang, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, true AS cut FROM documents GROUP BY ALL""")
 def stage_files_by_bytes(spark, sf):
     """Files are cut by bytes of text: no row is lost, and there are several files of about the size asked for."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    docs = table(spark, sf, "documents")
     folder = workspace(spark, "stage")
     total = staged.as_text(docs).agg(F.sum(staged.text_bytes(staged.as_text(docs)))).first()[0]
     staged.write_staged(docs, folder, files=1, file_bytes=total // 5)
     schema = target_schema(column_metadata(docs))
     files = staged.inventory(spark, folder).count()
-    return staged.read_text(spark, folder, schema).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "cut", F.lit(4 <= files <= 7))
+    return staged.read_text(spark, folder, schema).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).withColumn("cut", F.lit(4 <= files <= 7))
 
 
 @check("""SELECT CASE WHEN page_id % 3 = 0 THEN 'bad value: body' ELSE 'good' END AS reason, count(*) AS n

@@ -179,7 +179,7 @@ class Ledger:
          .write.parquet(f"{self.path}/{uuid.uuid4().hex}"))
 
     def event(self, batch_id: int, job_id: int, seq: int, **values) -> None:
-        """Append one event of one job. Texts are kept whole; reports cut what they show."""
+        """Append one event of one job. Texts are kept whole; ``reports.run_texts`` cuts what it shows."""
         values = {"batch_id": batch_id, "job_id": job_id, "seq": seq, **values}
         row = self.spark.range(1, numPartitions=1).select(*[
             F.lit(v).cast(EVENT_SCHEMA[n].dataType).alias(n) for n, v in values.items()])

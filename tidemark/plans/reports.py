@@ -114,6 +114,18 @@ def run_history(state: DataFrame) -> DataFrame:
             .select(*[c for c in HISTORY_VIEW if c in state.columns]))
 
 
+def shortened(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Long texts of a report cut to so many characters; what the ledger holds stays whole."""
+    return rows.withColumns({c: F.substring(c, 1, n) for c, n in limits.items() if c in rows.columns})
+
+
+def run_texts(state: DataFrame, cut: int = 100) -> DataFrame:
+    """Per run: the texts it left in the ledger, short enough for a table on a screen."""
+    texts = [c for c in ("export_path", "export_log", "copy_log", "merge_log", "merge_statement") if c in state.columns]
+    return (shortened(state.select("batch_id", "job_id", "source_table", *texts), dict.fromkeys(texts, cut))
+            .orderBy(F.desc("batch_id"), "job_id"))
+
+
 def config_kpis(config: DataFrame) -> DataFrame:
     active = F.count_if(F.col("enabled") == "Y")
     total = F.count(F.lit(1))
