@@ -48,6 +48,8 @@ COUNTERS = 1 << 17
 PACKED, PARTITION = 2_000_000, 2_000_000
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
+#: Shingles that a comparing task keeps, about 100 bytes each.
+KEPT = 1_000_000
 #: Sets that lead in a key: one, then this many times as many in each round.
 WIDEN = 16
 
@@ -339,15 +341,26 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
 
     def compare(batches):
         at, leader = None, set()
+        met: dict[int, set[bytes]] = {}  # sets met before: a set is compared with many leaders
+        room = KEPT
         for batch in batches:
             out = []
             for u, v, tu, tv in zip(*(batch.column(i) for i in range(4))):
                 if v.as_py() != at:
                     at, leader = v.as_py(), shingle_set(tv.as_py(), shingle)
-                other = shingle_set(tu.as_py(), shingle)
+                key = u.as_py()
+                other = met.get(key)
+                if other is None:
+                    other = shingle_set(tu.as_py(), shingle)
+                    if len(other) > room:
+                        met.clear()
+                        room = KEPT
+                    if len(other) <= room:
+                        met[key] = other
+                        room -= len(other)
                 same = len(leader & other)
                 if 100 * same >= percent * (len(leader) + len(other) - same):
-                    out.append((u.as_py(), at))
+                    out.append((key, at))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
 
