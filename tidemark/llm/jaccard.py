@@ -17,7 +17,9 @@ one-deletion lookups elsewhere.
 Candidates. Entries travel to their keys in packed arrays, 12 bytes each, and only keys with a lookup and two sets or
 more go on. Within a key nothing is paired with everything: the first set that looks up leads, all others are compared
 with it, and those of its component are done. Where a key still holds several components, the next 15, 240, ... lead.
-So a group of near copies costs one comparison each, and a pair is left out only if links join it already.
+So a group of near copies costs one comparison each, and a pair is left out only if links join it already, or if
+sizes or parities rule it out: a set's ``PARITY`` bits count its shingles modulo two by hash, and two sets differ in at least as
+many shingles as their parities differ in bits.
 
 Verification compares the shingles themselves, from whole texts. A membership filter of fixed size picks the texts that
 take part at all.
@@ -35,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.llm import arrow
 from tidemark.llm.common import col, written
@@ -48,6 +50,8 @@ COUNTERS = 1 << 17
 PACKED, PARTITION = 2_000_000, 2_000_000
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
+#: Words of 64 bits of a set's parities.
+PARITY = 4
 #: Shingles that a comparing task keeps, about 100 bytes each.
 KEPT = 1_000_000
 #: Sets that lead in a key: one, then this many times as many in each round.
@@ -162,12 +166,20 @@ def _hashed(texts: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return out[new], np.bincount(doc[new], minlength=len(n))
 
 
+def parities(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """For sets that begin at ``first``: one bit per hash, flipped by each of its shingles, in words of 64 bits."""
+    at = mixed(hashes + _U(11))
+    mask, word = _U(1) << (at & _U(63)), (at >> _U(6)) % _U(PARITY)
+    return [np.bitwise_xor.reduceat(np.where(word == _U(k), mask, _U(0)), first) for k in range(PARITY)]
+
+
 # -- sets --------------------------------------------------------------------------------
 
 
 def _sets(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, n, d1, d2, text), and one row per task with its part of the sketch only."""
-    names = ["row", "id", "n", "d1", "d2", "text", "counts"]
+    """(row, id, n, d1, d2, parities, text), and one row per task with its part of the sketch only."""
+    bits = [f"b{k}" for k in range(PARITY)]
+    names = ["row", "id", "n", "d1", "d2", *bits, "text", "counts"]
 
     def run(batches):
         start, done, counts = TaskContext.get().partitionId() << 33, 0, np.zeros(COUNTERS, np.int64)
@@ -177,27 +189,29 @@ def _sets(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
             for part, texts in arrow.pieces(batch, "text"):
                 hashes, n = _hashed(texts, shingle)
                 full = n > 0
-                sums = [np.zeros(len(n), _U) for _ in range(2)]
+                sums = [np.zeros(len(n), _U) for _ in range(2 + PARITY)]
                 if full.any():
                     first = (np.cumsum(n) - n)[full]
                     for k in range(2):
                         sums[k][full] = np.add.reduceat(hashes if k == 0 else mixed(hashes + _U(k)), first)
+                    for k, word in enumerate(parities(hashes, first)):
+                        sums[2 + k][full] = word
                     bands = Bands(percent, int(n.max()))
                     own = Entries(bands, hashes, n[full], bands.of(n[full]))
                     for keys in (own.keys, own.less):
                         counts += np.bincount(place(keys), minlength=COUNTERS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(start + done + np.arange(len(n))), part.column(0), pa.array(n), pa.array(sums[0].view(np.int64)),
-                     pa.array(sums[1].view(np.int64)), part.column(1), pa.nulls(len(n), pa.binary())], names)
+                    [pa.array(start + done + np.arange(len(n))), part.column(0), pa.array(n),
+                     *[pa.array(x.view(np.int64)) for x in sums], part.column(1), pa.nulls(len(n), pa.binary())], names)
                 done += len(n)
         if done:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, kind), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.string()),
+                [pa.nulls(1, pa.int64()), pa.nulls(1, kind), *[pa.nulls(1, pa.int64())] * (3 + PARITY), pa.nulls(1, pa.string()),
                  pa.array([np.minimum(counts, 2 ** 32 - 1).astype(np.uint32).tobytes()], pa.binary())], names)
 
     narrow = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", narrow.schema["id"].dataType),
-                           *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")],
+                           *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2", *bits)],
                            T.StructField("text", T.StringType()), T.StructField("counts", T.BinaryType())])
     return arrow.mapped(narrow, run, schema)
 
@@ -367,18 +381,30 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return arrow.mapped(both, compare, "u long, v long")
 
 
-def _roots(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(node, root) of the nodes with links; two nodes of a key that reach the threshold have one root."""
+def _possible(percent: int) -> Column:
+    """Sizes and parities of two sets allow the threshold: none that reach it are left out."""
+    apart = sum((F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"v_b{k}"))) for k in range(PARITY)), F.lit(0))
+    return ((F.least("n", "v_n") * 100 >= F.greatest("n", "v_n") * percent)
+            & (apart * (100 + percent) <= (F.col("n") + F.col("v_n")) * (100 - percent)))
+
+
+def _roots(live: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, root) of the nodes with links; two nodes of a key that reach the threshold have one root.
+
+    ``facts``: (node, n, parities). They join the entries after the first round, which leaves few of these.
+    """
     spark = live.sparkSession
     links = tested = spark.createDataFrame([], "u long, v long")
     roots = spark.createDataFrame([], "node long, root long")
     live, served, upto, first = live.withColumn("root", F.col("node")), 0, 1, True
+    known: list[str] = []
     while True:
         number = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         lead = (live.filter("asks").select("key", F.col("node").alias("v"), F.col("visits").alias("v_visits"),
-                                           F.col("root").alias("v_root"), number.alias("place"))
+                                           F.col("root").alias("v_root"), *[F.col(c).alias(f"v_{c}") for c in known], number.alias("place"))
                 .filter(f"place <= {upto}").filter(f"place > {served}").drop("place"))
-        pairs = live.join(lead, "key").filter("root <> v_root and not (visits and v_visits)").select(F.col("node").alias("u"), "v")
+        pairs = live.join(lead, "key").filter("root <> v_root and not (visits and v_visits)")
+        pairs = (pairs.filter(_possible(percent)) if known else pairs).select(F.col("node").alias("u"), "v")
         if first:  # each set is compared with one leader before any other
             pairs = pairs.groupBy("u").agg(F.min("v").alias("v"))
         pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -390,12 +416,13 @@ def _roots(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Dat
             roots = written(components(links), "jaccard-roots")
         if not first:
             served, upto = upto, upto * WIDEN
-        first = False
         # keys whose sets are all in one component, or have all led, are done
-        here = live.drop("root").join(roots, "node", "left").select("key", "node", "asks", "visits", F.coalesce("root", "node").alias("root"))
+        here = live.drop("root").join(roots, "node", "left").select("key", "node", "asks", "visits", *known, F.coalesce("root", "node").alias("root"))
         some = here.groupBy("key").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
-        live = written(here.join(some.filter((F.col("a") != F.col("b")) & (F.col("n") > served)).select("key"), "key", "left_semi"),
-                       "jaccard-live")
+        left = here.join(some.filter((F.col("a") != F.col("b")) & (F.col("n") > served)).select("key"), "key", "left_semi")
+        if first:
+            left, known, first = left.join(facts, "node"), [c for c in facts.columns if c != "node"], False
+        live = written(left, "jaccard-live")
         if live.isEmpty():
             return roots
 
@@ -419,7 +446,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         "key", F.coalesce("first", "node").alias("node")).agg(F.max("asks").alias("asks"), F.min("visits").alias("visits")), "jaccard-live")
     some = may_match(single.select("row", "n", "text"), bitmaps(live, F.col("node")), F.col("row"))
     texts = written(some.filter("_may_match").drop("_may_match"), "jaccard-texts")
-    found = _roots(live, texts, shingle, percent)
+    facts = single.select(F.col("row").alias("node"), "n", *[f"b{k}" for k in range(PARITY)])
+    found = _roots(live, facts, texts, shingle, percent)
     rooted = nodes.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
     component = written(rooted.join(names, "root").select("node", "component"), "jaccard-names")
