@@ -317,3 +317,25 @@ def test_stream_archives_files_of_earlier_batches(spark):
         apply_stream(stream, target, ["id"], "incremental", 1).option("checkpointLocation", checkpoint).trigger(
             availableNow=True).start().awaitTermination()
     assert [(r["id"], r["v"]) for r in target.read().orderBy("id").collect()] == [(0, "2"), (1, "2"), (2, "2")]
+
+
+def test_files_of_a_cut_are_dealt_to_as_many_tasks(spark):
+    import glob
+    import gzip
+
+    def lines(rows, **cut):
+        folder = workspace(spark, "stage")
+        n, top = staged.write_staged(rows, folder, files=1, highest="id", **cut)
+        held = [gzip.open(f, "rt").read().split("\n")[:-1] for f in sorted(glob.glob(f"{folder}/*.csv.gz"))]
+        # Spark names files by the task that wrote them
+        tasks = {f.rsplit("/part-", 1)[1][:5] for f in glob.glob(f"{folder}/*.csv.gz")}
+        assert len(tasks) == len(held) and n == sum(map(len, held)) == rows.count()
+        assert sorted(int(x.split("|")[0].strip('"')) for h in held for x in h) == list(range(n)) and top == (n - 1 if n else None)
+        return sorted(map(len, held))
+
+    rows = spark.range(0, 1000, 1, 7).withColumn("v", F.lit("x" * 17)).withColumn("nothing", F.lit(None))
+    assert lines(rows, rows_per_file=100) == [100] * 10
+    assert lines(rows.where("id < 901"), rows_per_file=100) == [90] * 9 + [91]
+    assert lines(rows, file_bytes=6000) == [200] * 5
+    assert lines(rows) == [1000]
+    assert lines(rows.limit(0), rows_per_file=10) == [0]

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark import fs
 from tidemark.functions.columns import as_text
 from tidemark.functions.types import from_text
+from tidemark.session import workspace
 
 # Texts that mean NULL in a staged file.
 NULL_MARKERS = ["NULL", ""]
@@ -70,6 +71,26 @@ def rows_for(rows: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     return max(1, int(file_bytes / mean)) if mean else 1
 
 
+def dealt(rows: DataFrame, files: int, rows_per_file: int | None, file_bytes: int) -> tuple[DataFrame, int]:
+    """Written rows dealt out in turn to as many tasks as there will be files, and the rows a file may hold.
+
+    There are as many files as the cut asks for, and at least ``files``; they differ by one row at most. Each scan partition
+    goes on where the one before it stops, so all that meets in one place are the partitions' row counts.
+    """
+    text = as_text(rows)
+    per = text.select(F.spark_partition_id().alias("p"), text_bytes(text).alias("b")).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).collect()
+    n, size = sum(r["n"] for r in per), sum(r["b"] for r in per)
+    wanted = -(-n // rows_per_file) if rows_per_file else -(-size // max(1, file_bytes))
+    files = max(files, min(n, wanted))
+    starts, at = [0] * (1 + max((r["p"] for r in per), default=0)), 0
+    for r in sorted(per):
+        starts[r["p"]], at = at % files, at + r["n"]
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + F.coalesce(F.get(F.lit(starts), F.spark_partition_id()), F.lit(0))
+    numbered = rows.withColumn("_file_no", (nth % files).cast("int"))
+    return numbered.repartitionById(files, F.col("_file_no")).drop("_file_no"), rows_per_file or max(1, -(-n // files))
+
+
 def _beside(folder: str, kind: str) -> str:
     """A small file about a batch, beside its folder: a batch's folder holds its data only."""
     parent, name = folder.rstrip("/").rsplit("/", 1)
@@ -110,13 +131,22 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
     # before the data, so that a finished batch always says which columns its files hold
     fs.write_text(rows.sparkSession, _beside(folder, "_columns"), json.dumps((columns or rows.schema).jsonValue()))
     seen = Observation()
-    rows_per_file = rows_per_file or rows_for(rows, file_bytes)
-    rows = rows.repartition(files) if files else rows
+    copy = workspace(rows.sparkSession, "export")
+    if files:
+        # written once: how many rows there are and where each goes then follow from the same rows, and no query runs twice
+        kinds = rows.schema
+        plain = rows.toDF(*[f"_c{i}" for i in range(len(kinds))])
+        plain.select(*[F.col(f.name).cast("string" if isinstance(f.dataType, T.NullType) else f.dataType) for f in plain.schema]).write.parquet(copy)
+        rows, rows_per_file = dealt(rows.sparkSession.read.parquet(copy).toDF(*kinds.names), files, rows_per_file, file_bytes)
+    else:
+        rows_per_file = rows_per_file or rows_for(rows, file_bytes)
     top = F.max(F.col(highest).try_cast("long")) if highest else F.max(F.lit(None).cast("long"))
     # Observed last, in the tasks that write, so a repeated task is not counted twice.
     (as_text(rows).observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top"))
      .write.mode("overwrite").options(**csv_options(delimiter)).option("quoteAll", "true")
-     .option("compression", "gzip").option("maxRecordsPerFile", rows_per_file).csv(folder))
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+     .option("maxRecordsPerFile", rows_per_file).csv(folder))
+    fs.remove(rows.sparkSession, copy)
     announce(rows.sparkSession, folder)
     return seen.get["n"], seen.get["top"]
 
