@@ -77,6 +77,18 @@ def test_minimal_keys_against_all_combinations(spark, sf):
         assert discover.minimal_keys(df, 3) == want or sorted(discover.minimal_keys(df, 3)) == sorted(want), name
 
 
+def test_minimal_keys_count_shared_parts_once(spark, monkeypatch):
+    monkeypatch.setattr(discover, "PARTS_FROM", 10)
+    # (a, b) tells nearly all rows apart; with c or d it is a key, with e it is not
+    rows = [(i // 20, i % 20, 0, i % 3, "x") for i in range(400)] + [(0, 0, 1, 1, "x"), (1, 1, 2, 2, "x"), (2, 2, 3, 1, "x")]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e string").repartition(3)
+    over, whole = [], discover._no_repeat
+    monkeypatch.setattr(discover, "_no_repeat", lambda rows, c: over.append((c, rows.count())) or whole(rows, c))
+    assert discover.minimal_keys(df, 3) == [("a", "b", "c"), ("a", "b", "d")]
+    # each is counted over the six rows that (a, b) leaves together, after a part of all values
+    assert [n for c, n in over if c == ("a", "b", "c")][-1] == [n for c, n in over if c == ("a", "b", "d")][-1] == 6
+
+
 def test_reconciled_rows_with_nulls_and_repeats(spark):
     old = [(1, "a"), (1, "a"), (2, None), (None, "n"), (3, ""), (4, "x"), (5, "y"), (5, "z")]
     new = [(1, "a"), (2, ""), (None, "n"), (3, ""), (5, "z"), (5, "y"), (6, None)]

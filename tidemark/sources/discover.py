@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.session import workspace
+
 # Column name patterns for watermarks.
 WATERMARK_PATTERNS = ["%modified%", "%updated%"]
 KEY_PATTERN = r"(?i)(key|_id|^id)$"
@@ -176,6 +178,9 @@ def catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 SKETCH_SLACK = 0.15
 #: Combinations that are sketched in one pass over a table.
 AT_ONCE = 60
+#: Tables of more rows have combinations counted over one value in so many before all of them are.
+PARTS_FROM = 1_000_000
+PARTS = 64
 
 
 def _comparable(field: T.StructField) -> bool:
@@ -183,12 +188,46 @@ def _comparable(field: T.StructField) -> bool:
                                        T.BooleanType))
 
 
+def _no_repeat(rows: DataFrame, c: tuple[str, ...]) -> bool:
+    return rows.groupBy(*[F.col(f"`{x}`") for x in c]).count().filter("count > 1").isEmpty()
+
+
+def _repeated(rows: DataFrame, c: tuple[str, ...]) -> DataFrame:
+    """The rows that a combination does not tell apart, written; its columns are never NULL."""
+    names = [f"`{x}`" for x in c]
+    often = rows.groupBy(*[F.col(x) for x in names]).count().filter("count > 1").drop("count")
+    folder = workspace(rows.sparkSession, "repeated")
+    rows.join(often, list(c), "left_semi").select(*rows.columns).write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _unique(rows: DataFrame, near: list[tuple[str, ...]], counted: dict[tuple, int], n: int) -> list[tuple[str, ...]]:
+    """Those of some combinations that tell every row apart, in their order.
+
+    Whole groups of one value in ``PARTS`` are counted first: a repeat among them rules a combination out. What is left is counted
+    over all rows or, as rows that share their values in a combination share them in each narrower one, over the rows
+    that a narrower combination leaves together. Those rows are found once for all combinations that hold it.
+    """
+    if n > PARTS_FROM:
+        near = [c for c in near if _no_repeat(rows.where(F.pmod(F.xxhash64(*[F.col(f"`{x}`") for x in c]), F.lit(PARTS)) == 0), c)]
+    by_part: dict[tuple, list[tuple]] = {}
+    for c in near:
+        inner = max((c[:i] + c[i + 1:] for i in range(len(c))), key=lambda p: counted.get(p, 0))
+        by_part.setdefault(inner if counted.get(inner, 0) >= n / 2 else (), []).append(c)
+    found = []
+    for inner, wider in by_part.items():
+        base = _repeated(rows, inner) if inner and len(wider) > 1 else rows
+        found += [c for c in wider if _no_repeat(base, c)]
+    return [c for c in near if c in set(found)]
+
+
 def minimal_keys(df: DataFrame, width: int | None = None) -> list[tuple[str, ...]]:
     """All minimal combinations of columns (up to ``width``) that are never NULL and tell every row apart.
 
     The lattice of combinations is searched level by level. A combination goes on only if it holds no key, and if the product of
     its columns' distinct counts reaches the number of rows. One pass sketches the distinct counts of a level; only
-    combinations that may be unique by their sketch are counted exactly.
+    combinations that may be unique by their sketch are counted exactly, first over a part of their values and then, where several
+    hold the same narrower combination, over the rows that this one does not tell apart.
     """
     fields = [f.name for f in df.schema if _comparable(f)]
     facts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"v{i}") for i, c in enumerate(fields)],
@@ -197,6 +236,7 @@ def minimal_keys(df: DataFrame, width: int | None = None) -> list[tuple[str, ...
     columns = [c for i, c in enumerate(fields) if facts[f"v{i}"] == n]
     distinct = {c: facts[f"d{i}"] * (1 + SKETCH_SLACK) + 1 for i, c in enumerate(fields)}
     keys: list[tuple[str, ...]] = []
+    counted: dict[tuple, int] = {}
     level = [(c,) for c in columns]
     while level:
         # a combination whose columns cannot tell so many rows apart is no key, but a wider one may be
@@ -207,9 +247,9 @@ def minimal_keys(df: DataFrame, width: int | None = None) -> list[tuple[str, ...
             row = df.agg(*[F.approx_count_distinct(F.xxhash64(*[F.col(f"`{x}`") for x in c]), 0.02).alias(f"d{i}")
                            for i, c in enumerate(some)]).first()
             sketched.update({c: row[f"d{i}"] for i, c in enumerate(some)})
-        for c in [c for c in able if sketched[c] >= (1 - SKETCH_SLACK) * n]:
-            if df.groupBy(*[F.col(f"`{x}`") for x in c]).count().filter("count > 1").isEmpty():
-                keys.append(c)
+        counted.update(sketched)
+        near = [c for c in able if sketched[c] >= (1 - SKETCH_SLACK) * n]
+        keys += _unique(df.select(*[F.col(f"`{x}`") for x in columns]), near, counted, n)
         found = set(keys)
         if width and len(level[0]) >= width:
             break
