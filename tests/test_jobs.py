@@ -339,3 +339,17 @@ def test_files_of_a_cut_are_dealt_to_as_many_tasks(spark):
     assert lines(rows, file_bytes=6000) == [200] * 5
     assert lines(rows) == [1000]
     assert lines(rows.limit(0), rows_per_file=10) == [0]
+
+
+def test_work_table_is_cut_and_holds_good_and_bad_rows_apart(spark, monkeypatch):
+    from tidemark import fs
+    from tidemark.functions.types import ColumnMeta, target_schema
+    monkeypatch.setattr(staged, "WORK_ROWS", 10)
+    folder, work = workspace(spark, "stage"), workspace(spark, "work")
+    staged.write_staged(spark.range(100).selectExpr("CASE WHEN id % 4 = 0 THEN 'x' ELSE string(id) END AS id"), folder, files=1)
+    schema = target_schema([ColumnMeta("id", "int")])
+    good, bad, counts = staged.materialise(staged.check_rows(staged.read_text(spark, folder, schema), schema), schema, work)
+    assert counts == (100, 75, 25) and good.columns == ["id", "_file"]
+    assert sorted(r["id"] for r in good.collect()) == [i for i in range(100) if i % 4]
+    assert {r["_reason"] for r in bad.collect()} == {"bad value: id"} and bad.count() == 25
+    assert len([n for n in fs.children(spark, work) if n.endswith(".parquet")]) == 10
