@@ -241,6 +241,27 @@ def test_stream_history_is_the_same_however_files_are_cut(spark):
     assert got[0] == got[1] and len(got[0]) == 15 and sum(r[2] for r in got[0]) == 5
 
 
+def test_records_of_one_streamed_file_meet_in_several_tasks(spark):
+    from tidemark.functions.types import column_metadata, target_schema
+    from tidemark.streaming.staged_stream import read_stream
+    rows = spark.range(400).select("id", F.when(F.col("id") % 3 == 0, F.lit('a\n"b"|c')).when(F.col("id") % 3 == 1, F.lit("x")).alias("v"))
+    stage, seen = workspace(spark, "stage"), []
+    staged.write_staged(rows.unionByName(rows.limit(7)), f"{stage}/batch_id=4", files=1)
+    assert staged.staged_files(spark, stage) == 1
+
+    def look(part, number):
+        seen.extend(part.select("id", "v", "_bad", "batch_id", "_file", F.spark_partition_id()).collect())
+
+    text = read_stream(spark, stage, target_schema(column_metadata(rows)), files_per_trigger=1)
+    text.writeStream.foreachBatch(look).option("checkpointLocation", workspace(spark, "cp")).trigger(
+        availableNow=True).start().awaitTermination()
+    text = {0: 'a\n"b"|c', 1: "x", 2: None}
+    assert sorted((int(r[0]), r[1] or None) for r in seen) == sorted(
+        ((i, text[i % 3]) for i in [*range(400), *(int(r[0]) for r in rows.limit(7).collect())]), key=lambda x: x[0])
+    assert {r[2] for r in seen} == {None} and {r[3] for r in seen} == {4} and len({r[4] for r in seen}) == 1
+    assert len({r[5] for r in seen}) > 1
+
+
 def test_job_ids_follow_the_table(spark, place):
     SOURCE["a"] = SOURCE["b"] = _rows(spark, (1, "a", "2024-01-01"))
     jobs.run_many(place, [_settings("a"), _settings("b")], "EXPORT", 10000, now=datetime(2024, 1, 2))
