@@ -111,3 +111,42 @@ def test_edges(spark):
     assert Counter(tuple(r) for r in jaccard.near_duplicates(clash).collect()) == plain(docs)
     assert jaccard.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     assert jaccard.near_duplicates(df.filter("text is null")).count() == 2
+
+
+def test_parities_never_differ_in_more_bits_than_their_sets():
+    """Whole and folded, of sets on both sides of a sketch's sizes; sets apart by more than the threshold are told apart."""
+    rng = np.random.default_rng(3)
+    sizes = [1, 2, 500, 512, 513, 1024, 1025, 5000, 32768, 40000]
+    hashes = [rng.integers(0, 2 ** 63, n).astype(np.uint64) for n in sizes]
+    others = [h[int(len(h) * 0.35):] for h in hashes]
+    sets = hashes + others
+    sketches = jaccard.parities(np.concatenate(sets), np.array([len(h) for h in sets]))
+    for n, h, o, a, b in zip(sizes, hashes, others, sketches, sketches[len(sizes):]):
+        apart = len(set(h.tolist()) ^ set(o.tolist()))
+        for words in (jaccard.PARITY, min(len(a), len(b)) // 8):
+            differ = int(np.bitwise_count(jaccard.folded(a, words) ^ jaccard.folded(b, words)).sum())
+            assert differ <= apart
+        if 500 <= n <= 5000:
+            assert differ * 180 > (n + len(o)) * 20
+    assert jaccard.parities(np.array([], np.uint64), np.array([], np.int64)) == []
+
+
+def test_sets_below_the_threshold_meet_few_times(spark, monkeypatch):
+    """A group whose sets all lie near each other, but not near enough: nearly none of its pairs is left to compare."""
+    rnd = random.Random(4)
+    base = [f"b{i}" for i in range(320)]
+    docs = [(i, " ".join(w if rnd.random() > 0.085 else f"x{rnd.randint(0, 10 ** 9)}" for w in base)) for i in range(60)]
+    docs += [(100, docs[7][1] + " once more")]
+    compared, real = [], jaccard.written
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "jaccard-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard.near_duplicates(df, shingle=1, percent=80).collect())
+    assert got == plain(docs, 1, 80)
+    assert sum(compared) < 200, compared

@@ -18,11 +18,13 @@ Candidates. Entries travel to their keys in packed arrays, 12 bytes each, and on
 more go on. Within a key nothing is paired with everything: the first set that looks up leads, all others are compared
 with it, and those of its component are done. Where a key still holds several components, the next 15, 240, ... lead.
 So a group of near copies costs one comparison each, and a pair is left out only if links join it already, or if
-sizes or parities rule it out: a set's ``PARITY`` bits count its shingles modulo two by hash, and two sets differ in at least as
-many shingles as their parities differ in bits.
+sizes or parities rule it out: a set's parity bits count its shingles modulo two by hash, and two sets differ in at least as
+many shingles as their parities differ in bits. A set's sketch has two bits or more for a shingle; folded to ``PARITY`` words
+it travels with the entries, whole it meets the sketches of the pairs that are left. Keys with the same entries give the same pairs, so
+one of them stays.
 
-Verification compares the shingles themselves, from whole texts. A membership filter of fixed size picks the texts that
-take part at all.
+Verification compares the shingles themselves, from whole texts. Membership filters of fixed size pick the texts that
+take part at all, and those that the pairs of a round need.
 
 Defined results: NULL and texts without words have an empty set, which is linked with nothing; fewer words than a shingle
 make one shingle of them all. A component is named by its smallest id; NULL ids are ignored in that (NULL if there is no
@@ -47,13 +49,15 @@ from tidemark.operators.membership import bitmaps, may_match
 #: Counters of the sketch that estimates how often a subset occurs.
 COUNTERS = 1 << 17
 #: Entries that a task packs at once, and entries that meet in one partition, about.
-PACKED, PARTITION = 2_000_000, 2_000_000
+PACKED, PARTITION = 500_000, 2_000_000
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
-#: Words of 64 bits of a set's parities.
-PARITY = 4
+#: Words of 64 bits of the parities beside an entry, and of the longest sketch.
+PARITY, LONGEST = 16, 256
+#: Parity bits that are counted at once, 8 bytes each.
+COUNTED = 1 << 20
 #: Shingles that a comparing task keeps, about 100 bytes each.
-KEPT = 1_000_000
+KEPT = 250_000
 #: Sets that lead in a key: one, then this many times as many in each round.
 WIDEN = 16
 
@@ -166,20 +170,33 @@ def _hashed(texts: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return out[new], np.bincount(doc[new], minlength=len(n))
 
 
-def parities(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """For sets that begin at ``first``: one bit per hash, flipped by each of its shingles, in words of 64 bits."""
-    at = mixed(hashes + _U(11))
-    mask, word = _U(1) << (at & _U(63)), (at >> _U(6)) % _U(PARITY)
-    return [np.bitwise_xor.reduceat(np.where(word == _U(k), mask, _U(0)), first) for k in range(PARITY)]
+def parities(hashes: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For sets of ``n`` hashes, one set after another: bits that each hash flips one of, from two for a hash up to the next power of two."""
+    width = 64 * np.clip(1 << np.ceil(np.log2(np.maximum(1, n / 32))).astype(np.int64), PARITY, LONGEST)
+    block = np.cumsum(width) // COUNTED
+    cuts = [*np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist(), len(n)] if len(n) else []
+    ends = np.append(0, np.cumsum(n))
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        start = np.cumsum(width[a:b]) - width[a:b]
+        own = mixed(hashes[ends[a]:ends[b]] + _U(11)) & np.repeat(width[a:b] - 1, n[a:b]).astype(_U)
+        odd = np.bincount(own.astype(np.int64) + np.repeat(start, n[a:b]), minlength=int(width[a:b].sum())) & 1
+        packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+        out += [packed[x:x + w] for x, w in zip((start // 8).tolist(), (width[a:b] // 8).tolist())]
+    return out
+
+
+def folded(sketch: bytes, words: int) -> np.ndarray:
+    """The sketch as one of so many words: what it would be with fewer bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, _U).reshape(-1, words), axis=0)
 
 
 # -- sets --------------------------------------------------------------------------------
 
 
 def _sets(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, n, d1, d2, parities, text), and one row per task with its part of the sketch only."""
-    bits = [f"b{k}" for k in range(PARITY)]
-    names = ["row", "id", "n", "d1", "d2", *bits, "text", "counts"]
+    """(row, id, n, d1, d2, parities, text), and one row per task with its part of the counters only."""
+    names = ["row", "id", "n", "d1", "d2", "parities", "text", "counts"]
 
     def run(batches):
         start, done, counts = TaskContext.get().partitionId() << 33, 0, np.zeros(COUNTERS, np.int64)
@@ -189,30 +206,32 @@ def _sets(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
             for part, texts in arrow.pieces(batch, "text"):
                 hashes, n = _hashed(texts, shingle)
                 full = n > 0
-                sums = [np.zeros(len(n), _U) for _ in range(2 + PARITY)]
+                sums = [np.zeros(len(n), _U) for _ in range(2)]
+                odd: list = [None] * len(n)
                 if full.any():
                     first = (np.cumsum(n) - n)[full]
                     for k in range(2):
                         sums[k][full] = np.add.reduceat(hashes if k == 0 else mixed(hashes + _U(k)), first)
-                    for k, word in enumerate(parities(hashes, first)):
-                        sums[2 + k][full] = word
+                    for k, bits in zip(np.flatnonzero(full).tolist(), parities(hashes, n[full])):
+                        odd[k] = bits
                     bands = Bands(percent, int(n.max()))
                     own = Entries(bands, hashes, n[full], bands.of(n[full]))
                     for keys in (own.keys, own.less):
                         counts += np.bincount(place(keys), minlength=COUNTERS)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(start + done + np.arange(len(n))), part.column(0), pa.array(n),
-                     *[pa.array(x.view(np.int64)) for x in sums], part.column(1), pa.nulls(len(n), pa.binary())], names)
+                     *[pa.array(x.view(np.int64)) for x in sums], pa.array(odd, pa.binary()), part.column(1),
+                     pa.nulls(len(n), pa.binary())], names)
                 done += len(n)
         if done:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, kind), *[pa.nulls(1, pa.int64())] * (3 + PARITY), pa.nulls(1, pa.string()),
+                [pa.nulls(1, pa.int64()), pa.nulls(1, kind), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.binary()), pa.nulls(1, pa.string()),
                  pa.array([np.minimum(counts, 2 ** 32 - 1).astype(np.uint32).tobytes()], pa.binary())], names)
 
     narrow = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", narrow.schema["id"].dataType),
-                           *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2", *bits)],
-                           T.StructField("text", T.StringType()), T.StructField("counts", T.BinaryType())])
+                           *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")],
+                           T.StructField("parities", T.BinaryType()), T.StructField("text", T.StringType()), T.StructField("counts", T.BinaryType())])
     return arrow.mapped(narrow, run, schema)
 
 
@@ -346,8 +365,30 @@ def _live(sets: DataFrame, shingle: int, percent: int, sketch: np.ndarray, large
 # -- verification and rounds -------------------------------------------------------------
 
 
+def _near(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and whole sketches allow: none whose sets reach the threshold are left out."""
+    a = texts.select(F.col("row").alias("u"), F.col("n").alias("nu"), F.col("parities").alias("pu"))
+    b = texts.select(F.col("row").alias("v"), F.col("n").alias("nv"), F.col("parities").alias("pv"))
+    both = pairs.join(a, "u").join(b, "v").filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
+
+    def compare(batches):
+        for batch in batches:
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            apart = np.zeros(len(left), np.int64)
+            for i, (pu, pv) in enumerate(zip(left, right)):
+                words = min(len(pu), len(pv)) // 8
+                apart[i] = int(np.bitwise_count(folded(pu, words) ^ folded(pv, words)).sum())
+            keep = apart * (100 + percent) <= batch.column(4).to_numpy() * (100 - percent)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return arrow.mapped(both.select("u", "v", "pu", "pv", F.expr("nu + nv").alias("n")), compare, "u long, v long")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets reach the threshold."""
+    pairs = written(_near(pairs, texts, percent), "jaccard-near")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("row"))
+    texts = may_match(texts.select("row", "n", "text"), bitmaps(ends, F.col("row")), F.col("row")).filter("_may_match")
     a = texts.select(F.col("row").alias("u"), F.col("n").alias("nu"), F.col("text").alias("tu"))
     b = texts.select(F.col("row").alias("v"), F.col("n").alias("nv"), F.col("text").alias("tv"))
     both = (pairs.join(a, "u").join(b, "v").filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
@@ -381,6 +422,18 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return arrow.mapped(both, compare, "u long, v long")
 
 
+def _facts(texts: DataFrame) -> DataFrame:
+    """(node, n, parities in words) of each text."""
+    names = ["node", "n", *[f"b{k}" for k in range(PARITY)]]
+
+    def run(batches):
+        for batch in batches:
+            words = np.array([folded(x, PARITY) for x in batch.column(2).to_pylist()], _U).reshape(-1, PARITY).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(words[:, k]) for k in range(PARITY)]], names)
+
+    return arrow.mapped(texts.select("row", "n", "parities"), run, ", ".join(f"{c} long" for c in names))
+
+
 def _possible(percent: int) -> Column:
     """Sizes and parities of two sets allow the threshold: none that reach it are left out."""
     apart = sum((F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"v_b{k}"))) for k in range(PARITY)), F.lit(0))
@@ -388,10 +441,10 @@ def _possible(percent: int) -> Column:
             & (apart * (100 + percent) <= (F.col("n") + F.col("v_n")) * (100 - percent)))
 
 
-def _roots(live: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _roots(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, root) of the nodes with links; two nodes of a key that reach the threshold have one root.
 
-    ``facts``: (node, n, parities). They join the entries after the first round, which leaves few of these.
+    Sizes and parities join the entries after the first round, which leaves few of these.
     """
     spark = live.sparkSession
     links = tested = spark.createDataFrame([], "u long, v long")
@@ -416,11 +469,15 @@ def _roots(live: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, pe
             roots = written(components(links), "jaccard-roots")
         if not first:
             served, upto = upto, upto * WIDEN
-        # keys whose sets are all in one component, or have all led, are done
+        # keys whose sets are all in one component, or have all led, are done; of keys with the same entries the smallest stays
         here = live.drop("root").join(roots, "node", "left").select("key", "node", "asks", "visits", *known, F.coalesce("root", "node").alias("root"))
-        some = here.groupBy("key").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
-        left = here.join(some.filter((F.col("a") != F.col("b")) & (F.col("n") > served)).select("key"), "key", "left_semi")
+        entry = ["node", "asks", "visits"]
+        some = here.groupBy("key").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"),
+                                       F.bit_xor(F.xxhash64(*entry)).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), *entry)).alias("h2"), F.count("*").alias("size"))
+        some = some.filter((F.col("a") != F.col("b")) & (F.col("n") > served)).groupBy("size", "h1", "h2").agg(F.min("key").alias("key"))
+        left = here.join(some.select("key"), "key", "left_semi")
         if first:
+            facts = _facts(texts)
             left, known, first = left.join(facts, "node"), [c for c in facts.columns if c != "node"], False
         live = written(left, "jaccard-live")
         if live.isEmpty():
@@ -444,10 +501,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     copies = named.filter("row <> node").select(F.col("row").alias("copy"), F.col("node").alias("first"))
     live = written(entries.join(copies, F.col("node") == F.col("copy"), "left").groupBy(
         "key", F.coalesce("first", "node").alias("node")).agg(F.max("asks").alias("asks"), F.min("visits").alias("visits")), "jaccard-live")
-    some = may_match(single.select("row", "n", "text"), bitmaps(live, F.col("node")), F.col("row"))
+    some = may_match(single.select("row", "n", "parities", "text"), bitmaps(live, F.col("node")), F.col("row"))
     texts = written(some.filter("_may_match").drop("_may_match"), "jaccard-texts")
-    facts = single.select(F.col("row").alias("node"), "n", *[f"b{k}" for k in range(PARITY)])
-    found = _roots(live, facts, texts, shingle, percent)
+    found = _roots(live, texts, shingle, percent)
     rooted = nodes.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
     component = written(rooted.join(names, "root").select("node", "component"), "jaccard-names")
