@@ -78,8 +78,9 @@ def _staged_lines(spark, sf, scd: int):
     batches = _batched(spark, sf)
 
     def export(n):
-        rows = dedup(batches.where(F.col("batch_id") == n).drop("batch_id"), _KEYS, ["l_shipdate"])
-        staged.write_staged(rows.select(*lines.columns), staged.batch_folder(place.stage, settings, n))
+        batch = batches.where(F.col("batch_id") == n).drop("batch_id")
+        rows = dedup(batch, _KEYS, ["l_shipdate"])
+        staged.write_staged(rows.select(*lines.columns), staged.batch_folder(place.stage, settings, n), like=batch.select(*lines.columns))
 
     def stream(checkpoint):
         starts = {n: datetime.fromisoformat(at) for n, _, _, at in _BATCHES}

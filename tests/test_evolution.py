@@ -106,3 +106,19 @@ def test_splits_of_ties_and_nulls(spark):
     counts = [rows.where(c).count() for c in tables.split_conditions("v", bounds)]
     assert sum(counts) == 103 and len(set(bounds)) == len(bounds)
     assert tables.split_conditions("v", tables.split_bounds(rows.limit(0), "v", 8)) == ["1 = 1"]
+
+
+def test_export_of_a_stream_runs_its_query_once(spark, tmp_path, monkeypatch):
+    """The cut into files is measured on the rows the de-duplication reads, not by a second run of it."""
+    from checks import evolution
+
+    (spark.range(50).selectExpr("id % 20 AS l_orderkey", "1L AS l_linenumber", "'R' AS l_returnflag", "'F' AS l_linestatus",
+                                "timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, cast(id as int)) AS l_shipdate")
+     .write.parquet(f"{tmp_path}/lineitem.parquet"))
+    plans, real = [], staged.rows_for
+    monkeypatch.setattr(staged, "rows_for", lambda rows, *a: plans.append(rows._jdf.queryExecution().analyzed().toString()) or real(rows, *a))
+    place, settings, export, _ = evolution._staged_lines(spark, str(tmp_path), 2)
+    export(1)
+    folder = staged.batch_folder(place.stage, settings, 1)
+    assert spark.read.csv(folder, sep="|").count() == 20
+    assert len(plans) == 1 and "row_number" not in plans[0]

@@ -122,8 +122,9 @@ def announce_missing(spark: SparkSession, stage: str, job: dict) -> None:
 
 def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, files: int | None = None,
                  rows_per_file: int | None = None, highest: str | None = None,
-                 file_bytes: int = FILE_BYTES, columns: T.StructType | None = None) -> tuple[int, int | None]:
+                 file_bytes: int = FILE_BYTES, columns: T.StructType | None = None, like: DataFrame | None = None) -> tuple[int, int | None]:
     """Export rows as text, every value quoted. ``columns`` says what they are called where the rows' own names are numbers only.
+    ``like``: rows about as long, such as those a costly query reads; the cut is measured on them, and the query runs once.
 
     Returns how many rows there were and the highest value of the id column ``highest``, both
     taken from the very rows that were written. A complete export is never overwritten.
@@ -141,7 +142,7 @@ def write_staged(rows: DataFrame, folder: str, delimiter: str | None = None, fil
         plain.select(*[F.col(f.name).cast("string" if isinstance(f.dataType, T.NullType) else f.dataType) for f in plain.schema]).write.parquet(copy)
         rows, rows_per_file = dealt(rows.sparkSession.read.parquet(copy).toDF(*kinds.names), files, rows_per_file, file_bytes)
     else:
-        rows_per_file = rows_per_file or rows_for(rows, file_bytes)
+        rows_per_file = rows_per_file or rows_for(rows if like is None else like, file_bytes)
     top = F.max(F.col(highest).try_cast("long")) if highest else F.max(F.lit(None).cast("long"))
     # Observed last, in the tasks that write, so a repeated task is not counted twice.
     (as_text(rows).observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top"))
