@@ -2,13 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm import models
 from tests.llm.models import AWKWARD, DOCS
-from tidemark.llm import jaccard
+from tidemark.llm import arrow, jaccard
 
 
 def shingles(text: str | None, size: int) -> set[str]:
@@ -150,3 +152,49 @@ def test_sets_below_the_threshold_meet_few_times(spark, monkeypatch):
     got = Counter(tuple(r) for r in jaccard.near_duplicates(df, shingle=1, percent=80).collect())
     assert got == plain(docs, 1, 80)
     assert sum(compared) < 200, compared
+
+
+def test_texts_reach_a_worker_by_megabytes(spark):
+    """Batches of whole texts stay near the operator's size, which holds for its own jobs only."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["b"])
+
+    df = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('some text ', 500) text")
+    with arrow.batches_of(spark, jaccard.BATCH):
+        got = [r["b"] for r in df.mapInArrow(sizes, "b long").collect()]
+    assert len(got) >= 3 and max(got) < 5 << 20
+    assert spark.conf.get(name) == before
+
+    seen, docs = [], spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    real = jaccard.written
+    try:
+        jaccard.written = lambda *args: seen.append(spark.conf.get(name)) or real(*args)
+        assert jaccard.near_duplicates(docs).count() == 3
+    finally:
+        jaccard.written = real
+    assert set(seen) == {jaccard.BATCH} and spark.conf.get(name) == before
+
+
+def test_hashing_and_packing_hold_little(spark, monkeypatch):
+    """What a task holds while it hashes texts and packs entries does not follow from a batch of 8 MB."""
+    runs, rnd = [], random.Random(5)
+    monkeypatch.setattr(arrow, "mapped", lambda df, run, schema: runs.append(run) or df)
+    monkeypatch.setattr(jaccard, "TaskContext", type("One", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})())}))
+    frame = spark.createDataFrame([], "id long, row long, n long, text string, to long")
+    words = [f"w{k}" for k in range(5000)]
+    texts = pa.array([" ".join(rnd.choices(words, k=700)) for _ in range(2000)])
+    jaccard._sets(frame, 5, 80, "id", "text")
+    jaccard._live(frame, 5, 80, np.full(jaccard.COUNTERS, 20), 1000, 2_000_000)
+    for run, name in zip(runs[:2], ("id", "row")):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], [name, "text"])
+        tracemalloc.start()
+        try:
+            assert sum(out.num_rows for out in run(iter([batch]))) > 0
+            peak = tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+        assert peak < 35, (name, peak)

@@ -49,7 +49,9 @@ from tidemark.operators.membership import bitmaps, may_match
 #: Counters of the sketch that estimates how often a subset occurs.
 COUNTERS = 1 << 17
 #: Entries that a task packs at once, and entries that meet in one partition, about.
-PACKED, PARTITION = 500_000, 2_000_000
+PACKED, PARTITION = 250_000, 1_000_000
+#: Bytes of text that are hashed at once, and of a batch that goes to Python, about.
+PIECE, BATCH = 512 << 10, "4m"
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
 #: Words of 64 bits of the parities beside an entry, and of the longest sketch.
@@ -203,7 +205,7 @@ def _sets(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for part, texts in arrow.pieces(batch, "text"):
+            for part, texts in arrow.pieces(batch, "text", PIECE):
                 hashes, n = _hashed(texts, shingle)
                 full = n > 0
                 sums = [np.zeros(len(n), _U) for _ in range(2)]
@@ -285,7 +287,7 @@ def _live(sets: DataFrame, shingle: int, percent: int, sketch: np.ndarray, large
         def task_runs():
             """(rows, texts) of one writing task each: rows of several files may share a batch."""
             for batch in batches:
-                for part, texts in arrow.pieces(batch, "text"):
+                for part, texts in arrow.pieces(batch, "text", PIECE):
                     row = part.column(0).to_numpy()
                     cuts = [0, *(np.flatnonzero(np.diff(row >> 33)) + 1).tolist(), len(row)]
                     for a, b in zip(cuts, cuts[1:]):
@@ -333,17 +335,16 @@ def _live(sets: DataFrame, shingle: int, percent: int, sketch: np.ndarray, large
             keys, codes = keys[order], codes[order]
             start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             size = np.diff(np.append(start, len(keys)))
-            asks, visits = codes & 1, codes >> 1 & 1
-            node = codes >> 2
+            asks, visits, node = (codes & 1).astype(bool), (codes & 2).astype(bool), codes >> 2
             two = np.maximum.reduceat(node, start) != np.minimum.reduceat(node, start)
-            good = two & (np.add.reduceat(asks, start) > 0) & (np.add.reduceat(1 - visits, start) > 0)
+            good = two & np.logical_or.reduceat(asks, start) & np.logical_or.reduceat(~visits, start)
             good |= np.isin(keys[start], hot)  # the rest of a split key is elsewhere
             at = np.flatnonzero(np.repeat(good, size))
             for s in range(0, len(at), 100_000):
                 x = at[s:s + 100_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[x].view(np.int64)), pa.array(node[x]), pa.array(asks[x].astype(bool)),
-                     pa.array(visits[x].astype(bool))], ["key", "node", "asks", "visits"])
+                    [pa.array(keys[x].view(np.int64)), pa.array(node[x]), pa.array(asks[x]),
+                     pa.array(visits[x])], ["key", "node", "asks", "visits"])
 
         at, rows = None, []
         for batch in batches:
@@ -487,6 +488,11 @@ def _roots(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Dat
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links, itself included)."""
+    with arrow.batches_of(docs.sparkSession, BATCH):
+        return _named(docs, shingle, percent, id_col, text_col)
+
+
+def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     sets = written(_sets(docs, shingle, percent, id_col, text_col), "jaccard-sets")
     prints = sets.filter("row is not null").select("row", "id", "n", "d1", "d2")
     largest, shingles, rows = prints.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
