@@ -176,7 +176,7 @@ def test_texts_reach_a_worker_by_megabytes(spark):
         assert jaccard.near_duplicates(docs).count() == 3
     finally:
         jaccard.written = real
-    assert set(seen) == {jaccard.BATCH} and spark.conf.get(name) == before
+    assert set(seen) == {f"{jaccard.BATCH}b"} and spark.conf.get(name) == before
 
 
 def test_hashing_and_packing_hold_little(spark, monkeypatch):

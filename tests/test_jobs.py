@@ -374,3 +374,35 @@ def test_work_table_is_cut_and_holds_good_and_bad_rows_apart(spark, monkeypatch)
     assert sorted(r["id"] for r in good.collect()) == [i for i in range(100) if i % 4]
     assert {r["_reason"] for r in bad.collect()} == {"bad value: id"} and bad.count() == 25
     assert len([n for n in fs.children(spark, work) if n.endswith(".parquet")]) == 10
+
+
+def test_staged_files_are_dealt_out_to_tasks_in_small_parts(spark):
+    """As many files as cores take at once are not the measure: a job of many files does not wait for a few tasks that hold most of them."""
+    from tidemark import fs
+    from tidemark.functions.types import ColumnMeta, target_schema
+    name = "spark.sql.files.maxPartitionBytes"
+    before, folder, work = spark.conf.get(name), workspace(spark, "stage"), workspace(spark, "work")
+    staged.write_staged(spark.range(0, 480, 1, 48).selectExpr("string(id) AS id"), folder)
+    schema = target_schema([ColumnMeta("id", "int")])
+    good, _, counts = staged.materialise(staged.check_rows(staged.read_text(spark, folder, schema), schema), schema, work)
+    assert counts == (480, 480, 0) and sorted(r["id"] for r in good.collect()) == list(range(480))
+    assert len([n for n in fs.children(spark, work) if n.endswith(".parquet")]) >= 12
+    assert spark.conf.get(name) == before
+
+
+def test_a_setting_ends_with_the_last_thread_that_holds_it(spark):
+    from tidemark.session import at_most, setting
+    name = "spark.sql.files.maxPartitionBytes"
+    before, one, two = spark.conf.get(name), setting(spark, "x.held", "1"), setting(spark, "x.held", "1")
+    one.__enter__()
+    two.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get("x.held") == "1"
+    two.__exit__(None, None, None)
+    assert spark.conf.get("x.held", None) is None
+    with pytest.raises(KeyError), at_most(spark, name, 1 << 20):
+        assert spark.conf.get(name) == "1048576b"
+        raise KeyError
+    with setting(spark, name, "1k"), at_most(spark, name, 1 << 20):
+        assert spark.conf.get(name) == "1024b"
+    assert spark.conf.get(name) == before

@@ -51,7 +51,7 @@ COUNTERS = 1 << 17
 #: Entries that a task packs at once, and entries that meet in one partition, about.
 PACKED, PARTITION = 250_000, 1_000_000
 #: Bytes of text that are hashed at once, and of a batch that goes to Python, about.
-PIECE, BATCH = 512 << 10, "4m"
+PIECE, BATCH = 512 << 10, 4 << 20
 #: A key with more entries than this (above the sketch's noise) is split.
 SPLIT = 1_000_000
 #: Words of 64 bits of the parities beside an entry, and of the longest sketch.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark import fs
 from tidemark.functions.columns import as_text
 from tidemark.functions.types import from_text
-from tidemark.session import workspace
+from tidemark.session import at_most, workspace
 
 # Texts that mean NULL in a staged file.
 NULL_MARKERS = ["NULL", ""]
@@ -25,6 +25,8 @@ DELIMITER = "|"
 FILE_BYTES = 256 << 20
 # Rows whose text is measured to find how many make a file; the cut moves no row, only file ends.
 MEASURED_ROWS = 1000
+# Staged files are dealt out to tasks by so many compressed bytes, larger ones alone: they are several times as much text.
+TASK_BYTES = 16 << 20
 # A work table's files hold at most so many rows.
 WORK_ROWS = 250_000
 
@@ -248,13 +250,15 @@ def materialise(checked: DataFrame, schema: T.StructType, folder: str) -> tuple[
 
     Returns work rows, rejects and their counts, all read from the written table. Both lie in the same files, told apart by
     their reason: parts of their own would have Spark sort all rows of a task. One task writes the rows of a whole
-    staged file, so its part is cut again, and later steps read it in several tasks.
+    staged file, so its part is cut again, and later steps read it in several tasks. A large file is a task of its own: in
+    one with others it would keep the job waiting.
     """
     spark = checked.sparkSession
     extra = [c for c in checked.columns if c not in schema.names]
     fields = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema]
                           + [checked.schema[c] for c in extra])
-    checked.write.mode("overwrite").option("maxRecordsPerFile", WORK_ROWS).parquet(folder)
+    with at_most(spark, "spark.sql.files.maxPartitionBytes", TASK_BYTES):
+        checked.write.mode("overwrite").option("maxRecordsPerFile", WORK_ROWS).parquet(folder)
     rows = spark.read.schema(fields).parquet(folder)
     work, bad = rows.where("_reason is null"), rows.where("_reason is not null")
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count("_reason").alias("bad")).first()
