@@ -120,3 +120,44 @@ def test_work_keys_of_another_type_find_their_slice(spark):
     target = _target(spark, slices=8)
     counts = target.upsert(spark.createDataFrame([(i, 1) for i in range(20)], "id int, v int"))
     assert (counts.rows_inserted, counts.rows_updated) == (0, 20) and target.count() == 100
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_few_work_rows_move_only_live_rows_they_may_match(spark, monkeypatch, slices):
+    from tidemark.functions.types import with_history
+    from tidemark.operators import merge
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", 0)
+    joined, flag = [], merge.flag_changes
+
+    def counted(current, *args, **kwargs):
+        joined.append(current.count())
+        return flag(current, *args, **kwargs)
+
+    kinds = "a double, b string, v string"
+    odd = [(0.0, "k", "same"), (float("nan"), "k", "old"), (None, "k", "no key"), (7.5, None, "half a key"), (7.5, "k", None),
+           (8.5, "k", "twice"), (8.5, "k", "twice too"), (9.5, "k", "both gone"), (9.5, "k", "gone too"), (10.5, "k", "stays")]
+    plain = spark.createDataFrame(odd, kinds).unionByName(spark.range(100, 1100).select(
+        F.col("id").cast("double").alias("a"), F.lit("k").alias("b"), F.col("id").cast("string").alias("v")))
+    work = spark.createDataFrame([(-0.0, "k", "same"), (float("nan"), "k", "new"), (None, "k", "no key"), (7.5, None, "half a key"),
+                                  (7.5, "k", "new"), (8.5, "k", "twice"), (9.5, "k", "third"), (11.5, "k", "first"), (100.0, "k", "100"),
+                                  (101.0, "k", "new")], kinds)
+    history = with_history(plain, "2024-01-01 00:00:00").unionByName(
+        with_history(work, "2023-01-01 00:00:00").withColumn("is_current", F.lit(False)))
+    folder = workspace(spark, "w")
+    work.write.parquet(folder)
+    target = Target(spark, workspace(spark, "t")).create(history.schema, ["a", "b"], slices)
+    target.seed(history)
+    closed = {s.folder for s in target._load()["segments"] if s.kind == "closed"}
+    want = merge.scd2(history, work, ["a", "b"], "2024-02-01 00:00:00")
+    monkeypatch.setattr(merge, "flag_changes", counted)
+    counts = target.track(spark.read.parquet(folder), "2024-02-01 00:00:00")
+    assert max(joined) < 100  # the others, a thousand, are copied and not joined
+    got = target.read()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert counts == (7, 0, 6) and target.count() == want.where("is_current").count()
+    assert closed < {s.folder for s in target._load()["segments"] if s.kind == "closed"}
+    # new keys alone rewrite nothing
+    before, folder = _folders(target), workspace(spark, "w")
+    spark.createDataFrame([(float(i), "new", "v") for i in range(20)], kinds).write.parquet(folder)
+    assert target.track(spark.read.parquet(folder), "2024-03-01 00:00:00") == (20, 0, 0)
+    assert before < _folders(target) and target.read().count() == want.count() + 20
